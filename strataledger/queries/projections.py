@@ -127,9 +127,7 @@ def split_to_rows(t):
 SELECT DISTINCT CAST(split_part(o_orderpriority, '-', 1) AS INTEGER) AS priority_key,
   substr(o_orderpriority, strpos(o_orderpriority, '-') + 1) AS priority FROM orders""")
 def derive_dimension(t):
-    text = F.col("o_orderpriority")
-    parsed = t.orders.select(text, after_first(text, "-").alias("label"), before_first(text, "-").alias("code"))
-    dims = p.derive_dimension(
-        parsed, F.concat("code", F.lit("-"), "label"), before_first(F.col("full"), "-"), "priority_key", "full"
+    full = p.derive_dimension(
+        t.orders, F.col("o_orderpriority"), before_first(F.col("full"), "-"), "priority_key", "full"
     )
-    return dims.select("priority_key", after_first(F.col("full"), "-").alias("priority"))
+    return full.select("priority_key", after_first(F.col("full"), "-").alias("priority"))
