@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .hotkeys import DEFAULT_SPLIT, SplitPolicy
+from .hotkeys import DEFAULT_SPLIT, Split
 from .ordered import neighbours, running
 
 
@@ -21,7 +21,7 @@ def asof_latest(
     strict: bool = False,
     tie: str | None = None,
     max_age_days: int | None = None,
-    split: SplitPolicy | None = DEFAULT_SPLIT,
+    split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """Values of the latest right row on or before the left row; every left row is kept.
 
@@ -50,7 +50,7 @@ def asof_latest(
 
 def prior_within_months(
     df: DataFrame, keys: Sequence[str], date: str, id_: str, months: int = 12,
-    out: str = "has_prior", split: SplitPolicy | None = DEFAULT_SPLIT,
+    out: str = "has_prior", split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """1 where an earlier record of the party is at most ``months`` old.
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .hotkeys import DEFAULT_SPLIT, SplitPolicy
+from .hotkeys import DEFAULT_SPLIT, Split
 from .ordered import neighbours
 
 
@@ -23,7 +23,7 @@ def dup_current(hist: DataFrame, key: str, current: str = "current_record") -> D
 
 def gaps_overlaps(
     hist: DataFrame, key: str, start: str = "start_date", end: str = "end_date",
-    split: SplitPolicy | None = DEFAULT_SPLIT,
+    split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """Versions that do not end where the next one starts."""
     led = neighbours(hist, [key], [start, end], after={"next_start": F.col(start)}, split=split)
@@ -32,7 +32,7 @@ def gaps_overlaps(
 
 def repeated_hash(
     hist: DataFrame, key: str, order: Sequence[str], hash_col: str = "row_hash",
-    split: SplitPolicy | None = DEFAULT_SPLIT,
+    split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """Versions equal to the next one."""
     led = neighbours(hist, [key], order, after={"_next_hash": F.col(hash_col)}, split=split)

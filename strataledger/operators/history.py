@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ..defaults import MAX_DATE, UNKNOWN_TEXT, max_date, min_date
 from ..functions.hashing import text_hash, with_row_hash
-from .hotkeys import DEFAULT_SPLIT, SplitPolicy
+from ..session import checkpoint
+from .hotkeys import DEFAULT_SPLIT, HotKeys, Split, resolve
 from .ordered import first_per_key, neighbours, numbered, running
 
 
@@ -29,7 +30,7 @@ def latest_per_day(
 
 def changes_only(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], hash_col: str = "row_hash",
-    first: str = UNKNOWN_TEXT, split: SplitPolicy | None = DEFAULT_SPLIT,
+    first: str = UNKNOWN_TEXT, split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """Rows whose hash differs from the previous row's; ``first`` stands in before the first row."""
     seen = neighbours(df, keys, order, before={"_prev_hash": F.col(hash_col)}, split=split)
@@ -38,7 +39,7 @@ def changes_only(
 
 def forward_fill(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-    ties: str = "rows", split: SplitPolicy | None = DEFAULT_SPLIT,
+    ties: str = "rows", split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """Carry each column forward on its own."""
     filled = running(df, keys, order, fills={f"_f_{c}": F.col(c) for c in cols}, ties=ties, split=split)
@@ -47,7 +48,7 @@ def forward_fill(
 
 def close_with_next(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], start: str = "start_date",
-    end: str = "end_date", current: str = "current_record", split: SplitPolicy | None = DEFAULT_SPLIT,
+    end: str = "end_date", current: str = "current_record", split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """End each row where the next one starts; the last one is current and open."""
     led = neighbours(df, keys, order, after={"_next": F.col(start), "_follows": F.lit(1)}, split=split)
@@ -101,7 +102,7 @@ def history_from_old_new(
 
 
 def merge_timelines(parts: Sequence[DataFrame], key: str, at: str, cols: Sequence[str],
-                    split: SplitPolicy | None = DEFAULT_SPLIT) -> DataFrame:
+                    split: Split = DEFAULT_SPLIT) -> DataFrame:
     """Unite one-attribute timelines; rows of one moment see each other's value."""
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return forward_fill(both, [key], [at], cols, ties="range", split=split).select(key, at, *cols).distinct()
@@ -123,29 +124,40 @@ def island_fill(
 
 def stitch(
     old: DataFrame, new: DataFrame, key: str, cut: Column, attrs: Sequence[str], start: str = "start_date",
-    split: SplitPolicy | None = DEFAULT_SPLIT,
+    split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """One history from two systems.
 
-    Old-system rows count before the cut and keep their ordinals, new-system rows follow with
-    ordinals after the entity's last old one. The hash is compared again over the seam, so equal
-    neighbours there make one version.
+    Each system is reduced to its changes. Old-system rows count before the cut, new-system rows
+    after it, and the ordinals run on from the entity's last old row. The hash is compared again
+    over the seam, so equal neighbours there make one version. Both inputs have a ``tie`` column
+    that orders rows of one moment.
     """
-    before = numbered(old.filter(F.col(start) < cut), [key], [start, "tie"], "ordinal", split).withColumn("system", F.lit("old"))
-    after = numbered(new.filter(F.col(start) >= cut), [key], [start, "tie"], "ordinal", split).withColumn("system", F.lit("new"))
-    last = before.groupBy(key).agg(F.max("ordinal").alias("_last"))
-    after = after.join(last, key, "left").withColumn(
-        "ordinal", F.col("ordinal") + F.coalesce("_last", F.lit(0))
-    ).drop("_last")
-    both = with_row_hash(before.unionByName(after), attrs)
-    changed = changes_only(both, [key], ["ordinal"], split=split)
-    closed = close_with_next(changed, [key], ["ordinal"], start=start, split=split).drop("ordinal")
-    return numbered(closed, [key], [start, "tie"], "ordinal", split)
+
+    old, new = old.filter(F.col(start) < cut), new.filter(F.col(start) >= cut)
+    hot = resolve(old.select(key, start).unionByName(new.select(key, start)), [key], start, split)
+
+    def cut_lineage(df: DataFrame) -> DataFrame:
+        # a split step reads its input twice, so a chain of them is cut where keys are hot
+        return checkpoint(df) if isinstance(hot, HotKeys) else df
+
+    def changes(df: DataFrame, system: str) -> DataFrame:
+        kept = changes_only(with_row_hash(df, attrs), [key], [start, "tie"], split=hot)
+        return kept.withColumn("system", F.lit(system))
+
+    # system ranks sort the old rows first, which is what offsetting the ordinals comes to
+    both = changes(old, "old").withColumn("_rank", F.lit(0)).unionByName(
+        changes(new, "new").withColumn("_rank", F.lit(1))
+    )
+    order = [start, "_rank", "tie"]
+    changed = cut_lineage(changes_only(cut_lineage(both), [key], order, split=hot))
+    closed = cut_lineage(close_with_next(changed, [key], order, start=start, split=hot))
+    return numbered(closed, [key], order, "ordinal", hot).drop("_rank")
 
 
 def end_of_day_flags(
     hist: DataFrame, key: str, at: str, tie: str, out: str = "is_end_of_day",
-    split: SplitPolicy | None = DEFAULT_SPLIT,
+    split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """1 on the last row of each (entity, day), every row kept."""
     dated = hist.withColumn("_day", F.to_date(at))
@@ -177,7 +189,7 @@ def windows_from_events(df: DataFrame, everyone: DataFrame, key: str, day: str)
 
 def capped_windows(
     df: DataFrame, keys: Sequence[str], start: str, days: int, order: Sequence[str] | None = None,
-    out: str = "end_date", split: SplitPolicy | None = DEFAULT_SPLIT,
+    out: str = "end_date", split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """Windows ending at the next start or after ``days`` days, whichever is first."""
     led = neighbours(df, keys, order or [start], after={"_next": F.col(start)}, split=split)
@@ -186,7 +198,7 @@ def capped_windows(
 
 def flip_dates(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, state: str, at: Column, out: str,
-    split: SplitPolicy | None = DEFAULT_SPLIT,
+    split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """The date where ``col`` changes into ``state``, else NULL."""
     seen = neighbours(df, keys, order, before={"_was": F.col(col)}, split=split)

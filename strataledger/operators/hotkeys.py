@@ -6,7 +6,8 @@ pieces of a key follow each other in order, hence a window can run per (key, pie
 piece has been told what lies just outside it (``ordered.py``), and a range join can meet a
 version in exactly the pieces it covers (``temporal.py``).
 
-Cold keys form one piece, so they cost nothing but a probe of the hot-key table.
+Cold keys form one piece. Whether there are hot keys at all is looked up first, so data without
+them is planned without any of this.
 """
 
 from __future__ import annotations
@@ -51,13 +52,25 @@ def position(df: DataFrame, name: str) -> Column:
     raise TypeError(f"cannot split along {name}: {kind.simpleString()} has no position")
 
 
-def hot_ranges(
+@dataclass(frozen=True)
+class HotKeys:
+    """The hot keys of a table: key columns _k0.., range _lo.._hi, number of pieces _n."""
+
+    table: DataFrame
+
+
+Split = SplitPolicy | HotKeys | None
+
+
+def find_hot(
     df: DataFrame, keys: Sequence[str], along: str, policy: SplitPolicy = DEFAULT_SPLIT
-) -> DataFrame:
-    """(keys as _k0.., _lo, _hi, _n) for the keys with more than ``hot_rows`` rows.
+) -> HotKeys | None:
+    """Look for keys with more than ``hot_rows`` rows; None when there are none.
 
-    One map-side combined aggregate over the key and order columns alone. The result has at
-    most ``max_hot_keys`` rows in a total order, so every use of it sees the same keys.
+    One map-side combined aggregate over the key and order columns alone; at most
+    ``max_hot_keys`` rows of it reach the driver. Usually there are none and the caller plans a
+    plain window or join. A chain of operators over one table looks once and passes the result on:
+    rows that a step has dropped only leave some pieces emptier.
     """
     names = [f"_k{i}" for i in range(len(keys))]
     pos = position(df, along)
@@ -68,7 +81,13 @@ def hot_ranges(
         .filter((F.col("_rows") > policy.hot_rows) & (F.col("_lo") < F.col("_hi")))
     )
     top = stats.orderBy(F.desc("_rows"), *names).limit(policy.max_hot_keys)
-    return top.withColumn("_n", F.ceil(F.col("_rows") / policy.piece_rows).cast("long")).drop("_rows")
+    top = top.withColumn("_n", F.ceil(F.col("_rows") / policy.piece_rows).cast("long")).drop("_rows")
+    found = top.collect()
+    return HotKeys(df.sparkSession.createDataFrame(found, top.schema)) if found else None
+
+
+def resolve(df: DataFrame, keys: Sequence[str], along: str, split: Split) -> HotKeys | None:
+    return find_hot(df, keys, along, split) if isinstance(split, SplitPolicy) else split
 
 
 def piece_at(pos: Column) -> Column:
@@ -79,11 +98,9 @@ def piece_at(pos: Column) -> Column:
     return F.coalesce(inside, F.lit(0)).cast("long")
 
 
-def match_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+def match_hot(df: DataFrame, hot: HotKeys, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Attach the hot range of each row's key (NULL keys match NULL)."""
-    small = F.broadcast(hot)  # at most SplitPolicy.max_hot_keys rows, see hot_ranges
-    if not keys:
-        return df.join(small, how=how) if how == "inner" else df.join(small, F.lit(True), how)
+    small = F.broadcast(hot.table)  # at most SplitPolicy.max_hot_keys rows, see find_hot
     cond = F.lit(True)
     for i, k in enumerate(keys):
         cond = cond & df[k].eqNullSafe(small[f"_k{i}"])

@@ -1,8 +1,8 @@
 """Ordered (window) operators that survive a hot key.
 
 ``split=None`` means one plain window per key. Use it where the rows of a key are bounded by
-the calendar, as after ``latest_per_day`` or on a daily spine. Otherwise hot keys are cut into
-pieces (``hotkeys``) and each piece is given *ghost rows* that carry in what lies before or
+the calendar, as after ``latest_per_day`` or on a daily spine. Otherwise the keys are counted
+first; if any is hot, hot keys are cut into pieces (``hotkeys``) and each piece is given *ghost rows* that carry in what lies before or
 after it: the neighbouring row for lag and lead, the running state for prefix scans. Ghost rows
 exist only for hot keys, one per piece, and are removed again at the end.
 
@@ -17,14 +17,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .hotkeys import DEFAULT_SPLIT, PIECE, SplitPolicy, drop_hot, hot_ranges, match_hot, piece_at, position
+from .hotkeys import DEFAULT_SPLIT, PIECE, HotKeys, Split, drop_hot, match_hot, piece_at, position, resolve
 
 GHOST = "_ghost"
 
 
-def _pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], split: SplitPolicy):
+def _pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: HotKeys):
     """(all rows with their piece, the rows of hot keys only)."""
-    hot = hot_ranges(df, keys, order[0], split)
 
     def cut(how: str) -> DataFrame:
         joined = match_hot(df, hot, keys, how)
@@ -39,7 +38,7 @@ def neighbours(
     order: Sequence[str],
     before: Mapping[str, Column] | None = None,
     after: Mapping[str, Column] | None = None,
-    split: SplitPolicy | None = DEFAULT_SPLIT,
+    split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """Columns of the row before / after within the key; NULL at the ends.
 
@@ -52,7 +51,8 @@ def neighbours(
     prev = dict(zip(before, given))
     nxt = dict(zip(after, given[len(before):]))
 
-    if split is None:
+    hot = resolve(df, keys, order[0], split)
+    if hot is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         out = rows.withColumns(
             {**{o: F.lag(c).over(w) for o, c in prev.items()},
@@ -60,7 +60,7 @@ def neighbours(
         )
         return out.drop(*given)
 
-    everything, hot_rows = _pieces(rows, keys, order, split)
+    everything, hot_rows = _pieces(rows, keys, order, hot)
     carried = [*dict.fromkeys([*order, *given])]
     image, at = F.struct(*carried), F.struct(*order)
     edges = hot_rows.groupBy(*keys, PIECE).agg(
@@ -89,7 +89,7 @@ def running(
     maxes: Mapping[str, Column] | None = None,
     fills: Mapping[str, Column] | None = None,
     ties: str = "rows",
-    split: SplitPolicy | None = DEFAULT_SPLIT,
+    split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """Prefix scans up to and including the current row.
 
@@ -118,10 +118,11 @@ def running(
             return w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
         return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    if split is None:
+    hot = resolve(df, keys, order[0], split)
+    if hot is None:
         return scanned(rows, upto(Window.partitionBy(*keys).orderBy(*order))).drop(*named)
 
-    everything, hot_rows = _pieces(rows, keys, order, split)
+    everything, hot_rows = _pieces(rows, keys, order, hot)
     at = F.struct(*order)
     states = []
     for src, kind in zip(named, kinds):
@@ -155,7 +156,7 @@ def numbered(
     keys: Sequence[str],
     order: Sequence[str],
     out: str = "seq",
-    split: SplitPolicy | None = DEFAULT_SPLIT,
+    split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """1, 2, 3 … within the key."""
     done = running(df, keys, order, sums={out: F.lit(1).cast("long")}, split=split)

@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..defaults import MAX_DATE
-from .hotkeys import DEFAULT_SPLIT, SplitPolicy
+from .hotkeys import DEFAULT_SPLIT, Split
 from .ordered import neighbours
 
 
 def sequence_events(
     df: DataFrame, key: str, at: str, tie: str, opens: Column, closes: Column, extra: Sequence[str] = (),
-    split: SplitPolicy | None = DEFAULT_SPLIT,
+    split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """Opening and closing events with the event after and before them in the entity.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..defaults import max_date
-from .hotkeys import DEFAULT_SPLIT, PIECE, SplitPolicy, drop_hot, hot_ranges, match_hot, piece_at, position
+from .hotkeys import DEFAULT_SPLIT, PIECE, Split, drop_hot, match_hot, piece_at, position, resolve
 
 
 def valid_at(at: Column, start: Column, end: Column, closed: str = "left") -> Column:
@@ -27,7 +27,7 @@ def temporal_join(
     closed: str = "left",
     how: str = "inner",
     shift_days: int = 0,
-    split: SplitPolicy | None = DEFAULT_SPLIT,
+    split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """Each fact row meets the version(s) of its key valid at ``at`` minus ``shift_days``.
 
@@ -37,14 +37,14 @@ def temporal_join(
     """
     moment = F.col(at) if not shift_days else F.date_sub(F.col(at), shift_days)
     left = fact.withColumn("_at", moment)
-    if split is None:
+    hot = resolve(left, on, "_at", split)
+    if hot is None:
         cond = valid_at(F.col("_at"), F.col(start), F.col(end), closed)
         right = hist.withColumnsRenamed({k: f"_h_{k}" for k in on})
         for k in on:
             cond = cond & (F.col(k) == F.col(f"_h_{k}"))
         return left.join(right, cond, how).drop("_at", *[f"_h_{k}" for k in on])
 
-    hot = hot_ranges(left, on, "_at", split)
     left = drop_hot(match_hot(left, hot, on).withColumn(PIECE, piece_at(position(left, "_at"))), on)
     right = match_hot(hist.withColumn("_end", F.coalesce(F.col(end), max_date())), hot, on)
     kind = left.schema["_at"].dataType
@@ -93,7 +93,7 @@ def overlap_capped(
     a_span: tuple[str, str],
     b_span: tuple[str, str],
     out: tuple[str, str],
-    split: SplitPolicy | None = DEFAULT_SPLIT,
+    split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """Intervals of ``b`` that start inside an interval of ``a``; the end is the smaller end."""
     met = temporal_join(b, a, [on], b_span[0], a_span[0], a_span[1], closed="both", split=split)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..defaults import UNKNOWN_KEY, UNKNOWN_TEXT, max_date
 from ..functions.hashing import with_row_hash
 from .history import close_with_next
-from .hotkeys import DEFAULT_SPLIT, SplitPolicy
+from .hotkeys import DEFAULT_SPLIT, Split
 from .joins import missing
 from .ordered import first_per_key, neighbours, numbered
 
@@ -157,7 +157,7 @@ def with_unknown(dim: DataFrame, key: str, values: Mapping[str, object], unknown
 
 
 def assign_keys(
-    tgt: DataFrame, new: DataFrame, key: str, order: Sequence[str], split: SplitPolicy | None = DEFAULT_SPLIT
+    tgt: DataFrame, new: DataFrame, key: str, order: Sequence[str], split: Split = DEFAULT_SPLIT
 ) -> DataFrame:
     """Number new rows on from the target's largest key.
 
@@ -171,7 +171,7 @@ def assign_keys(
 
 def repair_scd2(
     dim: DataFrame, twins: DataFrame, key: str, master: str, fill: str, version: Sequence[str],
-    split: SplitPolicy | None = DEFAULT_SPLIT,
+    split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """Repair entities that live under two ids.
 
