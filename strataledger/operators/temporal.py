@@ -8,8 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..defaults import max_date
+from .joins import broadcast_if_small
 from .hotkeys import DEFAULT_SPLIT, PIECE, Split, drop_hot, match_hot, piece_at, position, resolve
 
+# A history of so few versions is broadcast when the fact has hot keys; it is counted first.
+SMALL_HISTORY = 2_000
+
 
 def valid_at(at: Column, start: Column, end: Column, closed: str = "left") -> Column:
     """[start, end) by default, [start, end] with ``closed='both'``; an open end is NULL or the maximum."""
@@ -33,11 +37,14 @@ def temporal_join(
 
     Rows of hot fact keys are cut into date pieces and a version is repeated once per piece it
     covers, so a hot key is spread over many tasks and a fact row is compared with the versions
-    of its own piece only. ``hist`` columns other than ``on`` must not clash with the fact's.
+    of its own piece only. A history counted to be tiny is broadcast instead. ``hist`` columns other than ``on`` must not clash with the fact's.
     """
     moment = F.col(at) if not shift_days else F.date_sub(F.col(at), shift_days)
     left = fact.withColumn("_at", moment)
     hot = resolve(left, on, "_at", split)
+    if hot is not None:
+        hist, small = broadcast_if_small(hist, SMALL_HISTORY)
+        hot = None if small else hot
     if hot is None:
         cond = valid_at(F.col("_at"), F.col(start), F.col(end), closed)
         right = hist.withColumnsRenamed({k: f"_h_{k}" for k in on})

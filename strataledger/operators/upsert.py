@@ -146,6 +146,20 @@ def reopen(
     ).select(*tgt.columns)
 
 
+def accumulate(
+    tgt: DataFrame, src: DataFrame, keys: Sequence[str],
+    updates: Sequence[Callable[[DataFrame, DataFrame], DataFrame]],
+) -> DataFrame:
+    """Accumulating snapshot: the updates in their order, then the events not yet stored.
+
+    The order matters: rows must be reopened before they can be filled again.
+    """
+    done = tgt
+    for step in updates:
+        done = step(done, src)
+    return insert_new(done, src.select(*tgt.columns), keys)
+
+
 def with_unknown(dim: DataFrame, key: str, values: Mapping[str, object], unknown: int = UNKNOWN_KEY) -> DataFrame:
     """Add the unknown member unless it is there."""
     row = {**values, key: unknown}

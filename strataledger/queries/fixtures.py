@@ -68,13 +68,19 @@ def tracked_hash(prefix: str = "") -> str:
     return f"sha256(concat({p}c_name, '|', {p}c_nationkey, '|', {p}c_mktsegment))"
 
 
+# exact: two-digit price times two-digit rate, added up as decimals
+def discount_total():
+    price, rate = F.col("l_extendedprice").cast("decimal(18,2)"), F.col("l_discount").cast("decimal(4,2)")
+    return F.sum(price * rate).cast("decimal(18,4)")
+
+
 def milestones_stored(t) -> DataFrame:
     """Order milestones as they were loaded at ORDER_CUT: large shipped orders counted as done,
     small shipped ones as cancelled, the rest open; discounts unknown while lines are outstanding."""
     cut = moment(ORDER_CUT)
     lines = t.lineitem.groupBy("l_orderkey").agg(
         F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"),
-        F.sum((F.col("l_extendedprice") * F.col("l_discount")).cast("decimal(18,2)")).cast("decimal(18,2)").alias("d"),
+        discount_total().alias("d"),
     )
     o = t.orders.filter(F.col("o_orderdate") < cut).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     shipped = F.coalesce(F.col("first_ship") < cut, F.lit(False))
@@ -94,7 +100,7 @@ def milestones_batch(t) -> DataFrame:
     """The same orders and the later ones as the source tells them now, by order status."""
     lines = t.lineitem.groupBy("l_orderkey").agg(
         F.max("l_shipdate").alias("last_ship"),
-        F.sum((F.col("l_extendedprice") * F.col("l_discount")).cast("decimal(18,2)")).cast("decimal(18,2)").alias("d"),
+        discount_total().alias("d"),
     )
     o = t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     is_closed = F.col("o_orderstatus") != "O"
@@ -113,7 +119,7 @@ def milestones_batch(t) -> DataFrame:
 
 MILESTONES = f"""
 lines AS (SELECT l_orderkey, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship,
-    CAST(sum(CAST(l_extendedprice * l_discount AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS d
+    CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS d
   FROM lineitem GROUP BY l_orderkey),
 m_tgt AS (SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS order_date_key,
     CASE WHEN first_ship < TIMESTAMP '{ORDER_CUT}' THEN CAST(strftime(first_ship, '%Y%m%d') AS INTEGER) ELSE -1 END
