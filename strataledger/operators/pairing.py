@@ -24,25 +24,34 @@ def sequence_events(
     flags = flags.filter((F.col("opens") == 1) | (F.col("closes") == 1))
     return neighbours(
         flags, [key], [at, tie],
-        before={"prev_opens": F.col("opens")},
-        after={"next_at": F.col(at), "next_closes": F.col("closes"), **{f"next_{c}": F.col(c) for c in extra}},
+        before={"prev_opens": F.col("opens"), "prev_closes": F.col("closes")},
+        after={
+            "next_at": F.col(at), "next_opens": F.col("opens"), "next_closes": F.col("closes"),
+            **{f"next_{c}": F.col(c) for c in extra},
+        },
         split=split,
     )
 
 
 def pair_events(seq: DataFrame, at: str) -> DataFrame:
-    """Each opener with its closing date when the very next event closes it."""
-    done = F.coalesce(F.col("next_closes") == 1, F.lit(False))
+    """Each opener with its closing date.
+
+    An event that opens and closes at once is complete in itself; otherwise the very next event
+    must be a pure closer.
+    """
+    at_once = F.col("closes") == 1
+    by_next = F.coalesce((F.col("next_closes") == 1) & (F.col("next_opens") == 0), F.lit(False))
     far = F.lit(MAX_DATE).cast(seq.schema[at].dataType)
     return seq.filter("opens = 1").withColumns(
         {
-            "completed": done.cast("int"),
-            "close_at": F.when(done, F.col("next_at")),
+            "completed": (at_once | by_next).cast("int"),
+            "close_at": F.when(at_once, F.col(at)).when(by_next, F.col("next_at")),
             "next_at": F.coalesce("next_at", far),
         }
     )
 
 
 def unmatched_closers(seq: DataFrame) -> DataFrame:
-    """Closing events that do not directly follow an opener."""
-    return seq.filter((F.col("closes") == 1) & (F.coalesce("prev_opens", F.lit(0)) == 0))
+    """Pure closing events that do not directly follow an opener left open."""
+    follows = (F.col("prev_opens") == 1) & (F.col("prev_closes") == 0)
+    return seq.filter((F.col("closes") == 1) & (F.col("opens") == 0) & ~F.coalesce(follows, F.lit(False)))

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..defaults import max_date
-from .joins import broadcast_if_small
 from .hotkeys import DEFAULT_SPLIT, PIECE, Split, drop_hot, match_hot, piece_at, position, resolve
+from .joins import broadcast_if_small
 
 # A history of so few versions is broadcast when the fact has hot keys; it is counted first.
 SMALL_HISTORY = 2_000
@@ -83,14 +83,14 @@ def eligible_at(
     how: str = "inner",
 ) -> DataFrame:
     """People employed at the date: a returner counts from the first start before the last one."""
-    side = people.withColumnRenamed(on, "_who")
+    side = people.withColumnRenamed(on, "_eligible_on")
     began = F.when(F.col(at) < F.col(last_start), F.col(first_start)).otherwise(F.col(last_start))
     cond = (
-        (F.col(on) == F.col("_who"))
+        (F.col(on) == F.col("_eligible_on"))
         & (began <= F.col(at))
         & (F.coalesce(F.col(left_on), max_date()) >= F.col(at))
     )
-    return refs.join(side, cond, how).drop("_who")
+    return refs.join(side, cond, how).drop("_eligible_on")
 
 
 def overlap_capped(

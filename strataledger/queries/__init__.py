@@ -1 +1,20 @@
-"""Registered queries."""
+"""One module per group of operators; importing the package fills the registry."""
+
+from . import (  # noqa: F401
+    aggregates,
+    checks,
+    facts,
+    filters,
+    functions,
+    history,
+    joins,
+    ordering,
+    projections,
+    sources,
+    temporal,
+    upserts,
+    windows,
+)
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
