@@ -10,17 +10,20 @@ from .fixtures import HIST, day, hist
 from .registry import query
 
 c = F.col
-n = F.count(F.lit(1))
+
+
+def rows():
+    return F.count(F.lit(1))
 
 
 @query("count_all", "SELECT count(*) AS n FROM lineitem")
 def count_all(t):
-    return t.lineitem.agg(n.alias("n"))
+    return t.lineitem.agg(rows().alias("n"))
 
 
 @query("count_by_group", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
 def count_by_group(t):
-    return t.orders.groupBy("o_orderstatus").agg(n.alias("n"))
+    return t.orders.groupBy("o_orderstatus").agg(rows().alias("n"))
 
 
 @query("having_filter", """
@@ -28,7 +31,7 @@ SELECT l_orderkey, l_linenumber, count(*) AS n, count(DISTINCT l_partkey) AS par
 GROUP BY 1, 2 HAVING count(*) > 1 AND count(DISTINCT l_partkey) > 1""")
 def having_filter(t):
     counted = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(
-        n.alias("n"), F.count_distinct("l_partkey").alias("parts")
+        rows().alias("n"), F.count_distinct("l_partkey").alias("parts")
     )
     return counted.filter("n > 1 AND parts > 1")
 
@@ -38,7 +41,7 @@ SELECT o_custkey, count(*) AS orders, CAST(sum(CASE WHEN o_orderstatus = 'F' THE
   CAST(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS BIGINT) AS urgent FROM orders GROUP BY 1""")
 def conditional_sum(t):
     return t.orders.groupBy("o_custkey").agg(
-        n.alias("orders"), F.count_if(c("o_orderstatus") == "F").alias("finished"),
+        rows().alias("orders"), F.count_if(c("o_orderstatus") == "F").alias("finished"),
         F.count_if(c("o_orderpriority") == "1-URGENT").alias("urgent"),
     )
 
@@ -102,7 +105,7 @@ def two_level_agg(t):
     grain = joined.groupBy("o_orderstatus", "o_custkey").agg(
         F.max("o_orderkey").alias("last_order"), F.max("l_shipdate").alias("last_ship")
     )
-    return grain.groupBy("o_orderstatus").agg(n.alias("customers"), F.count("last_ship").alias("shipped"))
+    return grain.groupBy("o_orderstatus").agg(rows().alias("customers"), F.count("last_ship").alias("shipped"))
 
 
 @query("max_per_group_rejoin", """
@@ -119,7 +122,7 @@ def max_per_group_rejoin(t):
 @query("latest_dim_attribute_count", f"""
 WITH {HIST} SELECT count(*) AS active FROM hist WHERE current_record = 1 AND event_type <> 'error'""")
 def latest_dim_attribute_count(t):
-    return hist(t).filter((c("current_record") == 1) & (c("event_type") != "error")).agg(n.alias("active"))
+    return hist(t).filter((c("current_record") == 1) & (c("event_type") != "error")).agg(rows().alias("active"))
 
 
 @query("order_by_aggregate", """
@@ -127,6 +130,6 @@ SELECT event_type, count(*) AS n, CAST(rank() OVER (ORDER BY count(*) DESC, even
 FROM events GROUP BY 1 ORDER BY n DESC""")
 def order_by_aggregate(t):
     """Counts by frequency; the place is computed over the few groups, not over the rows."""
-    groups = t.events.groupBy("event_type").agg(n.alias("n"))
+    groups = t.events.groupBy("event_type").agg(rows().alias("n"))
     w = Window.orderBy(F.desc("n"), "event_type")
     return groups.withColumn("place", F.rank().over(w)).orderBy(F.desc("n"))

@@ -13,7 +13,10 @@ from .fixtures import BATCH, HIST, STORED, TRACKED, batch, hist, stored
 from .registry import query
 
 c = F.col
-n = F.count(F.lit(1))
+
+
+def rows():
+    return F.count(F.lit(1))
 
 
 @query("check_dup_current", f"""
@@ -118,7 +121,7 @@ def check_expected_delta(t):
     extra = literal_rows(t.spark, [(-1, "F")], "o_orderkey bigint, o_orderstatus string")
     before = t.orders.select(*cols)
     return q.count_delta(before, before.unionByName(extra), {
-        "orders": n, "finished": F.count_if(c("o_orderstatus") == "F"), "open": F.count_if(c("o_orderstatus") == "O"),
+        "orders": rows(), "finished": F.count_if(c("o_orderstatus") == "F"), "open": F.count_if(c("o_orderstatus") == "O"),
     })
 
 
@@ -147,7 +150,7 @@ def reconcile_across_tables(t):
             "shipped": t.orders.join(lines, "o_orderkey", "left_semi"),
             "known": t.orders.join(known, "o_custkey", "left_semi"),
         },
-        {"orders": n, "customers": F.count_distinct("o_custkey")},
+        {"orders": rows(), "customers": F.count_distinct("o_custkey")},
     )
 
 
@@ -181,7 +184,7 @@ def check_default_keys(t):
     """How many facts still point at the unknown member, by the type they resolve to."""
     known = t.part.filter("p_size > 10")
     fact = lookup_key(t.lineitem.select("l_partkey"), known, {"l_partkey": "p_partkey"}, "p_partkey", "part_key")
-    by_key = fact.groupBy("part_key").agg(n.alias("n"))
+    by_key = fact.groupBy("part_key").agg(rows().alias("n"))
     labelled = by_key.join(known.select(c("p_partkey").alias("part_key"), "p_type"), "part_key", "left")
     return labelled.groupBy(F.coalesce("p_type", F.lit("[Unknown]")).alias("p_type")).agg(
         F.sum("n").alias("n"), F.coalesce(F.sum(F.when(c("part_key") == -1, c("n"))), F.lit(0)).alias("unknown_keys")
@@ -201,6 +204,6 @@ SELECT l_orderkey, l_linenumber, count(*) AS n, count(DISTINCT l_suppkey) AS sup
 HAVING count(*) > 1 AND count(DISTINCT l_suppkey) = 1""")
 def check_case_dups(t):
     counted = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(
-        n.alias("n"), F.count_distinct("l_suppkey").alias("suppliers")
+        rows().alias("n"), F.count_distinct("l_suppkey").alias("suppliers")
     )
     return counted.filter("n > 1 AND suppliers = 1")
