@@ -8,6 +8,7 @@ letting an arbitrary match win.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,11 +17,17 @@ from ..defaults import UNKNOWN_KEY, UNKNOWN_TEXT, max_date
 from ..functions.hashing import with_row_hash
 from .history import close_with_next
 from .hotkeys import DEFAULT_SPLIT, Split
-from .joins import missing
+from .joins import broadcast_if_small, missing
 from .ordered import first_per_key, neighbours, numbered
 
 NEW, MODIFIED, UNCHANGED = "NEW", "MODIFIED", "NO CHANGE"
 
+# A batch of so few rows is broadcast; it is counted first.
+SMALL_BATCH = 200_000
+
+# New values of target columns, computed from target columns and batch columns (s_<col>).
+Rule = Mapping[str, Column]
+
 
 def unique_batch(src: DataFrame, keys: Sequence[str], newest_first: Sequence[Column | str]) -> DataFrame:
     return first_per_key(src, keys, newest_first)
@@ -40,17 +47,64 @@ def classify(
     return src.join(stored, [*keys], "left").withColumn(out, label).drop("_stored", "_hit")
 
 
+def side_by_side(
+    tgt: DataFrame, src: DataFrame, keys: Sequence[str], insert: bool, small_batch: int = SMALL_BATCH
+) -> DataFrame:
+    """Target columns, batch columns as s_<col>, and who has the row (_t, _s).
+
+    Without ``insert`` this is a left join of the target. With it, rows only the batch has are
+    added. A batch counted to be small is broadcast, so the target is not shuffled: only the few
+    of its keys that occur in the batch are needed to tell which batch rows are new. A larger
+    batch is met in one full outer join. ``small_batch=0`` skips the count, for a batch that is
+    costly to compute.
+    """
+    new = src.select(*[F.col(c).alias(f"s_{c}") for c in src.columns], F.lit(1).alias("_s"))
+    stored = tgt.withColumn("_t", F.lit(1))
+    cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"s_{k}") for k in keys])
+    if not insert:
+        return stored.join(new, cond, "left")
+    small = False
+    if small_batch:
+        new, small = broadcast_if_small(new, small_batch)
+    if not small:
+        return stored.join(new, cond, "full")
+    seen = tgt.select(*keys).join(F.broadcast(src.select(*keys)), [*keys], "left_semi")
+    fresh = new.join(seen, cond, "left_anti")
+    return stored.join(new, cond, "left").unionByName(fresh, allowMissingColumns=True)
+
+
+def apply_rules(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Rules in their order, on rows that both sides have."""
+    both = (F.col("_t") == 1) & (F.col("_s") == 1)
+    for rule in rules:
+        rows = rows.withColumns({c: F.when(both, e).otherwise(F.col(c)) for c, e in rule.items()})
+    return rows
+
+
+def update_rows(tgt: DataFrame, src: DataFrame, keys: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
+    """Update matching target rows."""
+    return apply_rules(side_by_side(tgt, src, keys, insert=False), rules).select(*tgt.columns)
+
+
+def accumulate(
+    tgt: DataFrame, src: DataFrame, keys: Sequence[str], rules: Sequence[Rule], small_batch: int = SMALL_BATCH
+) -> DataFrame:
+    """Update matching rows by the rules and add the rows the target does not have, in one join.
+
+    For an accumulating snapshot the order matters: rows must be reopened before they are filled.
+    """
+    rows = apply_rules(side_by_side(tgt, src, keys, insert=True, small_batch=small_batch), rules)
+    absent = F.col("_t").isNull()
+    return rows.select(
+        *[F.when(absent, F.col(f"s_{c}")).otherwise(F.col(c)).alias(c) if c in src.columns else c for c in tgt.columns]
+    )
+
+
 def update_type1(
-    tgt: DataFrame, src: DataFrame, keys: Sequence[str], cols: Sequence[str], changed: Column | None = None
+    tgt: DataFrame, src: DataFrame, keys: Sequence[str], cols: Sequence[str]
 ) -> DataFrame:
-    """Overwrite ``cols`` where the batch has the key (and ``changed`` holds, with s_<col> names)."""
-    new = src.select(*keys, *[F.col(c).alias(f"s_{c}") for c in cols], F.lit(1).alias("_hit"))
-    hit = F.col("_hit") == 1
-    hit = hit if changed is None else hit & changed
-    joined = tgt.join(new, [*keys], "left")
-    return joined.withColumns(
-        {c: F.when(hit, F.col(f"s_{c}")).otherwise(F.col(c)) for c in cols}
-    ).select(*tgt.columns)
+    """Overwrite ``cols`` where the batch has the key."""
+    return update_rows(tgt, src.select(*keys, *cols), keys, [{c: F.col(f"s_{c}") for c in cols}])
 
 
 def insert_new(tgt: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -58,11 +112,14 @@ def insert_new(tgt: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame
     return tgt.unionByName(missing(src, tgt, keys), allowMissingColumns=True).select(*tgt.columns)
 
 
-def upsert_type1(tgt: DataFrame, src: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+def upsert_type1(
+    tgt: DataFrame, src: DataFrame, keys: Sequence[str], cols: Sequence[str], small_batch: int = SMALL_BATCH
+) -> DataFrame:
     """Update modified rows (told by hash) and insert new ones."""
     stored, batch = with_row_hash(tgt, cols), with_row_hash(src, cols)
-    updated = update_type1(stored, batch, keys, [*cols, "row_hash"], F.col("row_hash") != F.col("s_row_hash"))
-    return insert_new(updated, batch, keys)
+    modified = F.col("row_hash") != F.col("s_row_hash")
+    rule = {c: F.when(modified, F.col(f"s_{c}")).otherwise(F.col(c)) for c in [*cols, "row_hash"]}
+    return accumulate(stored, batch, keys, [rule], small_batch)
 
 
 def backfill_ids(
@@ -92,72 +149,57 @@ def close_versions(tgt: DataFrame, changed: DataFrame, keys: Sequence[str], end:
 
 
 def upsert_scd2(
-    tgt: DataFrame, src: DataFrame, keys: Sequence[str], attrs: Sequence[str], as_of: Column
+    tgt: DataFrame, src: DataFrame, keys: Sequence[str], attrs: Sequence[str], as_of: Column,
+    small_batch: int = SMALL_BATCH,
 ) -> DataFrame:
-    """Classify against current versions, close the modified ones, open new ones from ``as_of``."""
+    """Close the modified current versions and open new ones from ``as_of``.
+
+    Only current versions meet the batch, once; closed versions pass through unshuffled. A pair
+    that differs becomes two rows, the closed and the opened version.
+    """
     batch = with_row_hash(src.select(*keys, *attrs), attrs)
-    labelled = classify(batch, tgt.filter("current_record = 1"), keys)
-    closed = close_versions(tgt, labelled.filter(F.col("change") == MODIFIED), keys, as_of)
-    opened = labelled.filter(F.col("change").isin(NEW, MODIFIED)).select(
-        *keys, *attrs, "row_hash", as_of.alias("start_date"), max_date().alias("end_date"),
-        F.lit(1).alias("current_record"),
-    )
-    return closed.unionByName(opened)
+    current = tgt.filter("current_record = 1")
+    rows = side_by_side(current, batch, keys, insert=True, small_batch=small_batch)
+    stored = F.col("_t") == 1
+    modified = stored & (F.col("_s") == 1) & (F.col("row_hash") != F.col("s_row_hash"))
+    cols = [*keys, *attrs, "row_hash"]
 
+    def version(values: list[Column], start: Column, end: Column, flag: Column) -> Column:
+        named = [v.alias(n) for v, n in zip(values, cols)]
+        return F.struct(*named, start.alias("start_date"), end.alias("end_date"), flag.alias("current_record"))
+
+    old = [F.col(n) for n in cols]
+    kept = version(old, F.col("start_date"), F.col("end_date"), F.lit(1))
+    closed = version(old, F.col("start_date"), as_of, F.lit(0))
+    opened = version([F.col(f"s_{n}") for n in cols], as_of, max_date(), F.lit(1))
+    out = F.when(modified, F.array(closed, opened)).when(stored, F.array(kept)).otherwise(F.array(opened))
+    done = rows.select(F.explode(out).alias("_v")).select("_v.*")
+    return tgt.filter("current_record <> 1").unionByName(done)
 
-def fill_only_missing(
-    tgt: DataFrame, src: DataFrame, keys: Sequence[str], unset: Mapping[str, object], open_rows: Column,
-    derived: Mapping[str, Column] | None = None,
-) -> DataFrame:
-    """Set a column of an open row only while it still has its unset value.
 
-    ``unset`` gives that value per column (-1, 0 or None); ``derived`` sets further columns from
-    the batch (named s_<col>).
+def fill_rule(unset: Mapping[str, object], open_rows: Column, derived: Rule | None = None) -> Rule:
+    """Set a column of an open row only while it still has its unset value (-1, 0 or None).
+
+    ``derived`` sets further columns of open rows from the batch (named s_<col>).
     """
-    derived = derived or {}
-    cols = [*unset, *derived]
-    new = src.select(*keys, *[F.col(c).alias(f"s_{c}") for c in cols], F.lit(1).alias("_hit"))
-    ready = (F.col("_hit") == 1) & open_rows
-    joined = tgt.join(new, [*keys], "left").withColumn("_ready", F.coalesce(ready, F.lit(False)))
     made = {}
     for c, blank in unset.items():
         empty = F.col(c).isNull() if blank is None else F.col(c) == F.lit(blank)
-        made[c] = F.when(F.col("_ready") & empty, F.col(f"s_{c}")).otherwise(F.col(c))
-    for c, expr in derived.items():
-        made[c] = F.when(F.col("_ready"), expr).otherwise(F.col(c))
-    return joined.withColumns(made).select(*tgt.columns)
+        made[c] = F.when(open_rows & empty, F.col(f"s_{c}")).otherwise(F.col(c))
+    for c, expr in (derived or {}).items():
+        made[c] = F.when(open_rows, expr).otherwise(F.col(c))
+    return made
 
 
-def fill_late_measure(tgt: DataFrame, src: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
+def late_rule(col: str) -> Rule:
     """Take a measure that arrives late, on open and closed rows alike."""
-    new = src.select(*keys, F.col(col).alias("_late"))
-    return tgt.join(new, [*keys], "left").withColumn(col, F.coalesce(col, "_late")).select(*tgt.columns)
+    return {col: F.coalesce(F.col(col), F.col(f"s_{col}"))}
 
 
-def reopen(
-    tgt: DataFrame, src: DataFrame, keys: Sequence[str], cond: Column, reset: Mapping[str, object],
-    read: Sequence[str], closed_rows: Column,
-) -> DataFrame:
-    """Reset closed rows whose source contradicts the stored outcome (source columns as s_<col>)."""
-    state = src.select(*keys, *[F.col(c).alias(f"s_{c}") for c in read])
+def reopen_rule(tgt: DataFrame, cond: Column, reset: Mapping[str, object], closed_rows: Column) -> Rule:
+    """Reset closed rows whose source (s_<col>) contradicts the stored outcome."""
     back = F.coalesce(closed_rows & cond, F.lit(False))
-    return tgt.join(state, [*keys], "left").withColumn("_back", back).withColumns(
-        {c: F.when(F.col("_back"), F.lit(v).cast(tgt.schema[c].dataType)).otherwise(F.col(c)) for c, v in reset.items()}
-    ).select(*tgt.columns)
-
-
-def accumulate(
-    tgt: DataFrame, src: DataFrame, keys: Sequence[str],
-    updates: Sequence[Callable[[DataFrame, DataFrame], DataFrame]],
-) -> DataFrame:
-    """Accumulating snapshot: the updates in their order, then the events not yet stored.
-
-    The order matters: rows must be reopened before they can be filled again.
-    """
-    done = tgt
-    for step in updates:
-        done = step(done, src)
-    return insert_new(done, src.select(*tgt.columns), keys)
+    return {c: F.when(back, F.lit(v).cast(tgt.schema[c].dataType)).otherwise(F.col(c)) for c, v in reset.items()}
 
 
 def with_unknown(dim: DataFrame, key: str, values: Mapping[str, object], unknown: int = UNKNOWN_KEY) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..defaults import UNKNOWN_KEY
 from ..functions.dates import date_key
 from ..operators.asof import prior_within_months
+from ..operators.hotkeys import DEFAULT_SPLIT, Split, SplitPolicy, find_hot
 from ..operators.ordered import first_per_key
 from ..operators.temporal import eligible_at, temporal_join
 
@@ -38,39 +39,43 @@ def credited(refs: DataFrame, people: DataFrame, swapped: Column) -> DataFrame:
     return first_per_key(hits, ["source", "referral_id"], ["person_id"])
 
 
-def assigned(refs: DataFrame, assignments: DataFrame, people: DataFrame, at: str, out: str) -> DataFrame:
+def assigned(
+    refs: DataFrame, assignments: DataFrame, people: DataFrame, at: Column, out: str, split: Split
+) -> DataFrame:
     """The person assigned to the referred client at a date, if employed then; else NULL."""
-    met = temporal_join(refs, assignments, ["client_id"], at, "from_date", "to_date", how="left")
+    dated = refs.withColumn("_when", at)
+    met = temporal_join(dated, assignments, ["client_id"], "_when", "from_date", "to_date", how="left", split=split)
     staff = people.select(F.col("person_id").alias("assigned_id"), *SPANS)
-    found = eligible_at(met, staff, "assigned_id", at, *SPANS, how="left")
+    found = eligible_at(met, staff, "assigned_id", "_when", *SPANS, how="left")
     kept = F.when(F.col("first_start").isNotNull(), F.col("assigned_id"))
-    return found.withColumn(out, kept).drop("assigned_id", "from_date", "to_date", *SPANS)
+    return found.withColumn(out, kept).drop("assigned_id", "from_date", "to_date", "_when", *SPANS)
 
 
 def referral_fact(
-    refs: DataFrame, people: DataFrame, assignments: DataFrame, funded: DataFrame, swapped: Column
+    refs: DataFrame, people: DataFrame, assignments: DataFrame, funded: DataFrame, swapped: Column,
+    split: SplitPolicy = DEFAULT_SPLIT,
 ) -> DataFrame:
     """One row per referral with its people, twelve-month flag and funding state.
 
     ``refs``: source, referral_id, client_id, referral_date, user_id, user_name;
-    ``funded``: referral_id, trading_date.
+    ``funded``: referral_id, trading_date. The people named on a referral come first; the rest
+    is derived in the same pass, by giving the named rows no date to look up.
     """
     key = ["source", "referral_id"]
-    base = refs.join(funded, "referral_id", "left")
-    is_funded = F.col("trading_date").isNotNull()
-    named = credited(refs, people, swapped)
-    explicit = base.join(named, key).select(
-        *base.columns, F.col("person_id").alias("submitted_id"), F.when(is_funded, F.col("person_id")).alias("funded_id")
+    by_client = find_hot(refs, ["client_id"], "referral_date", split)
+    by_source = find_hot(refs, ["client_id", "source"], "referral_date", split)
+    rows = refs.join(funded, "referral_id", "left").join(credited(refs, people, swapped), key, "left")
+    named, is_funded = F.col("person_id").isNotNull(), F.col("trading_date").isNotNull()
+    for at, out in (("referral_date", "_submitted"), ("trading_date", "_funded")):
+        rows = assigned(rows, assignments, people, F.when(~named, F.col(at)), out, by_client)
+    submitted = F.coalesce("person_id", "_submitted", F.lit(UNKNOWN_KEY))
+    paid = F.coalesce(F.when(is_funded, F.col("person_id")), "_funded", F.lit(UNKNOWN_KEY))
+    flagged = prior_within_months(
+        rows, ["client_id", "source"], "referral_date", "referral_id", 12, "referred_in_12_months", by_source
     )
-    rest = base.join(named, key, "left_anti")
-    derived = assigned(assigned(rest, assignments, people, "referral_date", "submitted_id"),
-                       assignments, people, "trading_date", "funded_id")
-    both = attribution_waterfall(explicit, base, derived, key)
-    flagged = prior_within_months(both, ["client_id", "source"], "referral_date", "referral_id", 12, "referred_in_12_months")
     return flagged.select(
-        *key, "client_id", "attribution",
-        F.coalesce("submitted_id", F.lit(UNKNOWN_KEY)).alias("person_key"),
-        F.coalesce("funded_id", F.lit(UNKNOWN_KEY)).alias("person_funded_key"),
+        *key, "client_id", F.when(named, "Credited").otherwise("Derived").alias("attribution"),
+        submitted.alias("person_key"), paid.alias("person_funded_key"),
         date_key(F.col("referral_date")).alias("referral_date_key"),
         F.coalesce(date_key(F.col("trading_date")), F.lit(UNKNOWN_KEY)).alias("trading_date_key"),
         F.lit(1).alias("referral_count"), is_funded.cast("int").alias("funded_count"), "referred_in_12_months",

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import money
 from ..operators import history as h
+from ..operators.filters import cutover
 from ..operators.ordered import first_per_key, neighbours
 from ..operators.project import signed_amount
 from ..operators.temporal import overlap_capped, temporal_join
-from ..operators.upsert import accumulate, fill_only_missing
+from ..operators.upsert import accumulate, fill_rule
 from ..plans import referrals as ref
 from ..plans import snapshot as snap
 from ..plans import terminations as term
@@ -234,15 +235,14 @@ FROM o WHERE (ref_no, sub_no, flow_count, system) NOT IN (SELECT (ref_no, sub_no
 def transaction_fact(t):
     """Two systems with a cutover per customer; partial orders arrive late; all cancelled rows
     are new. Large outflows have no flow type."""
-    every = flows(t)
+    every = t.stage(flows(t), "flows")
     moves = t.customer.filter("c_mktsegment <> 'MACHINERY'").select(
         c("c_custkey").alias("account"), F.date_add(day("1997-01-01"), c("c_nationkey") * 40).alias("moved_on")
     )
     old, new = every.filter("o_orderpriority <> '5-LOW'"), every.filter("o_orderpriority <> '1-URGENT'")
-    before = tx.cutover(old, new, moves, "account", "trade_date", "moved_on")
-    stored = before.filter((c("updated") < F.lit("2001-01-01").cast("timestamp_ntz")) & (c("o_orderstatus") != "P")).select(
-        "ref_no", "sub_no", "system", "updated", F.lit(1).alias("flow_count")
-    )
+    moved = t.stage(cutover(old, new, moves, "account", "trade_date", "moved_on"), "moved")
+    earlier = (c("updated") < F.lit("2001-01-01").cast("timestamp_ntz")) & (c("o_orderstatus") != "P")
+    stored = moved.filter(earlier).select("ref_no", "sub_no", "system", "updated", F.lit(1).alias("flow_count"))
     owners = customer_slices(t).select(
         c("o_custkey").alias("account"), c("nation").alias("owner_key"), c("cs").alias("start_date"), c("ce").alias("end_date")
     )
@@ -260,7 +260,8 @@ def transaction_fact(t):
         + F.when(c("size") == "large", 2).otherwise(1)
     ))
     return tx.transaction_fact(
-        old, new, moves, stored, owners, rates, types, "account", "moved_on", ["ref_no", "sub_no"], IN_CODES, large
+        moved, stored, owners, rates, types, "account", ["ref_no", "sub_no"], IN_CODES, large,
+        stage=lambda df: t.stage(df, "batch"),
     )
 
 
@@ -326,8 +327,9 @@ def referral_fact(t):
     """The stored fact knows the referrals before mid-1998 and their funding up to then; the
     accumulating load fills in later funding and adds the newer referrals."""
     refs, people, assignments, funded = referral_inputs(t)
+    refs, funded = t.stage(refs, "refs"), t.stage(funded, "funded")
     swapped = c("source") == "US"
-    fact = ref.referral_fact(refs, people, assignments, funded, swapped)
+    fact = t.stage(ref.referral_fact(refs, people, assignments, funded, swapped), "referrals")
     cut = int(ORDER_CUT.replace("-", ""))
     late = c("trading_date_key") >= cut
     stored = fact.filter(c("referral_date_key") < cut).withColumns({
@@ -338,12 +340,8 @@ def referral_fact(t):
         "trading_date_key": F.when(late, -1).otherwise(c("trading_date_key")),
     })
 
-    def fill(tgt, src):
-        unset = {"person_funded_key": -1, "trading_date_key": -1, "funded_count": 0, "funding_days_lag": None}
-        return fill_only_missing(
-            tgt, src, ["source", "referral_id"], unset, c("completed") == 0, {"completed": c("s_completed")}
-        )
-
+    unset = {"person_funded_key": -1, "trading_date_key": -1, "funded_count": 0, "funding_days_lag": None}
+    fill = fill_rule(unset, c("completed") == 0, {"completed": c("s_completed")})
     return accumulate(stored, fact, ["source", "referral_id"], [fill])
 
 
@@ -421,8 +419,10 @@ LEFT JOIN cw ON cw.user_id = ev.user_id AND w0 <= ev.event_date AND ev.event_dat
 def termination_fact(t):
     """Error versions are threats, a following signup is the termination, anything else a save;
     the amount adds up the latest values per event type within ten days."""
-    versions = hist(t)
-    events = term.termination_events(versions, "user_id", "event_type", "error", ["view", "click", "purchase"], "signup")
+    versions = t.stage(hist(t), "versions")
+    events = t.stage(
+        term.termination_events(versions, "user_id", "event_type", "error", ["view", "click", "purchase"], "signup"), "events"
+    )
     balances = t.events.groupBy("user_id", c("event_type").alias("account"), F.to_date("ts").alias("balance_day")).agg(
         F.max(money(c("value"))).alias("balance")
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.lake import table
+from ..sources.lake import table, write_table
 
 
 class Tables:
@@ -26,6 +26,10 @@ class Tables:
             return tempfile.mkdtemp(prefix="strataledger-")
         return f"{shared.rstrip('/')}/strataledger-{next(tempfile._get_candidate_names())}"
 
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a result that is read several times, as a staging table, and read it back."""
+        return write_table(df, f"{self.scratch()}/{name}")
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}

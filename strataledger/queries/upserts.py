@@ -124,26 +124,20 @@ def insert_if_absent(t):
 
 
 M_KEYS = ["o_orderkey", "order_date_key"]
-M_COLS = ["o_orderkey", "order_date_key", "closed_date_key", "done_count", "cancel_count", "discount_amount", "completed"]
 UNSET = {"closed_date_key": -1, "done_count": 0, "cancel_count": 0, "discount_amount": None}
 RESET = {"closed_date_key": -1, "done_count": 0, "cancel_count": 0, "completed": 0}
 
 
-def fill_open(tgt, src):
+def fill_open():
     closing = (c("s_done_count") == 1) | (c("s_cancel_count") == 1)
-    return u.fill_only_missing(
-        tgt, src, M_KEYS, UNSET, c("completed") == 0,
-        {"completed": F.when(closing, c("s_completed")).otherwise(c("completed"))},
-    )
+    completed = F.when(closing, c("s_completed")).otherwise(c("completed"))
+    return u.fill_rule(UNSET, c("completed") == 0, {"completed": completed})
 
 
-def contradicted():
+def reopened(tgt):
     s = c("s_o_orderstatus")
-    return (s == "O") | ((s == "P") & (c("done_count") == 1)) | ((s == "F") & (c("cancel_count") == 1))
-
-
-def reopened(tgt, src):
-    return u.reopen(tgt, src, M_KEYS, contradicted(), RESET, ["o_orderstatus"], c("completed") == 1)
+    contradicted = (s == "O") | ((s == "P") & (c("done_count") == 1)) | ((s == "F") & (c("cancel_count") == 1))
+    return u.reopen_rule(tgt, contradicted, RESET, c("completed") == 1)
 
 
 FILLED = """SELECT g.o_orderkey, g.order_date_key,
@@ -165,20 +159,21 @@ FROM (SELECT m.*, m.completed = 1 AND (s.o_orderstatus = 'O' OR (s.o_orderstatus
 
 @query("fill_unpopulated", f"WITH {MILESTONES} {FILLED.format(g='m_tgt')}")
 def fill_unpopulated(t):
-    return fill_open(milestones_stored(t), milestones_batch(t))
+    return u.update_rows(milestones_stored(t), milestones_batch(t), M_KEYS, [fill_open()])
 
 
 @query("late_measure_update", f"""
 WITH {MILESTONES} SELECT m.o_orderkey, m.completed, coalesce(m.discount_amount, s.discount_amount) AS discount_amount
 FROM m_tgt m JOIN m_src s USING (o_orderkey, order_date_key)""")
 def late_measure_update(t):
-    done = u.fill_late_measure(milestones_stored(t), milestones_batch(t), M_KEYS, "discount_amount")
+    done = u.update_rows(milestones_stored(t), milestones_batch(t), M_KEYS, [u.late_rule("discount_amount")])
     return done.select("o_orderkey", "completed", "discount_amount")
 
 
 @query("reopen_events", f"WITH {MILESTONES} {REOPENED}")
 def reopen_events(t):
-    return reopened(milestones_stored(t), milestones_batch(t))
+    tgt = milestones_stored(t)
+    return u.update_rows(tgt, milestones_batch(t), M_KEYS, [reopened(tgt)])
 
 
 @query("accumulating_snapshot", f"""
@@ -190,11 +185,9 @@ UNION ALL SELECT o_orderkey, order_date_key, closed_date_key, done_count, cancel
 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM m_tgt)""")
 def accumulating_snapshot(t):
     """Reopen contradicted rows, fill open ones, take late measures, insert new events."""
-    src = milestones_batch(t)
-    return u.accumulate(
-        milestones_stored(t), src, M_KEYS,
-        [reopened, fill_open, lambda tgt, s: u.fill_late_measure(tgt, s, M_KEYS, "discount_amount")],
-    )
+    tgt = milestones_stored(t)
+    rules = [reopened(tgt), fill_open(), u.late_rule("discount_amount")]
+    return u.accumulate(tgt, milestones_batch(t), M_KEYS, rules)
 
 
 @query("unknown_member", """
