@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -72,6 +73,16 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     return df.sparkSession.read.parquet(path)
 
 
+def write_logged(df: DataFrame, path: str, source: str, run_id: str) -> dict:
+    """Write a table and report the load: rows counted while they are written, seconds, status."""
+    seen, began = Observation("load"), time.monotonic()
+    df.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.mode("overwrite").parquet(path)
+    return {
+        "run_id": run_id, "source": source, "target": path, "n_rows": seen.get["n_rows"],
+        "seconds": round(time.monotonic() - began, 3), "status": "Succeeded",
+    }
+
+
 def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
