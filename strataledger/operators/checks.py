@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .hotkeys import DEFAULT_SPLIT, Split
+from .joins import key_set
 from .ordered import neighbours
 
 
@@ -60,8 +61,8 @@ def compare_counts(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def missing_rows(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys found on one side only, tagged with the side they are found on."""
-    left = a.select(*keys).join(b.select(*keys), [*keys], "left_anti").withColumn("found_in", F.lit("a"))
-    right = b.select(*keys).join(a.select(*keys), [*keys], "left_anti").withColumn("found_in", F.lit("b"))
+    left = a.select(*keys).join(key_set(b, keys), [*keys], "left_anti").withColumn("found_in", F.lit("a"))
+    right = b.select(*keys).join(key_set(a, keys), [*keys], "left_anti").withColumn("found_in", F.lit("b"))
     return left.unionByName(right)
 
 
@@ -114,7 +115,7 @@ def orphan_counts(facts: Mapping[str, tuple[DataFrame, str]], bad: DataFrame, ke
     """Per fact, the rows that use one of the bad dimension keys."""
     parts = []
     for name, (fact, column) in facts.items():
-        hit = fact.select(F.col(column).alias(key)).join(bad.select(key), key, "left_semi")
+        hit = fact.select(F.col(column).alias(key)).join(key_set(bad, [key]), key, "left_semi")
         parts.append(hit.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("fact"), "n_rows"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import key_set
+
 
 def keep_unknown(cond: Column) -> Column:
     """The condition, true where it is unknown."""
@@ -18,12 +20,12 @@ def keep_unknown(cond: Column) -> Column:
 
 def in_subquery(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys occur in ``other``."""
-    return df.join(other.select(*keys), [*keys], "left_semi")
+    return df.join(key_set(other, keys), [*keys], "left_semi")
 
 
 def exclude_list(df: DataFrame, excluded: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys do not occur in ``excluded``."""
-    return df.join(excluded.select(*keys), [*keys], "left_anti")
+    return df.join(key_set(excluded, keys), [*keys], "left_anti")
 
 
 def cutover(

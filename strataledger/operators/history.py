@@ -17,6 +17,7 @@ from ..defaults import MAX_DATE, UNKNOWN_TEXT, max_date, min_date
 from ..functions.hashing import text_hash, with_row_hash
 from ..session import checkpoint
 from .hotkeys import DEFAULT_SPLIT, HotKeys, Split, resolve
+from .joins import key_set
 from .ordered import first_per_key, neighbours, numbered, running
 
 
@@ -95,7 +96,7 @@ def history_from_old_new(
     first = first_per_key(log, [key], [at, tie]).select(key, F.col(old).alias(value))
     opening = first.join(base.select(key, F.col(created).alias(at)), key).select(key, value, at)
     changes = log.select(key, F.col(new).alias(value), at)
-    quiet = base.join(log.select(key), key, "left_anti").select(
+    quiet = base.join(key_set(log, [key]), key, "left_anti").select(
         key, F.col(current).alias(value), F.col(created).alias(at)
     )
     return opening.unionByName(changes).unionByName(quiet).distinct()
@@ -181,7 +182,7 @@ def windows_from_events(df: DataFrame, everyone: DataFrame, key: str, day: str)
         key, F.coalesce("_p", min_date()).alias("window_start"), F.col("_d").alias("window_end")
     )
     last = days.groupBy(key).agg(F.max("_d").alias("window_start")).withColumn("window_end", max_date())
-    never = everyone.select(key).distinct().join(days.select(key), key, "left_anti").select(
+    never = everyone.select(key).distinct().join(key_set(days, [key]), key, "left_anti").select(
         key, min_date().alias("window_start"), max_date().alias("window_end")
     )
     return upto.unionByName(last).unionByName(never)

@@ -17,12 +17,27 @@ from ..functions.numbers import money
 from .ordered import first_per_key
 
 
+# Label maps and combination dimensions of at most so many rows are broadcast.
+SMALL_DIMENSION = 100_000
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Hint a broadcast only after counting, with an early stop, that the side has few rows."""
-    small = df.limit(max_rows + 1).count() <= max_rows
+    """Hint a broadcast only after counting that the side has few rows.
+
+    The count is a map-side aggregate that reads no columns of a parquet table.
+    """
+    small = df.agg(F.count(F.lit(1)).alias("n")).first()["n"] <= max_rows
     return (F.broadcast(df), True) if small else (df, False)
 
 
+def key_set(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct keys for the right side of a semi or anti join.
+
+    Copies of a hot key are combined before the shuffle, and the join reuses the partitioning.
+    """
+    return df.select(*keys).distinct()
+
+
 def lookup_key(
     fact: DataFrame, dim: DataFrame, on: Mapping[str, str], key: str, out: str, unknown: int = UNKNOWN_KEY
 ) -> DataFrame:
@@ -37,13 +52,14 @@ def lookup_key(
 
 def missing(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose keys the target does not have (NULL keys are never found)."""
-    return src.join(tgt.select(*keys), [*keys], "left_anti")
+    return src.join(key_set(tgt, keys), [*keys], "left_anti")
 
 
 def not_exists(src: DataFrame, other: DataFrame, on: Mapping[str, str], cond: Column | None = None) -> DataFrame:
     """Rows without a partner; ``cond`` restricts the partners."""
     partners = other if cond is None else other.filter(cond)
-    side = partners.select(*[F.col(o).alias(f"_on{i}") for i, o in enumerate(on.values())])
+    names = [f"_on{i}" for i in range(len(on))]
+    side = key_set(partners.select(*[F.col(o).alias(n) for o, n in zip(on.values(), names)]), names)
     match = reduce(lambda a, b: a & b, [F.col(s) == F.col(f"_on{i}") for i, s in enumerate(on)])
     return src.join(side, match, "left_anti")
 
@@ -51,7 +67,7 @@ def not_exists(src: DataFrame, other: DataFrame, on: Mapping[str, str], cond: Co
 def reduce_to_keys(big: DataFrame, key: str, *key_frames: DataFrame) -> DataFrame:
     """Shrink a big table to the keys in play before it is joined again and again."""
     wanted = reduce(lambda a, b: a.unionByName(b), [k.select(key) for k in key_frames])
-    return big.join(wanted, key, "left_semi")
+    return big.join(key_set(wanted, [key]), key, "left_semi")
 
 
 def lookup_by_labels(
@@ -60,7 +76,8 @@ def lookup_by_labels(
     """Key of a combination dimension from several computed labels."""
     named = {f"_l{i}": e for i, e in enumerate(labels.values())}
     on = dict(zip(named, labels))
-    return lookup_key(df.withColumns(named), dim, on, key, key, unknown).drop(*named)
+    side, _ = broadcast_if_small(dim, SMALL_DIMENSION)
+    return lookup_key(df.withColumns(named), side, on, key, key, unknown).drop(*named)
 
 
 def decode_labels(
@@ -73,7 +90,7 @@ def decode_labels(
 
     ``attributes`` maps an attribute name to (code column, label column).
     """
-    out = df
+    out, (code_map, _) = df, broadcast_if_small(code_map, SMALL_DIMENSION)
     for name, (code, label) in attributes.items():
         side = code_map.filter(F.col("attribute_name") == name).select(
             F.col("attribute_value").alias("_code"), F.col("value").alias("_label")
@@ -102,16 +119,21 @@ def match_either(
 def crosswalk(
     a: DataFrame, b: DataFrame, key: str, a_id: str, b_id: str, a_preferred: str, b_preferred: str
 ) -> DataFrame:
-    """(a_id, b_id) pairs sharing a key; an id that maps twice keeps its preferred rows only."""
-    pairs = a.select(key, a_id, a_preferred).join(b.select(key, b_id, b_preferred), key)
-    for side, flag in ((a_id, a_preferred), (b_id, b_preferred)):
-        twice = pairs.groupBy(side).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-        pairs = (
-            pairs.join(twice, side, "left")
-            .filter(F.col("_n").isNull() | (F.col(flag) == 1))
-            .drop("_n")
-        )
-    return pairs.select(a_id, b_id)
+    """(a_id, b_id) pairs sharing a key; an id that maps twice keeps its preferred rows only.
+
+    How often an id maps follows from the row counts per key, so rows that will not stay are
+    removed from each side before any pair is made.
+    """
+
+    def once_or_preferred(side: DataFrame, id_: str, flag: str, other: DataFrame) -> DataFrame:
+        partners = other.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        met = side.select(key, id_, flag).join(partners, key)
+        totals = met.groupBy(id_).agg(F.sum("_n").alias("_total"))
+        return met.join(totals, id_).filter((F.col("_total") == 1) | (F.col(flag) == 1)).select(key, id_)
+
+    left = once_or_preferred(a, a_id, a_preferred, b)
+    right = once_or_preferred(b, b_id, b_preferred, left)
+    return left.join(right, key).select(a_id, b_id)
 
 
 def join_on_exprs(

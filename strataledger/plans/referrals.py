@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..defaults import UNKNOWN_KEY
 from ..functions.dates import date_key
 from ..operators.asof import prior_within_months
+from ..operators.filters import in_subquery
 from ..operators.hotkeys import DEFAULT_SPLIT, Split, SplitPolicy, find_hot
+from ..operators.joins import missing
 from ..operators.ordered import first_per_key
 from ..operators.temporal import eligible_at, temporal_join
 
@@ -17,7 +19,7 @@ SPANS = ("first_start", "last_start", "left_on")
 
 def attribution_waterfall(explicit: DataFrame, everyone: DataFrame, derived: DataFrame, key: list[str]) -> DataFrame:
     """Explicit owners first, then the derived ones of what is left, each tagged."""
-    rest = derived.join(explicit.select(*key), key, "left_anti").join(everyone.select(*key), key, "left_semi")
+    rest = in_subquery(missing(derived, explicit, key), everyone, key)
     return explicit.withColumn("attribution", F.lit("Credited")).unionByName(
         rest.withColumn("attribution", F.lit("Derived"))
     )

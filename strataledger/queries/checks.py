@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import with_row_hash
 from ..operators import checks as q
 from ..operators import upsert as u
+from ..operators.filters import in_subquery
 from ..operators.joins import lookup_key
 from ..sources.lake import literal_rows
 from .fixtures import BATCH, HIST, STORED, TRACKED, batch, hist, stored
@@ -147,8 +148,8 @@ def reconcile_across_tables(t):
     return q.tagged_counts(
         {
             "orders": t.orders,
-            "shipped": t.orders.join(lines, "o_orderkey", "left_semi"),
-            "known": t.orders.join(known, "o_custkey", "left_semi"),
+            "shipped": in_subquery(t.orders, lines, ["o_orderkey"]),
+            "known": in_subquery(t.orders, known, ["o_custkey"]),
         },
         {"orders": rows(), "customers": F.count_distinct("o_custkey")},
     )

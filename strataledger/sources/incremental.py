@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import key_set
+
 
 def incremental(
     src: DataFrame, tgt: DataFrame, ts: str, overlap_days: int = 1, floor: str = "1900-01-01"
@@ -24,6 +26,6 @@ def incremental(
 def late_arrivals(src: DataFrame, batch: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Back-dated rows the mark missed: keys in neither the batch nor the target."""
     return (
-        src.join(tgt.select(*keys), [*keys], "left_anti")
-        .join(batch.select(*keys), [*keys], "left_anti")
+        src.join(key_set(tgt, keys), [*keys], "left_anti")
+        .join(key_set(batch, keys), [*keys], "left_anti")
     )

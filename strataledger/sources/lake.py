@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import key_set
+
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
     """A parquet file or folder with the schema it carries."""
@@ -28,7 +30,7 @@ def project_source(df: DataFrame, cols: Sequence[str], view: str | None = None)
 
 def register_file(log: DataFrame, entries: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Append load-log rows that are not logged yet."""
-    fresh = entries.dropDuplicates([*keys]).join(log.select(*keys), [*keys], "left_anti")
+    fresh = entries.dropDuplicates([*keys]).join(key_set(log, keys), [*keys], "left_anti")
     return log.unionByName(fresh, allowMissingColumns=True)
 
 
@@ -52,7 +54,7 @@ def dated_path(root: str, day: Column, file_name: Column) -> Column:
 
 def files_for_run(log: DataFrame, members: DataFrame, key: str, cond: Column, path: Column) -> DataFrame:
     """Paths of the logged files of a run that belong to the given members."""
-    hit = log.filter(cond).join(members.select(key), key, "left_semi")
+    hit = log.filter(cond).join(key_set(members, [key]), key, "left_semi")
     return hit.withColumn("path", path)
 
 
