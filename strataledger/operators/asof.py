@@ -75,25 +75,39 @@ def recurring_lag(batch: DataFrame, all_: DataFrame, match: Sequence[str], date:
     return joined.select(*batch.columns, F.datediff("_day", "_prev").alias(out))
 
 
+def carry_forward(
+    spine: DataFrame, on: str, day: str, parts: Sequence[DataFrame], cols: Sequence[str]
+) -> DataFrame:
+    """Spine days with the latest value of each column on or before the day.
+
+    ``parts`` have (on, day) and some of ``cols``, at most one row per (on, day) each, so groups
+    are bounded by the calendar and one sorted pass serves all columns.
+    """
+    both = spine.withColumn("_side", F.lit(1))
+    for part in parts:
+        both = both.unionByName(part.withColumn("_side", F.lit(0)), allowMissingColumns=True)
+    filled = running(both, [on], [day, "_side"], fills={f"_l_{x}": F.col(x) for x in cols}, split=None)
+    return filled.filter(F.col("_side") == 1).select(*spine.columns, *[F.col(f"_l_{x}").alias(x) for x in cols])
+
+
+def signal_days(events: DataFrame, on: str, day: str, event_day: Column, signals: Mapping[str, Column]) -> DataFrame:
+    """One row per (entity, day) with the day itself under each signal that occurred on it."""
+    seen = events.select(on, event_day.alias(day), *[F.coalesce(x, F.lit(False)).alias(s) for s, x in signals.items()])
+    daily = seen.groupBy(on, day).agg(*[F.max(s).alias(s) for s in signals])
+    return daily.select(on, day, *[F.when(F.col(s), F.col(day)).alias(s) for s in signals])
+
+
 def days_since(
     spine: DataFrame, events: DataFrame, on: str, day: str, event_day: Column, signals: Mapping[str, Column],
 ) -> DataFrame:
     """For each spine day and signal, days since the entity's last event with that signal.
 
     Events are first reduced to the signals of one (entity, day), then carried forward over the
-    spine, so groups are bounded by the calendar and no day is paired with every event.
+    spine: no day is paired with every event.
     """
-    daily = (
-        events.select(on, event_day.alias(day), *[F.coalesce(c, F.lit(False)).alias(s) for s, c in signals.items()])
-        .groupBy(on, day).agg(*[F.max(s).alias(s) for s in signals])
-        .select(on, day, *[F.when(F.col(s), F.col(day)).alias(f"_d_{s}") for s in signals], F.lit(0).alias("_side"))
-    )
-    asks = spine.withColumn("_side", F.lit(1))
-    both = asks.unionByName(daily, allowMissingColumns=True)
-    done = running(both, [on], [day, "_side"], fills={f"_l_{s}": F.col(f"_d_{s}") for s in signals}, split=None)
-    return done.filter(F.col("_side") == 1).select(
-        *spine.columns, *[F.datediff(day, f"_l_{s}").alias(s) for s in signals]
-    )
+    daily = signal_days(events, on, day, event_day, signals)
+    done = carry_forward(spine, on, day, [daily], list(signals))
+    return done.withColumns({s: F.datediff(day, s) for s in signals})
 
 
 def within(days: Column, limit: Column | int) -> Column:

@@ -93,9 +93,13 @@ def count_delta(before: DataFrame, after: DataFrame, measures: Mapping[str, Colu
 
 
 def rerun_delta(load: Callable[[DataFrame, DataFrame], DataFrame], tgt: DataFrame, src: DataFrame,
-                keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Rows added and values changed by running a load a second time on its own result."""
-    once = load(tgt, src)
+                keys: Sequence[str], cols: Sequence[str],
+                stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Rows added and values changed by running a load a second time on its own result.
+
+    ``stage`` may write the first result to a table, as a load would.
+    """
+    once = stage(load(tgt, src))
     twice = load(once, src)
     n_once = once.agg(F.count(F.lit(1)).alias("n")).scalar()
     n_twice = twice.agg(F.count(F.lit(1)).alias("n")).scalar()

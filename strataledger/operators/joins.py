@@ -6,7 +6,7 @@ broadcasts small sides by their statistics and splits skewed sort-merge partitio
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -117,12 +117,14 @@ def match_either(
 
 
 def crosswalk(
-    a: DataFrame, b: DataFrame, key: str, a_id: str, b_id: str, a_preferred: str, b_preferred: str
+    a: DataFrame, b: DataFrame, key: str, a_id: str, b_id: str, a_preferred: str, b_preferred: str,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """(a_id, b_id) pairs sharing a key; an id that maps twice keeps its preferred rows only.
 
     How often an id maps follows from the row counts per key, so rows that will not stay are
-    removed from each side before any pair is made.
+    removed from each side before any pair is made. ``stage`` may write the reduced first side,
+    which is read again, to a table.
     """
 
     def once_or_preferred(side: DataFrame, id_: str, flag: str, other: DataFrame) -> DataFrame:
@@ -131,7 +133,7 @@ def crosswalk(
         totals = met.groupBy(id_).agg(F.sum("_n").alias("_total"))
         return met.join(totals, id_).filter((F.col("_total") == 1) | (F.col(flag) == 1)).select(key, id_)
 
-    left = once_or_preferred(a, a_id, a_preferred, b)
+    left = stage(once_or_preferred(a, a_id, a_preferred, b))
     right = once_or_preferred(b, b_id, b_preferred, left)
     return left.join(right, key).select(a_id, b_id)
 

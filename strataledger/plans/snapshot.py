@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from ..defaults import UNKNOWN_KEY
 from ..functions.dates import date_key
-from ..operators.asof import days_since, within
+from ..operators.asof import carry_forward, days_since, signal_days, within
 from ..operators.joins import lookup_by_labels, missing
 from ..operators.ordered import running
 from ..operators.project import waterfall
-from ..operators.temporal import temporal_join
 
 
 def daily_snapshot(
@@ -40,9 +39,16 @@ def daily_snapshot(
     """
     todo = spine if loaded is None else missing(spine, loaded, [entity, day])
     signals = {"_contact": contact, **{f"_{n}": cond for n, (cond, _) in reviews.items()}}
-    seen = days_since(todo, activities, entity, day, activity_day, signals)
+    activity = signal_days(activities, entity, day, activity_day, signals)
+    # the version valid on a day is carried forward too, instead of pairing days with versions
+    versions = history.select(
+        entity, F.col("start_date").alias(day), F.struct("version_key", "end_date").alias("_version")
+    )
+    seen = carry_forward(todo, entity, day, [activity, versions], [*signals, "_version"])
+    seen = seen.withColumns({s: F.datediff(day, s) for s in signals})
     known = seen.join(attributes, entity, "left").withColumn("rule_days", rule)
-    versioned = temporal_join(known, history, [entity], day, how="left", split=None)
+    valid = F.col("_version.end_date") > F.col(day)
+    versioned = known.withColumn("version_key", F.when(valid, F.col("_version.version_key")))
     flags = {"contact": within(F.col("_contact"), contact_limit)}
     flags.update({n: within(F.col(f"_{n}"), limit) for n, (_, limit) in reviews.items()})
     flagged = versioned.withColumns(flags)
@@ -60,9 +66,15 @@ def daily_snapshot(
 def lowest_active(
     spine: DataFrame, windows: DataFrame, entity: str, day: str, value: Column, out: str
 ) -> DataFrame:
-    """(entity, day, out): the lowest value of the windows [start, end] active on a spine day."""
-    met = temporal_join(spine.select(entity, day), windows, [entity], day, closed="both", split=None)
-    return met.select(entity, day, value.alias(out)).groupBy(entity, day).agg(F.min(out).alias(out))
+    """(entity, day, out): the lowest value of the windows [start, end] active on a day.
+
+    Windows are clipped to the entity's spine and unrolled into their days, which makes exactly
+    the matching pairs; the lowest value per day is a map-side combined aggregate.
+    """
+    spans = spine.groupBy(entity).agg(F.min(day).alias("_from"), F.max(day).alias("_to"))
+    first, last = F.greatest("start_date", "_from"), F.least("end_date", "_to")
+    days = windows.join(spans, entity).filter(first <= last).withColumn(day, F.explode(F.sequence(first, last)))
+    return days.select(entity, day, value.alias(out)).groupBy(entity, day).agg(F.min(out).alias(out))
 
 
 def contact_rules(

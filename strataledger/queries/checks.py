@@ -107,7 +107,7 @@ def check_idempotent(t):
     """The type-1 upsert run on its own result changes nothing."""
     return q.rerun_delta(
         lambda tgt, src: u.upsert_type1(tgt.select(*src.columns), src, ["c_custkey"], TRACKED),
-        stored(t), batch(t), ["c_custkey"], ["c_mktsegment", "row_hash"],
+        stored(t), batch(t), ["c_custkey"], ["c_mktsegment", "row_hash"], stage=lambda df: t.stage(df, "loaded"),
     )
 
 

@@ -141,7 +141,9 @@ def id_crosswalk(t):
     b = t.orders.join(t.customer, c("o_custkey") == c("c_custkey")).select(
         c("o_orderkey").alias("id_b"), key, (c("o_orderstatus") == "F").cast("int").alias("good_b")
     )
-    return j.crosswalk(a, b, "k", "id_a", "id_b", "good_a", "good_b")
+    return j.crosswalk(
+        a, t.stage(b, "b"), "k", "id_a", "id_b", "good_a", "good_b", stage=lambda df: t.stage(df, "a")
+    )
 
 
 @query("expr_key_join", """
