@@ -17,7 +17,8 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return table(self.spark, self.folder, name)
+        self.__dict__[name] = df = table(self.spark, self.folder, name)  # footers are read once per query
+        return df
 
     def scratch(self) -> str:
         """A new folder for a written table: in the cluster's shared folder where it names one."""
