@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,7 @@ class Tables:
         shared = self.spark.conf.get("spark.checkpoint.dir", None)
         if not shared:
             return tempfile.mkdtemp(prefix="strataledger-")
-        return f"{shared.rstrip('/')}/strataledger-{next(tempfile._get_candidate_names())}"
+        return f"{shared.rstrip('/')}/strataledger-{uuid.uuid4().hex}"
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write a result that is read several times, as a staging table, and read it back."""
