@@ -17,19 +17,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .hotkeys import DEFAULT_SPLIT, PIECE, HotKeys, Split, drop_hot, match_hot, piece_at, position, resolve
+from .hotkeys import DEFAULT_SPLIT, PIECE, HotKeys, Split, cut_pieces, resolve
 
 GHOST = "_ghost"
 
 
 def _pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: HotKeys):
     """(all rows with their piece, the rows of hot keys only)."""
-
-    def cut(how: str) -> DataFrame:
-        joined = match_hot(df, hot, keys, how)
-        return drop_hot(joined.withColumn(PIECE, piece_at(position(df, order[0]))), keys)
-
-    return cut("left"), cut("inner")
+    return cut_pieces(df, hot, keys, order), cut_pieces(df, hot, keys, order, "inner")
 
 
 def neighbours(
@@ -51,7 +46,7 @@ def neighbours(
     prev = dict(zip(before, given))
     nxt = dict(zip(after, given[len(before):]))
 
-    hot = resolve(df, keys, order[0], split)
+    hot = resolve(df, keys, order, split)
     if hot is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         out = rows.withColumns(
@@ -118,7 +113,7 @@ def running(
             return w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
         return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    hot = resolve(df, keys, order[0], split)
+    hot = resolve(df, keys, order, split)
     if hot is None:
         return scanned(rows, upto(Window.partitionBy(*keys).orderBy(*order))).drop(*named)
 

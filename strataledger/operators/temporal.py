@@ -52,17 +52,19 @@ def temporal_join(
             cond = cond & (F.col(k) == F.col(f"_h_{k}"))
         return left.join(right, cond, how).drop("_at", *[f"_h_{k}" for k in on])
 
-    left = drop_hot(match_hot(left, hot, on).withColumn(PIECE, piece_at(position(left, "_at"))), on)
-    right = match_hot(hist.withColumn("_end", F.coalesce(F.col(end), max_date())), hot, on)
+    # order does not matter here: bursts inside a piece are left to the skew handling of the join
+    coarse = hot.levels[0].filter("_by = 0")
+    left = drop_hot(match_hot(left, coarse, on).withColumn(PIECE, piece_at(position(left, "_at"))), on)
+    right = match_hot(hist.withColumn("_end", F.coalesce(F.col(end), max_date())), coarse, on)
     kind = left.schema["_at"].dataType
     spans = right.withColumns({"_s": F.col(start).cast(kind), "_e": F.col("_end").cast(kind)})
     first, last = piece_at(position(spans, "_s")), piece_at(position(spans, "_e"))
-    spans = spans.withColumn("_p", F.explode(F.sequence(first, F.greatest(first, last))))
+    spans = spans.withColumn("_covered", F.explode(F.sequence(first, F.greatest(first, last))))
     spans = drop_hot(spans, on).drop("_s", "_e").withColumnsRenamed({k: f"_h_{k}" for k in on})
-    cond = (F.col(PIECE) == F.col("_p")) & valid_at(F.col("_at"), F.col(start), F.col("_end"), closed)
+    cond = (F.col(PIECE) == F.col("_covered")) & valid_at(F.col("_at"), F.col(start), F.col("_end"), closed)
     for k in on:
         cond = cond & (F.col(k) == F.col(f"_h_{k}"))
-    return left.join(spans, cond, how).drop("_at", "_end", "_p", PIECE, *[f"_h_{k}" for k in on])
+    return left.join(spans, cond, how).drop("_at", "_end", "_covered", PIECE, *[f"_h_{k}" for k in on])
 
 
 def chain(df: DataFrame, steps: Sequence[Callable[[DataFrame], DataFrame]]) -> DataFrame:

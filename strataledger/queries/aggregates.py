@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import money
@@ -125,11 +124,6 @@ def latest_dim_attribute_count(t):
     return hist(t).filter((c("current_record") == 1) & (c("event_type") != "error")).agg(rows().alias("active"))
 
 
-@query("order_by_aggregate", """
-SELECT event_type, count(*) AS n, CAST(rank() OVER (ORDER BY count(*) DESC, event_type) AS INTEGER) AS place
-FROM events GROUP BY 1 ORDER BY n DESC""")
+@query("order_by_aggregate", "SELECT event_type, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, event_type")
 def order_by_aggregate(t):
-    """Counts by frequency; the place is computed over the few groups, not over the rows."""
-    groups = t.events.groupBy("event_type").agg(rows().alias("n"))
-    w = Window.orderBy(F.desc("n"), "event_type")
-    return groups.withColumn("place", F.rank().over(w)).orderBy(F.desc("n"))
+    return t.events.groupBy("event_type").agg(rows().alias("n")).orderBy(F.desc("n"), "event_type")

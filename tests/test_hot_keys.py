@@ -26,10 +26,10 @@ def skewed(spark, sf):
 def test_hot_keys_are_found_and_bounded(skewed):
     found = find_hot(skewed, ["user_id"], "ts", TINY)
     assert isinstance(found, HotKeys)
-    ids = {r["_k0"] for r in found.table.collect()}
+    ids = {r["_k0"] for r in found.levels[0].collect()}
     assert 0 in ids and None in ids
     one = find_hot(skewed, ["user_id"], "ts", SplitPolicy(hot_rows=20, piece_rows=6, max_hot_keys=1))
-    assert [r["_k0"] for r in one.table.collect()] == [0]
+    assert [r["_k0"] for r in one.levels[0].collect()] == [0]
     assert find_hot(skewed, ["user_id"], "ts") is None
 
 
@@ -64,6 +64,34 @@ def test_running(skewed, keys, ties):
     assert same(run(TINY), run(None)) == 1_000
 
 
+def bursts(skewed, kind):
+    """Hot users whose rows pile up at one moment, within a second, or with a NULL time."""
+    third = F.pmod(F.xxhash64("event_id", F.lit("b")), F.lit(3))
+    at = F.lit("2024-01-03 10:00:00").cast("timestamp_ntz")
+    near = at + F.make_dt_interval(secs=(F.col("event_id") / 1000).cast("decimal(18,6)"))
+    ts = {
+        "moment": F.when(third == 0, F.col("ts")).otherwise(at), "all": at, "second": F.when(third == 0, F.col("ts")).otherwise(near),
+        "null": F.when(third == 0, F.lit(None)).otherwise(at), "none": F.lit(None).cast("timestamp_ntz"),
+    }[kind]
+    return skewed.withColumn("ts", ts)
+
+
+@pytest.mark.parametrize("kind", ["moment", "all", "second", "null", "none"])
+def test_bursts(skewed, kind):
+    rows = bursts(skewed, kind)
+    found = find_hot(rows, ["user_id"], AT, TINY)
+    if kind in ("moment", "second"):
+        assert len(found.levels) > 1
+    if kind == "all":
+        assert {r["_by"] for r in found.levels[0].collect()} == {1}
+
+    def run(split):
+        seen = neighbours(rows, ["user_id"], AT, before={"p": F.col("event_id")}, after={"n": F.col("value")}, split=split)
+        return running(seen, ["user_id"], AT, sums={"i": F.lit(1).cast("long")}, fills={"f": F.col("p")}, split=split)
+
+    assert same(run(TINY), run(None)) == 1_000
+
+
 def test_history_operators(skewed):
     from strataledger.functions.hashing import with_row_hash
 
