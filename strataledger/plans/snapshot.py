@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from ..defaults import UNKNOWN_KEY
 from ..functions.dates import date_key
 from ..operators.asof import carry_forward, days_since, signal_days, within
-from ..operators.joins import lookup_by_labels, missing
+from ..operators.joins import lookup_by_labels, lookup_key, missing
 from ..operators.ordered import running
 from ..operators.project import waterfall
+from ..operators.upsert import update_type1
 
 
 def daily_snapshot(
@@ -117,3 +118,9 @@ def contact_violation(
     return done.select(
         entity, date_key(F.col(day)).alias("date_key"), "rule_days", F.when(fine, 0).otherwise(1).alias("violation")
     )
+
+
+def update_snapshot(fact: DataFrame, violations: DataFrame, frequencies: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Write the rule's key and the violation into the snapshot rows that exist already."""
+    keyed = lookup_key(violations, frequencies, {"rule_days": "rule_days"}, "frequency_key", "frequency_key")
+    return update_type1(fact, keyed, keys, ["frequency_key", "violation"])

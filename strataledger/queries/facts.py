@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.dates import date_key
 from ..functions.numbers import money
 from ..operators import history as h
 from ..operators.filters import cutover
@@ -109,12 +110,14 @@ ruled AS (SELECT s.user_id, s.day, CAST(coalesce(custom.v, intro.v,
 lagged AS (SELECT s.*, date_diff('day', {last_day_of('click')}, s.day) AS lag_c, date_diff('day',
     (SELECT arg_max(CAST(e.ts AS DATE), e.event_id) FROM events e WHERE e.user_id = s.user_id AND e.event_type = 'view'
       AND CAST(e.ts AS DATE) <= s.day), s.day) AS lag_r FROM ruled s)
-SELECT user_id, {key_of('day')} AS date_key, rule_days,
-  CASE WHEN lag_c BETWEEN 0 AND rule_days OR lag_r BETWEEN 0 AND rule_days THEN 0 ELSE 1 END AS violation FROM lagged""")
+SELECT user_id, {key_of('day')} AS date_key, CAST(CASE WHEN rule_days < 12 THEN 100 + rule_days ELSE -1 END AS INTEGER) AS frequency_key,
+  CASE WHEN lag_c BETWEEN 0 AND rule_days OR lag_r BETWEEN 0 AND rule_days THEN 0 ELSE 1 END AS violation, 1 AS client_count
+FROM lagged""")
 def contact_rule_violation(t):
     """Custom rule after signups, introduction rule after purchases, then segment rules; the
-    extended rule holds where a signup window starts inside an error version."""
-    spine = user_spine(t)
+    extended rule holds where a signup window starts inside an error version. The result is written
+    into snapshot rows that have neither; twelve days are not in the frequency dimension."""
+    spine = t.stage(user_spine(t), "spine")
     kind, today = c("event_type"), F.to_date("ts")
     ev = t.events.select("event_id", "user_id", "event_type", "ts", "value", today.alias("start"))
 
@@ -147,9 +150,17 @@ def contact_rule_violation(t):
         ("extended", snap.lowest_active(spine, extended, "user_id", "day", F.lit(12), "extended")),
         ("trading", F.when(c("c_mktsegment") == "MACHINERY", 5)),
     ], "user_id", "day", default=9)
-    return snap.contact_violation(
+    violations = snap.contact_violation(
         ruled, t.events, "user_id", "day", today, contact=kind == "click", review=kind == "view", review_id="event_id"
     )
+    fact = spine.select(
+        "user_id", date_key(c("day")).alias("date_key"), F.lit(-1).alias("frequency_key"), F.lit(0).alias("violation"),
+        F.lit(1).alias("client_count"),
+    )
+    frequencies = t.spark.range(1, 12).select(
+        c("id").cast("int").alias("rule_days"), (c("id") + 100).cast("int").alias("frequency_key")
+    )
+    return snap.update_snapshot(fact, violations, frequencies, ["user_id", "date_key"])
 
 
 def flows(t):
