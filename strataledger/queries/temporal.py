@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import money
 from ..operators import asof as a
-from ..operators import joins as j
 from ..operators import pairing
 from ..operators import temporal as tp
 from ..operators.bands import band_lookup
