@@ -4,8 +4,8 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
-
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+from strataledger.queries import ORACLES as SQL
+from strataledger.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
