@@ -82,7 +82,8 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         "upper_share": uppers / per_char, "digit_share": digits / per_char, "mark_share": marks / per_char,
         "words_per_line": n / F.greatest(n_lines, F.lit(1)), "distinct_share": distinct / F.greatest(n, F.lit(1)),
     }
-    out = out.withColumn("stats", F.struct(*[c.alias(k) for k, c in stats.items()]))
+    # the one-element explode keeps later filters on the statistics from being pushed into, and repeating, their computation
+    out = out.withColumn("stats", F.explode(F.array(F.struct(*[c.alias(k) for k, c in stats.items()]))))
     return out.select(*[F.col(f"`{c}`") for c in base.columns], "stats")
 
 

@@ -89,3 +89,12 @@ def mix(docs: DataFrame, size: Column, sources: DataFrame | None = None, epochs:
     picked = (F.col(total) - F.col("size") / 2.0 < rest) & (F.col("size") > 0)
     out = out.withColumn("taken", (F.col("size") * (whole + picked.cast("int"))).cast("long"))
     return out.select(*[F.col(f"`{c}`") for c in base.columns], *new)
+
+
+def take_all(mixed: DataFrame) -> DataFrame:
+    """Rows of a mix as often as it takes them; texts without words, which count nothing, come once for every whole epoch."""
+    whole = F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1)))
+    copies = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(whole).cast("int")
+    copy = fresh(mixed, "_copy")
+    rows = mixed.where(copies > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), copies)))
+    return rows.drop(copy)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_list, hash_tree, mixing, simhash_ball
+from . import decision_list, hash_tree, mixing, simhash_ball, template_windows
 from .common import count_words, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,13 @@ def op7_simhash_near_dups(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op8_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and the number of its tokens found."""
+    out = template_windows.matches(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    return out.select("doc_id", "item_id", "n_matched", "n_item")
+
+
 @query
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base statistics, base rules and the verdict of the decision list learned from the labels."""
