@@ -7,13 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_list, hash_tree, mixing, simhash_ball, template_windows
+from . import decision_list, hash_tree, line_templates, mixing, separator_scan, simhash_ball, template_windows, token_records
 from .common import count_words, read
 
+#: Names of files of the public tokenizers; where they lie is the installation's affair.
+WORD_BPE, WORD_BPE_END = "word_bpe_49k.json", 49407
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer(name: str = WORD_BPE) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -48,6 +57,39 @@ SELECT doc_id, source, size, source_size, target,
   CAST(size * (whole + CASE WHEN size > 0 AND total - size / 2.0::DOUBLE < target - whole * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM c"""
 
 
+@query
+def op2_line_templates(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the lines whose template recurs in ten texts or more."""
+    out = line_templates.drop_recurring(read(spark, folder, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+ORACLES["op2_line_templates"] = r"""
+WITH t AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
+s AS (SELECT text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS no FROM t),
+l AS (SELECT text, no, line, regexp_extract_all(regexp_replace(line, '[^ 	-]*[0-9][^ 	-]*', '<*>', 'g'), '[^ 	-]+') AS w FROM s),
+m AS (SELECT text, no, line, w, len(w) AS n, w[1:2] AS lead FROM l WHERE len(w) >= 3),
+f AS (SELECT n, lead FROM m GROUP BY n, lead HAVING count(DISTINCT text) >= 10),
+k AS (SELECT n, lead, w, count(DISTINCT text) AS c FROM m JOIN f USING (n, lead) GROUP BY n, lead, w),
+p AS (SELECT n, lead, w, c, unnest(w) AS token, unnest(range(len(w))) AS pos FROM k),
+u AS (SELECT n, lead, pos, token FROM p GROUP BY n, lead, pos, token HAVING sum(c) >= 10),
+a AS (SELECT n, w, list((pos, token) ORDER BY pos) AS kept FROM p JOIN u USING (n, lead, pos, token) WHERE token <> '<*>'
+  GROUP BY n, w HAVING count(*) >= 0.6::DOUBLE * n),
+b AS (SELECT n, kept FROM m JOIN a USING (n, w) GROUP BY n, kept HAVING count(DISTINCT text) >= 10),
+d AS (SELECT DISTINCT text, no FROM m JOIN a USING (n, w) JOIN b USING (n, kept)),
+r AS (SELECT s.text, count(d.no) AS n_dropped, count(*) FILTER (regexp_matches(line, '[^ 	-]')) AS n_lines,
+  coalesce(string_agg(line, chr(10) ORDER BY s.no) FILTER (d.no IS NULL), '') AS kept FROM s LEFT JOIN d ON s.text = d.text AND s.no = d.no GROUP BY s.text)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN r USING (text)"""
+
+
+@query
+def op3_token_records(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents' token ids written as framed records in id order, and read back."""
+    files = token_records.write(read(spark, folder, "documents"), tokenizer(), end_id=2)
+    return token_records.read(files).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 @query
 def op5_shard_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in shards 0 to 23 by id; what would move to a 25th; numbered within their shard."""
@@ -60,6 +102,12 @@ def op5_shard_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+@query
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document, counted between the separators of flat token files."""
+    return separator_scan.document_tokens(read(spark, folder, "documents"), tokenizer(), WORD_BPE_END)
+
+
 @query
 def op7_simhash_near_dups(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document, three-word shingles, at most two bits apart."""

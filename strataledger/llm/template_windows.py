@@ -173,9 +173,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = 8, enough: int =
     bench = staged(benchmark_windows(benchmark, size, least, item_id, item_text))
     n, lengths = bench.agg(F.count(F.lit(1)), F.sort_array(F.collect_set("len"))).first()
     doc_kind = dict(docs.dtypes)[doc_id]
-    schema = f"doc_id {doc_kind}, key1 long, key2 long, pos int, h long, template string, slots array<string>"
+    schema = "doc_id string, key1 long, key2 long, pos int, h long, template string, slots array<string>"
     rows = docs.select(
-        F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("key1"), F.xxhash64(F.lit(1), F.col(text)).alias("key2"), F.col(text).alias("text")
+        F.col(doc_id).cast("string").alias("doc_id"), F.xxhash64(text).alias("key1"), F.xxhash64(F.lit(1), F.col(text)).alias("key2"), F.col(text).alias("text")
     ).where("text is not null")
     blocks = max(1, -(-n // block))
     found = []
@@ -200,7 +200,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = 8, enough: int =
     places = F.flatten(F.transform("windows", lambda w: F.sequence(w["at"], w["at"] + w["len"] - 1)))
     covered = aligned.where(same).select(*row, "n", F.explode(F.array_distinct(places)).alias("token")).distinct()
     per = covered.groupBy(*row).agg(F.count(F.lit(1)).cast("int").alias("n_matched"), F.max("n").alias("n_item"))
-    return per.where(F.col("n_matched") >= F.least(F.lit(enough), F.ceil(F.col("n_item") / 2)))
+    per = per.where(F.col("n_matched") >= F.least(F.lit(enough), F.ceil(F.col("n_item") / 2)))
+    return per.withColumn("doc_id", F.col("doc_id").cast(doc_kind))
 
 
 def _looker(sent, lengths: list[int]):
