@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_list, hash_tree, line_templates, mixing, separator_scan, simhash_ball, template_windows, token_records
+from . import (
+    de_bruijn,
+    decision_list,
+    hash_tree,
+    line_templates,
+    mixing,
+    separator_scan,
+    simhash_ball,
+    sparse_suffix,
+    template_windows,
+    token_records,
+)
 from .common import count_words, read
 
 #: Names of files of the public tokenizers; where they lie is the installation's affair.
@@ -67,7 +78,10 @@ def op2_line_templates(spark: SparkSession, folder: str) -> DataFrame:
 ORACLES["op2_line_templates"] = r"""
 WITH t AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
 s AS (SELECT text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS no FROM t),
-l AS (SELECT text, no, line, regexp_extract_all(regexp_replace(line, '[^ 	-]*[0-9][^ 	-]*', '<*>', 'g'), '[^ 	-]+') AS w FROM s),
+l AS (SELECT text, no, line, regexp_extract_all(regexp_replace(line, '[^ 	-
+]*[0-9][^ 	-
+]*', '<*>', 'g'), '[^ 	-
+]+') AS w FROM s),
 m AS (SELECT text, no, line, w, len(w) AS n, w[1:2] AS lead FROM l WHERE len(w) >= 3),
 f AS (SELECT n, lead FROM m GROUP BY n, lead HAVING count(DISTINCT text) >= 10),
 k AS (SELECT n, lead, w, count(DISTINCT text) AS c FROM m JOIN f USING (n, lead) GROUP BY n, lead, w),
@@ -77,7 +91,8 @@ a AS (SELECT n, w, list((pos, token) ORDER BY pos) AS kept FROM p JOIN u USING (
   GROUP BY n, w HAVING count(*) >= 0.6::DOUBLE * n),
 b AS (SELECT n, kept FROM m JOIN a USING (n, w) GROUP BY n, kept HAVING count(DISTINCT text) >= 10),
 d AS (SELECT DISTINCT text, no FROM m JOIN a USING (n, w) JOIN b USING (n, kept)),
-r AS (SELECT s.text, count(d.no) AS n_dropped, count(*) FILTER (regexp_matches(line, '[^ 	-]')) AS n_lines,
+r AS (SELECT s.text, count(d.no) AS n_dropped, count(*) FILTER (regexp_matches(line, '[^ 	-
+]')) AS n_lines,
   coalesce(string_agg(line, chr(10) ORDER BY s.no) FILTER (d.no IS NULL), '') AS kept FROM s LEFT JOIN d ON s.text = d.text AND s.no = d.no GROUP BY s.text)
 SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, sha256(coalesce(kept, '')) AS kept_sha256
 FROM documents LEFT JOIN r USING (text)"""
@@ -90,6 +105,16 @@ def op3_token_records(spark: SparkSession, folder: str) -> DataFrame:
     return token_records.read(files).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def _kept(out: DataFrame) -> DataFrame:
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the words of matches of 50 words or more."""
+    return _kept(sparse_suffix.remove_repeats(read(spark, folder, "documents").select("doc_id", "text")))
+
+
 @query
 def op5_shard_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in shards 0 to 23 by id; what would move to a 25th; numbered within their shard."""
@@ -122,6 +147,12 @@ def op8_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "item_id", "n_matched", "n_item")
 
 
+@query
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the words of windows of 35 words that occur elsewhere."""
+    return _kept(de_bruijn.remove_repeats(read(spark, folder, "documents").select("doc_id", "text")))
+
+
 @query
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base statistics, base rules and the verdict of the decision list learned from the labels."""
