@@ -5,36 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import broadcast_if_small
+from .hotkeys import log_bucket
+
+PER_FOLD = 4
 
 
 def band_lookup(
-    df: DataFrame, bands: DataFrame, value: str, lo: str = "lo", hi: str = "hi",
-    how: str = "left", max_bands: int = 1_000,
+    df: DataFrame, bands: DataFrame, value: str, lo: str = "lo", hi: str = "hi", how: str = "left",
 ) -> DataFrame:
     """Band with ``lo <= value < hi``; NULL ``hi`` is open.
 
-    A counted, small band table is broadcast. A larger one is joined by equality on buckets as
-    wide as its average band, each band being repeated once per bucket it covers.
+    An equality join on logarithmic buckets, each band being repeated once per bucket it covers: a few thousand times at most, for one
+    from minus to plus infinity. Which side is broadcast is left to statistics.
     """
     cond = (F.col(value) >= F.col(lo)) & (F.col(hi).isNull() | (F.col(value) < F.col(hi)))
-    side, small = broadcast_if_small(bands, max_bands)
-    if small:
-        return df.join(side, cond, how)
-    edge = bands.agg(
-        F.min(lo).cast("double").alias("a"), F.max(F.coalesce(hi, lo)).cast("double").alias("b"),
-        F.count(F.lit(1)).alias("n"),
-    ).first()
-    step = max((edge["b"] - edge["a"]) / edge["n"], 1e-9)
+    far = F.lit(1_000 * PER_FOLD).cast("long")
 
     def bucket(col):
-        raw = F.floor((col.cast("double") - F.lit(edge["a"])) / F.lit(step))
-        return F.least(F.greatest(raw, F.lit(0)), F.lit(edge["n"])).cast("long")
-
-    last = F.coalesce(bucket(F.col(hi)), F.lit(edge["n"]).cast("long"))
-    cut = bands.withColumn("_bb", F.explode(F.sequence(bucket(F.col(lo)), last)))
-    return (
-        df.withColumn("_b", bucket(F.col(value)))
-        .join(cut, (F.col("_b") == F.col("_bb")) & cond, how)
-        .drop("_b", "_bb")
-    )
+        return F.least(log_bucket(col, PER_FOLD), far)
+
+    # a band that ends where a bucket begins is not in that bucket, but one look too many does no harm
+    covered = F.sequence(bucket(F.col(lo)), F.greatest(bucket(F.col(lo)), F.coalesce(bucket(F.col(hi)), far)))
+    cut = bands.filter(F.col(lo).isNotNull()).withColumn("_bb", F.explode(covered))
+    seen = df.withColumn("_b", F.when(F.col(value).isNotNull(), bucket(F.col(value))))
+    return seen.join(cut, (F.col("_b") == F.col("_bb")) & cond, how).drop("_b", "_bb")

@@ -2,7 +2,7 @@
 
 Histories have ``start_date``, ``end_date`` (exclusive, 9999-12-31 while open),
 ``current_record`` (0/1) and ``row_hash``. After ``latest_per_day`` an entity has at most one
-row per calendar day, so the windows that follow run unsplit (``split=None``).
+row per calendar day, so the windows that follow run unsplit (``split=False``).
 """
 
 from __future__ import annotations
@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from ..defaults import MAX_DATE, UNKNOWN_TEXT, max_date, min_date
 from ..functions.hashing import text_hash, with_row_hash
-from ..session import checkpoint
-from .hotkeys import DEFAULT_SPLIT, HotKeys, Split, resolve
+from .hotkeys import DEFAULT_SPLIT, Split
 from .joins import key_set
 from .ordered import first_per_key, neighbours, numbered, running
 
@@ -61,7 +60,7 @@ def close_with_next(
 
 def build_scd2(
     audit: DataFrame, key: str, ts: str, tie: str, attrs: Sequence[str],
-    sparse: Sequence[str] = (), day: Column | None = None,
+    sparse: Sequence[str] = (), day: Column | None = None, money: bool = False,
 ) -> DataFrame:
     """Full version history of an audit log: last change per day, fill, hash, keep changes, date.
 
@@ -69,16 +68,16 @@ def build_scd2(
     the shuffle on the entity, which the four windows share.
     """
     last = latest_per_day(audit, [key], ts, tie, day, out="start_date").select(key, "start_date", *attrs)
-    filled = forward_fill(last, [key], ["start_date"], sparse, split=None) if sparse else last
-    hashed = with_row_hash(filled, attrs)
-    changed = changes_only(hashed, [key], ["start_date"], split=None)
-    return close_with_next(changed, [key], ["start_date"], split=None)
+    filled = forward_fill(last, [key], ["start_date"], sparse, split=False) if sparse else last
+    hashed = with_row_hash(filled, attrs, money=money)
+    changed = changes_only(hashed, [key], ["start_date"], split=False)
+    return close_with_next(changed, [key], ["start_date"], split=False)
 
 
 def override_first_start(hist: DataFrame, base: DataFrame, key: str, created: str) -> DataFrame:
     """The first version starts when the base row was created, if that is earlier."""
     firsts = base.groupBy(key).agg(F.min(created).alias("_created"))
-    seen = neighbours(hist, [key], ["start_date"], before={"_before": F.lit(1)}, split=None)
+    seen = neighbours(hist, [key], ["start_date"], before={"_before": F.lit(1)}, split=False)
     joined = seen.join(firsts, key, "left")
     start = F.when(F.col("_before").isNull(), F.least("start_date", F.coalesce("_created", "start_date")))
     return joined.withColumn("start_date", start.otherwise(F.col("start_date"))).select(*hist.columns)
@@ -120,7 +119,7 @@ def island_fill(
     """Carry the date of the last mark over the following spine days."""
     joined = spine.join(marks.select(key, F.col(marked).alias(day), F.col(marked).alias("_mark")).distinct(),
                         [key, day], "left")
-    return running(joined, [key], [day], fills={out: F.col("_mark")}, split=None).drop("_mark")
+    return running(joined, [key], [day], fills={out: F.col("_mark")}, split=False).drop("_mark")
 
 
 def stitch(
@@ -136,14 +135,8 @@ def stitch(
     """
 
     old, new = old.filter(F.col(start) < cut), new.filter(F.col(start) >= cut)
-    hot = resolve(old.select(key, start).unionByName(new.select(key, start)), [key], start, split)
-
-    def cut_lineage(df: DataFrame) -> DataFrame:
-        # a split step reads its input twice, so a chain of them is cut where keys are hot
-        return checkpoint(df) if isinstance(hot, HotKeys) else df
-
     def changes(df: DataFrame, system: str) -> DataFrame:
-        kept = changes_only(with_row_hash(df, attrs), [key], [start, "tie"], split=hot)
+        kept = changes_only(with_row_hash(df, attrs), [key], [start, "tie"], split=split)
         return kept.withColumn("system", F.lit(system))
 
     # system ranks sort the old rows first, which is what offsetting the ordinals comes to
@@ -151,9 +144,9 @@ def stitch(
         changes(new, "new").withColumn("_rank", F.lit(1))
     )
     order = [start, "_rank", "tie"]
-    changed = cut_lineage(changes_only(cut_lineage(both), [key], order, split=hot))
-    closed = cut_lineage(close_with_next(changed, [key], order, start=start, split=hot))
-    return numbered(closed, [key], order, "ordinal", hot).drop("_rank")
+    changed = changes_only(both, [key], order, split=split)
+    closed = close_with_next(changed, [key], order, start=start, split=split)
+    return numbered(closed, [key], order, "ordinal", split).drop("_rank")
 
 
 def end_of_day_flags(
@@ -170,15 +163,15 @@ def end_of_day_flags(
 def end_of_day_view(hist: DataFrame, key: str, at: str, tie: str, attrs: Sequence[str]) -> DataFrame:
     """Day-grained history: the last row of a day, changes only, whole-day windows."""
     last = latest_per_day(hist, [key], at, tie, out="start_date").select(key, "start_date", *attrs)
-    changed = changes_only(with_row_hash(last, attrs), [key], ["start_date"], first="Unknown", split=None)
-    return close_with_next(changed, [key], ["start_date"], split=None)
+    changed = changes_only(with_row_hash(last, attrs), [key], ["start_date"], first="Unknown", split=False)
+    return close_with_next(changed, [key], ["start_date"], split=False)
 
 
 def windows_from_events(df: DataFrame, everyone: DataFrame, key: str, day: str) -> DataFrame:
     """Lifecycle windows: from the previous event to each event, an open one after the last,
     and one whole-time window for entities without events."""
     days = df.select(key, F.col(day).alias("_d")).distinct()
-    upto = neighbours(days, [key], ["_d"], before={"_p": F.col("_d")}, split=None).select(
+    upto = neighbours(days, [key], ["_d"], before={"_p": F.col("_d")}, split=False).select(
         key, F.coalesce("_p", min_date()).alias("window_start"), F.col("_d").alias("window_end")
     )
     last = days.groupBy(key).agg(F.max("_d").alias("window_start")).withColumn("window_end", max_date())

@@ -1,19 +1,15 @@
-"""Splitting hot groups into ordered pieces.
+"""Cutting every key's rows into pieces along their order, so that no key has to be one task.
 
-One entity may hold a third of all rows. Ordered windows and range joins keep a key's rows in
-one task, so the rows of such keys are first cut along their order column into *pieces*. The
-pieces of a key follow each other in order, hence a window can run per (key, piece) once every
-piece has been told what lies just outside it (``ordered.py``), and a range join can meet a
-version in exactly the pieces it covers (``temporal.py``).
-
-Cold keys form one piece. Whether there are hot keys at all is looked up first, so data without
-them is planned without any of this.
+A piece is a number or text computed from the leading order column alone that never decreases along Spark's own order of that
+column: NULL first, NaN last. So pieces need no counting, no look at the data and no switch: they are the same at every size, and a
+window over (key, piece) plus what is carried between pieces (``ordered.py``) gives what one window over the key gives.
+A day of a date, a minute of a timestamp, a 256th of an e-fold of a number and three leading characters of a text are one piece; other types
+have one piece only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,172 +17,33 @@ from pyspark.sql import types as T
 
 PIECE = "_piece"
 
+# Whether a key's rows are cut. False is for keys that the calendar bounds, as after ``latest_per_day``.
+Split = bool
+DEFAULT_SPLIT = True
 
-@dataclass(frozen=True)
-class SplitPolicy:
-    """When and how finely a key is split.
-
-    ``max_hot_keys`` bounds the broadcast table. It drops nothing: a key beyond it stays in one
-    piece, and it can hold at most 1/max_hot_keys of the rows.
-    """
-
-    hot_rows: int = 5_000_000
-    piece_rows: int = 1_000_000
-    max_hot_keys: int = 10_000
+FOLD = 256  # pieces in which a number grows by the factor e
+BEYOND = 1_000_000  # the pieces of infinity and, one more, of NaN
 
 
-DEFAULT_SPLIT = SplitPolicy()
+def log_bucket(col: Column, per_fold: int = FOLD) -> Column:
+    """A long that never decreases with the number."""
+    x = col.cast("double")
+    size = F.least(F.floor(F.least(F.log1p(F.abs(x)), F.lit(1_000.0)) * per_fold), F.lit(BEYOND))
+    return F.when(F.isnan(x), F.lit(BEYOND + 1)).otherwise(F.when(x < 0, -size).otherwise(size)).cast("long")
 
 
-def position(df: DataFrame, name: str) -> Column:
-    """A number that never decreases along the order of the column."""
-    kind, col = df.schema[name].dataType, F.col(name)
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(col)
-    if isinstance(kind, T.TimestampNTZType):
-        return F.unix_micros(col.cast("timestamp"))
+def piece(df: DataFrame, order: Sequence[str]) -> Column:
+    """Piece of a row by the first of the order columns."""
+    kind, col = df.schema[order[0]].dataType, F.col(order[0])
     if isinstance(kind, T.DateType):
         return F.unix_date(col).cast("long")
+    if isinstance(kind, T.TimestampType):
+        return F.floor(F.unix_micros(col) / F.lit(60_000_000))
+    if isinstance(kind, T.TimestampNTZType):
+        # by its own calendar: a time zone's clock change would bend the order
+        return (F.unix_date(col.cast("date")) * 24 + F.hour(col)).cast("long") * 60 + F.minute(col)
     if isinstance(kind, T.NumericType):
-        return F.floor(col).cast("long")
-    raise TypeError(f"cannot split along {name}: {kind.simpleString()} has no position")
-
-
-@dataclass(frozen=True)
-class HotKeys:
-    """The hot keys of a table, coarse to fine.
-
-    A level has the key columns _k0.., from the second level on the parent piece _p, the index
-    _by of the order column it cuts along, the range _lo.._hi and the number of pieces _n.
-    """
-
-    levels: tuple[DataFrame, ...]
-
-
-Split = SplitPolicy | HotKeys | None
-
-# Pieces per level and levels at most: piece numbers of all levels fit one long.
-LEVEL_PIECES = 1 << 20
-MAX_LEVELS = 3
-
-
-def positions(df: DataFrame, order: Sequence[str]) -> list[Column]:
-    """Positions of the leading order columns that can be cut along."""
-    out: list[Column] = []
-    for name in order:
-        kind = df.schema[name].dataType
-        if not isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType, T.NumericType)):
-            break
-        out.append(position(df, name))
-    return out
-
-
-def find_hot(
-    df: DataFrame, keys: Sequence[str], along: str | Sequence[str], policy: SplitPolicy = DEFAULT_SPLIT
-) -> HotKeys | None:
-    """Look for keys with more than ``hot_rows`` rows; None when there are none.
-
-    One map-side combined aggregate over the key and order columns alone; at most
-    ``max_hot_keys`` rows of it reach the driver. Usually there are none and the caller plans a
-    plain window or join. Where there are, their pieces are counted, and a piece that is still
-    too large (a burst) is cut again in its own range; rows that share one value of an order
-    column are cut along the next. A chain of operators over one table looks once and passes the
-    result on: rows that a step has dropped only leave some pieces emptier.
-    """
-    order = [along] if isinstance(along, str) else list(along)
-    names = [f"_k{i}" for i in range(len(keys))]
-    pos = [f"_pos{i}" for i in range(len(positions(df, order)))]
-    if not pos:
-        raise TypeError(f"cannot split along {order[0]}")
-    rows = df.select(
-        *[F.col(k).alias(n) for k, n in zip(keys, names)], *[p.alias(n) for p, n in zip(positions(df, order), pos)]
-    )
-    levels: list[DataFrame] = []
-    while len(levels) < MAX_LEVELS:
-        parent = ["_p"] if levels else []
-        found = _large_groups(rows, [*names, *parent], pos, policy)
-        if found is None:
-            break
-        levels.append(found)
-        if len(levels) < MAX_LEVELS:
-            # only rows of pieces just cut can still be in a piece too large
-            rows = rows.withColumnsRenamed({n: f"{n}_" for n in [*names, *parent]})
-            rows = _cut(rows, found, [f"{n}_" for n in names], "_p_" if parent else None, pos, "inner")
-            rows = rows.select(*[F.col(f"{n}_").alias(n) for n in names], *pos, F.col(PIECE).alias("_p"))
-    return HotKeys(tuple(levels)) if levels else None
-
-
-def _large_groups(
-    rows: DataFrame, by: Sequence[str], pos: Sequence[str], policy: SplitPolicy
-) -> DataFrame | None:
-    n = F.count(F.lit(1))
-    stats = rows.groupBy(*by).agg(
-        n.alias("_rows"), *[F.min(p).alias(f"_lo{i}") for i, p in enumerate(pos)],
-        *[F.max(p).alias(f"_hi{i}") for i, p in enumerate(pos)], *[F.count(p).alias(f"_c{i}") for i, p in enumerate(pos)],
-    )
-    # the first column that varies; one that is partly NULL does not hand over to the next
-    usable, same_so_far, lo, hi = F.lit(None).cast("int"), F.lit(True), F.lit(None), F.lit(None)
-    for i in range(len(pos)):
-        varies = F.coalesce(F.col(f"_lo{i}") < F.col(f"_hi{i}"), F.lit(False))
-        here = usable.isNull() & same_so_far & varies
-        lo, hi = F.when(here, F.col(f"_lo{i}")).otherwise(lo), F.when(here, F.col(f"_hi{i}")).otherwise(hi)
-        usable = F.when(here, F.lit(i)).otherwise(usable)
-        same_so_far = same_so_far & ~varies & ((F.col(f"_c{i}") == 0) | (F.col(f"_c{i}") == F.col("_rows")))
-    pieces = F.least(F.ceil(F.col("_rows") / policy.piece_rows), F.lit(LEVEL_PIECES)).cast("long")
-    large = stats.filter(F.col("_rows") > policy.hot_rows).select(
-        *by, "_rows", usable.alias("_by"), lo.cast("long").alias("_lo"), hi.cast("long").alias("_hi"), pieces.alias("_n")
-    ).filter("_by is not null")
-    top = large.orderBy(F.desc("_rows"), *by).limit(policy.max_hot_keys).drop("_rows")
-    found = top.collect()
-    return rows.sparkSession.createDataFrame(found, top.schema) if found else None
-
-
-def _cut(
-    df: DataFrame, level: DataFrame, keys: Sequence[str], parent: str | None, pos: Sequence[str], how: str
-) -> DataFrame:
-    """Append the level's piece to the parent piece."""
-    joined = match_hot(df, level, keys, how, parent)
-    at = F.col(pos[0])
-    for i, p in enumerate(pos[1:], 1):
-        at = F.when(F.col("_by") == i, F.col(p)).otherwise(at)
-    above = F.col(parent) * LEVEL_PIECES if parent else F.lit(0)
-    return drop_hot(joined.withColumn(PIECE, above + piece_at(at)), keys)
-
-
-def cut_pieces(df: DataFrame, hot: HotKeys, keys: Sequence[str], order: Sequence[str], how: str = "left") -> DataFrame:
-    """Rows with their piece; with ``how='inner'`` the rows of hot keys only."""
-    cols = positions(df, order)
-    pos = [f"_pos{i}" for i in range(len(cols))]
-    out = df.withColumns(dict(zip(pos, cols)))
-    for i, level in enumerate(hot.levels):
-        out = _cut(out, level, keys, PIECE if i else None, pos, "left" if i else how)
-    return out.drop(*pos)
-
-
-def resolve(df: DataFrame, keys: Sequence[str], along: str | Sequence[str], split: Split) -> HotKeys | None:
-    return find_hot(df, keys, along, split) if isinstance(split, SplitPolicy) else split
-
-
-def piece_at(pos: Column) -> Column:
-    """Piece of a position inside a hot key's range, clipped at both ends; 0 for cold keys."""
-    width = (F.col("_hi") - F.col("_lo") + 1).cast("double")
-    share = (pos - F.col("_lo")).cast("double") / width
-    inside = F.least(F.greatest(F.floor(share * F.col("_n")), F.lit(0)), F.col("_n") - 1)
-    return F.coalesce(inside, F.lit(0)).cast("long")
-
-
-def match_hot(
-    df: DataFrame, level: DataFrame, keys: Sequence[str], how: str = "left", parent: str | None = None
-) -> DataFrame:
-    """Attach the hot range of each row's key (NULL keys match NULL)."""
-    small = F.broadcast(level)  # at most SplitPolicy.max_hot_keys rows, see find_hot
-    cond = F.lit(True)
-    for i, k in enumerate(keys):
-        cond = cond & df[k].eqNullSafe(small[f"_k{i}"])
-    if parent:
-        cond = cond & (df[parent] == small["_p"])
-    return df.join(small, cond, how)
-
-
-def drop_hot(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.drop(*[f"_k{i}" for i in range(len(keys))], "_p", "_by", "_lo", "_hi", "_n")
+        return F.when(col.isNotNull(), log_bucket(col))
+    if isinstance(kind, T.StringType):
+        return F.substring(col, 1, 3)
+    return F.lit(0).cast("long")

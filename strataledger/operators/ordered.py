@@ -1,13 +1,12 @@
 """Ordered (window) operators that survive a hot key.
 
-``split=None`` means one plain window per key. Use it where the rows of a key are bounded by
-the calendar, as after ``latest_per_day`` or on a daily spine. Otherwise the keys are counted
-first; if any is hot, hot keys are cut into pieces (``hotkeys``) and each piece is given *ghost rows* that carry in what lies before or
-after it: the neighbouring row for lag and lead, the running state for prefix scans. Ghost rows
-exist only for hot keys, one per piece, and are removed again at the end.
-
-Orders are ascending with NULL first, must be total for reproducible results, and start with a
-timestamp, date or number.
+``split=False`` means one plain window per key. Use it where the rows of a key are bounded by
+the calendar, as after ``latest_per_day`` or on a daily spine. Otherwise every key is cut into pieces along its order (``hotkeys``): the
+window runs within (key, piece), and what pieces tell each other is a few rows each. There is no look at the data, no
+job before the query's own and no switch by size. In ``neighbours`` both readers of the cut rows share one exchange, so a chain reads
+its input once; ``running`` reads keys, order and values a second time for the state of the pieces.
+
+Orders are ascending with NULL first and must be total for reproducible results. Rows of one key in one piece stay in one task.
 """
 
 from __future__ import annotations
@@ -17,14 +16,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .hotkeys import DEFAULT_SPLIT, PIECE, HotKeys, Split, cut_pieces, resolve
+from .hotkeys import DEFAULT_SPLIT, PIECE, Split, piece
 
-GHOST = "_ghost"
+CELL = "_cell"
 
 
-def _pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: HotKeys):
-    """(all rows with their piece, the rows of hot keys only)."""
-    return cut_pieces(df, hot, keys, order), cut_pieces(df, hot, keys, order, "inner")
+def _cells(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows with their piece and the cell (key, piece): a struct, so that NULL keys are equal to each other."""
+    cut = rows.withColumn(PIECE, piece(rows, order))
+    return cut.withColumn(CELL, F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(PIECE).alias("p")))
 
 
 def neighbours(
@@ -46,34 +46,26 @@ def neighbours(
     prev = dict(zip(before, given))
     nxt = dict(zip(after, given[len(before):]))
 
-    hot = resolve(df, keys, order, split)
-    if hot is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        out = rows.withColumns(
-            {**{o: F.lag(c).over(w) for o, c in prev.items()},
-             **{o: F.lead(c).over(w) for o, c in nxt.items()}}
-        )
-        return out.drop(*given)
-
-    everything, hot_rows = _pieces(rows, keys, order, hot)
-    carried = [*dict.fromkeys([*order, *given])]
-    image, at = F.struct(*carried), F.struct(*order)
-    edges = hot_rows.groupBy(*keys, PIECE).agg(
-        F.min_by(image, at).alias("_first"), F.max_by(image, at).alias("_last")
-    )
-    across = Window.partitionBy(*keys).orderBy(PIECE)  # one row per piece of a hot key
-    edges = edges.withColumns(
-        {"_last": F.lag("_last").over(across), "_first": F.lead("_first").over(across)}
-    ).select(*keys, PIECE, F.explode(F.array("_last", "_first")).alias("_row"))
-    edges = edges.filter("_row is not null")
-    ghosts = edges.select(*keys, PIECE, "_row.*", F.lit(1).alias(GHOST))
-    both = everything.withColumn(GHOST, F.lit(0)).unionByName(ghosts, allowMissingColumns=True)
-    w = Window.partitionBy(*keys, PIECE).orderBy(*order)
-    out = both.withColumns(
-        {**{o: F.lag(c).over(w) for o, c in prev.items()},
-         **{o: F.lead(c).over(w) for o, c in nxt.items()}}
+    def seen(w) -> dict[str, Column]:
+        return {**{o: F.lag(c).over(w) for o, c in prev.items()}, **{o: F.lead(c).over(w) for o, c in nxt.items()}}
+
+    if not split:
+        return rows.withColumns(seen(Window.partitionBy(*keys).orderBy(*order))).drop(*given)
+
+    inside = Window.partitionBy(CELL).orderBy(*order)
+    one = F.lit(1)
+    made = _cells(rows, keys, order).withColumns(
+        {**seen(inside), "_has_prev": F.lag(one).over(inside), "_has_next": F.lead(one).over(inside)}
     )
-    return out.filter(F.col(GHOST) == 0).drop(GHOST, PIECE, *given)
+    inner = made.filter("_has_prev is not null and _has_next is not null")
+    # the first and last row of each piece; next to each other in the key, they are neighbours
+    ends = made.filter("_has_prev is null or _has_next is null")
+    across = seen(Window.partitionBy(*keys).orderBy(*order))
+    outer = {f"_o{i}": c for i, c in enumerate(across.values())}
+    at = {o: (f"_o{i}", "_has_prev" if o in prev else "_has_next") for i, o in enumerate(across)}
+    ends = ends.withColumns(outer)
+    ends = ends.withColumns({o: F.when(F.col(side).isNull(), F.col(c)).otherwise(F.col(o)) for o, (c, side) in at.items()})
+    return inner.unionByName(ends.drop(*outer)).drop(CELL, PIECE, "_has_prev", "_has_next", *given)
 
 
 def running(
@@ -97,53 +89,33 @@ def running(
     kinds = ["sum"] * len(sums) + ["max"] * len(maxes) + ["fill"] * len(fills)
     rows = df.withColumns(named)
 
-    def scanned(frame: DataFrame, w) -> DataFrame:
-        made = {}
-        for out, src, kind in zip(outs, named, kinds):
-            if kind == "sum":
-                made[out] = F.sum(src).over(w)
-            elif kind == "max":
-                made[out] = F.max(src).over(w)
-            else:
-                made[out] = F.last(src, ignorenulls=True).over(w)
-        return frame.withColumns(made)
+    def scan(col: str, kind: str, w) -> Column:
+        return {"sum": F.sum(col), "max": F.max(col), "fill": F.last(col, ignorenulls=True)}[kind].over(w)
 
     def upto(w):
         if ties == "range":
             return w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
         return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    hot = resolve(df, keys, order, split)
-    if hot is None:
-        return scanned(rows, upto(Window.partitionBy(*keys).orderBy(*order))).drop(*named)
-
-    everything, hot_rows = _pieces(rows, keys, order, hot)
-    at = F.struct(*order)
-    states = []
-    for src, kind in zip(named, kinds):
-        if kind == "sum":
-            states.append(F.sum(src).alias(src))
-        elif kind == "max":
-            states.append(F.max(src).alias(src))
-        else:
-            states.append(F.max_by(src, F.when(F.col(src).isNotNull(), at)).alias(src))
-    totals = hot_rows.groupBy(*keys, PIECE).agg(*states)
-    earlier = Window.partitionBy(*keys).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
-    carry = {}
-    for src, kind in zip(named, kinds):
-        if kind == "sum":
-            carry[src] = F.sum(src).over(earlier)
-        elif kind == "max":
-            carry[src] = F.max(src).over(earlier)
-        else:
-            carry[src] = F.last(src, ignorenulls=True).over(earlier)
-    ghosts = totals.select(
-        *keys, PIECE, *[c.cast(rows.schema[n].dataType).alias(n) for n, c in carry.items()],
-        F.lit(0).alias("_real"),
+    if not split:
+        w = upto(Window.partitionBy(*keys).orderBy(*order))
+        return rows.withColumns({o: scan(c, k, w) for o, c, k in zip(outs, named, kinds)}).drop(*named)
+
+    inside = Window.partitionBy(CELL).orderBy(*order)
+    made = _cells(rows, keys, order).withColumns(
+        {**{o: scan(c, k, upto(inside)) for o, c, k in zip(outs, named, kinds)}, "_has_next": F.lead(F.lit(1)).over(inside)}
     )
-    both = everything.withColumn("_real", F.lit(1)).unionByName(ghosts, allowMissingColumns=True)
-    w = Window.partitionBy(*keys, PIECE).orderBy("_real", *order)  # the carried state comes first
-    return scanned(both, upto(w)).filter(F.col("_real") == 1).drop("_real", PIECE, *named)
+    # a piece's last row holds the piece's state; one such row per piece is scanned over the key
+    earlier = Window.partitionBy(*keys).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = {o: f"_c{i}" for i, o in enumerate(outs)}
+    state = made.filter("_has_next is null").withColumns({carried[o]: scan(o, k, earlier) for o, k in zip(outs, kinds)})
+    met = made.join(state.select(CELL, *carried.values()), CELL, "left")
+    done = {}
+    for o, kind in zip(outs, kinds):
+        own, past = F.col(o), F.col(carried[o])
+        both = {"sum": own + past, "max": F.greatest(own, past), "fill": own}[kind]
+        done[o] = F.coalesce(both, own, past).cast(made.schema[o].dataType)
+    return met.withColumns(done).drop(CELL, PIECE, "_has_next", *carried.values(), *named)
 
 
 def numbered(

@@ -8,12 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..defaults import max_date
-from .hotkeys import DEFAULT_SPLIT, PIECE, Split, drop_hot, match_hot, piece_at, position, resolve
-from .joins import broadcast_if_small
-
-# A history of so few versions is broadcast when the fact has hot keys; it is counted first.
-SMALL_HISTORY = 2_000
-
 
 def valid_at(at: Column, start: Column, end: Column, closed: str = "left") -> Column:
     """[start, end) by default, [start, end] with ``closed='both'``; an open end is NULL or the maximum."""
@@ -31,40 +25,19 @@ def temporal_join(
     closed: str = "left",
     how: str = "inner",
     shift_days: int = 0,
-    split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """Each fact row meets the version(s) of its key valid at ``at`` minus ``shift_days``.
 
-    Rows of hot fact keys are cut into date pieces and a version is repeated once per piece it
-    covers, so a hot key is spread over many tasks and a fact row is compared with the versions
-    of its own piece only. A history counted to be tiny is broadcast instead. ``hist`` columns other than ``on`` must not clash with the fact's.
+    One equality join on the key, whatever the sizes: a hot fact key is split by the join's skew handling, which gives the few
+    versions of that key to every part. ``hist`` columns other than ``on`` must not clash with the fact's.
     """
     moment = F.col(at) if not shift_days else F.date_sub(F.col(at), shift_days)
     left = fact.withColumn("_at", moment)
-    hot = resolve(left, on, "_at", split)
-    if hot is not None:
-        hist, small = broadcast_if_small(hist, SMALL_HISTORY)
-        hot = None if small else hot
-    if hot is None:
-        cond = valid_at(F.col("_at"), F.col(start), F.col(end), closed)
-        right = hist.withColumnsRenamed({k: f"_h_{k}" for k in on})
-        for k in on:
-            cond = cond & (F.col(k) == F.col(f"_h_{k}"))
-        return left.join(right, cond, how).drop("_at", *[f"_h_{k}" for k in on])
-
-    # order does not matter here: bursts inside a piece are left to the skew handling of the join
-    coarse = hot.levels[0].filter("_by = 0")
-    left = drop_hot(match_hot(left, coarse, on).withColumn(PIECE, piece_at(position(left, "_at"))), on)
-    right = match_hot(hist.withColumn("_end", F.coalesce(F.col(end), max_date())), coarse, on)
-    kind = left.schema["_at"].dataType
-    spans = right.withColumns({"_s": F.col(start).cast(kind), "_e": F.col("_end").cast(kind)})
-    first, last = piece_at(position(spans, "_s")), piece_at(position(spans, "_e"))
-    spans = spans.withColumn("_covered", F.explode(F.sequence(first, F.greatest(first, last))))
-    spans = drop_hot(spans, on).drop("_s", "_e").withColumnsRenamed({k: f"_h_{k}" for k in on})
-    cond = (F.col(PIECE) == F.col("_covered")) & valid_at(F.col("_at"), F.col(start), F.col("_end"), closed)
+    cond = valid_at(F.col("_at"), F.col(start), F.col(end), closed)
+    right = hist.withColumnsRenamed({k: f"_h_{k}" for k in on})
     for k in on:
         cond = cond & (F.col(k) == F.col(f"_h_{k}"))
-    return left.join(spans, cond, how).drop("_at", "_end", "_covered", PIECE, *[f"_h_{k}" for k in on])
+    return left.join(right, cond, how).drop("_at", *[f"_h_{k}" for k in on])
 
 
 def chain(df: DataFrame, steps: Sequence[Callable[[DataFrame], DataFrame]]) -> DataFrame:
@@ -102,8 +75,7 @@ def overlap_capped(
     a_span: tuple[str, str],
     b_span: tuple[str, str],
     out: tuple[str, str],
-    split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """Intervals of ``b`` that start inside an interval of ``a``; the end is the smaller end."""
-    met = temporal_join(b, a, [on], b_span[0], a_span[0], a_span[1], closed="both", split=split)
+    met = temporal_join(b, a, [on], b_span[0], a_span[0], a_span[1], closed="both")
     return met.withColumns({out[0]: F.col(b_span[0]), out[1]: F.least(F.col(a_span[1]), F.col(b_span[1]))})

@@ -9,7 +9,7 @@ from ..defaults import UNKNOWN_KEY
 from ..functions.dates import date_key
 from ..operators.asof import prior_within_months
 from ..operators.filters import in_subquery
-from ..operators.hotkeys import DEFAULT_SPLIT, Split, SplitPolicy, find_hot
+from ..operators.hotkeys import DEFAULT_SPLIT, Split
 from ..operators.joins import missing
 from ..operators.ordered import first_per_key
 from ..operators.temporal import eligible_at, temporal_join
@@ -42,11 +42,11 @@ def credited(refs: DataFrame, people: DataFrame, swapped: Column) -> DataFrame:
 
 
 def assigned(
-    refs: DataFrame, assignments: DataFrame, people: DataFrame, at: Column, out: str, split: Split
+    refs: DataFrame, assignments: DataFrame, people: DataFrame, at: Column, out: str
 ) -> DataFrame:
     """The person assigned to the referred client at a date, if employed then; else NULL."""
     dated = refs.withColumn("_when", at)
-    met = temporal_join(dated, assignments, ["client_id"], "_when", "from_date", "to_date", how="left", split=split)
+    met = temporal_join(dated, assignments, ["client_id"], "_when", "from_date", "to_date", how="left")
     staff = people.select(F.col("person_id").alias("assigned_id"), *SPANS)
     found = eligible_at(met, staff, "assigned_id", "_when", *SPANS, how="left")
     kept = F.when(F.col("first_start").isNotNull(), F.col("assigned_id"))
@@ -55,7 +55,7 @@ def assigned(
 
 def referral_fact(
     refs: DataFrame, people: DataFrame, assignments: DataFrame, funded: DataFrame, swapped: Column,
-    split: SplitPolicy = DEFAULT_SPLIT,
+    split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """One row per referral with its people, twelve-month flag and funding state.
 
@@ -64,16 +64,14 @@ def referral_fact(
     is derived in the same pass, by giving the named rows no date to look up.
     """
     key = ["source", "referral_id"]
-    by_client = find_hot(refs, ["client_id"], "referral_date", split)
-    by_source = find_hot(refs, ["client_id", "source"], "referral_date", split)
     rows = refs.join(funded, "referral_id", "left").join(credited(refs, people, swapped), key, "left")
     named, is_funded = F.col("person_id").isNotNull(), F.col("trading_date").isNotNull()
     for at, out in (("referral_date", "_submitted"), ("trading_date", "_funded")):
-        rows = assigned(rows, assignments, people, F.when(~named, F.col(at)), out, by_client)
+        rows = assigned(rows, assignments, people, F.when(~named, F.col(at)), out)
     submitted = F.coalesce("person_id", "_submitted", F.lit(UNKNOWN_KEY))
     paid = F.coalesce(F.when(is_funded, F.col("person_id")), "_funded", F.lit(UNKNOWN_KEY))
     flagged = prior_within_months(
-        rows, ["client_id", "source"], "referral_date", "referral_id", 12, "referred_in_12_months", by_source
+        rows, ["client_id", "source"], "referral_date", "referral_id", 12, "referred_in_12_months", split
     )
     return flagged.select(
         *key, "client_id", F.when(named, "Credited").otherwise("Derived").alias("attribution"),

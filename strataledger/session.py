@@ -31,18 +31,3 @@ def session(app: str = "strataledger", master: str | None = None, **conf: str) -
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpoint(df):
-    """Cut a long lineage in the cluster's shared folder; without one the plan is left as it is.
-
-    The folder is the one the cluster names in ``spark.checkpoint.dir``, so a lost executor
-    never takes the only copy with it.
-    """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        return df
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)

@@ -1,16 +1,15 @@
-"""The split paths give what plain windows and joins give, on a table where one user holds a
-third of all rows."""
+"""Cut keys give what plain windows give, on a table where one user holds a third of all rows."""
 
 import pytest
 from helpers import same
 from pyspark.sql import functions as F
 
 from strataledger.operators import asof, checks, history, pairing, upsert
-from strataledger.operators.hotkeys import HotKeys, SplitPolicy, find_hot
+from strataledger.operators.hotkeys import piece
 from strataledger.operators.ordered import neighbours, numbered, running
-from strataledger.operators.temporal import overlap_capped, temporal_join
+from strataledger.operators.temporal import temporal_join
 
-TINY = SplitPolicy(hot_rows=20, piece_rows=6)
+TINY = True
 AT = ["ts", "event_id"]
 
 
@@ -23,19 +22,64 @@ def skewed(spark, sf):
     return events.withColumn("user_id", user.cast("bigint")).cache()
 
 
-def test_hot_keys_are_found_and_bounded(skewed):
-    found = find_hot(skewed, ["user_id"], "ts", TINY)
-    assert isinstance(found, HotKeys)
-    ids = {r["_k0"] for r in found.levels[0].collect()}
-    assert 0 in ids and None in ids
-    one = find_hot(skewed, ["user_id"], "ts", SplitPolicy(hot_rows=20, piece_rows=6, max_hot_keys=1))
-    assert [r["_k0"] for r in one.levels[0].collect()] == [0]
-    assert find_hot(skewed, ["user_id"], "ts") is None
+ODD = {
+    "double": ["CAST('NaN' AS DOUBLE)", "CAST('Infinity' AS DOUBLE)", "CAST('-Infinity' AS DOUBLE)", "0D", "1e-300D", "-1e300D", "1.001D", "1.004D", "-3.5D"],
+    "bigint": ["9223372036854775807", "-9223372036854775808", "0", "1", "-1", "4611686018427387904"],
+    "decimal(38,4)": ["9999999999999999999999999999999999.9999", "-9999999999999999999999999999999999.9999", "0.0001", "12345678901234567890.5"],
+    "string": ["''", "'a'", "'aa'", "'abc'", "'abcd'", "'abd'", "'é'", "'Z'", "'日本語'"],
+    "date": ["DATE'0001-01-01'", "DATE'9999-12-31'", "DATE'2024-02-29'"],
+    "timestamp": ["TIMESTAMP'1000-01-01 00:00:00'", "TIMESTAMP'9999-12-31 23:59:59.999999'", "TIMESTAMP'2024-03-10 02:30:00.000001'"],
+    "timestamp_ntz": ["TIMESTAMP_NTZ'1000-01-01 00:00:00'", "TIMESTAMP_NTZ'9999-12-31 23:59:59.999999'", "TIMESTAMP_NTZ'2024-03-10 02:30:00.000001'"],
+    "boolean": ["true", "false"],
+}
 
 
-def test_a_key_beyond_the_table_bound_stays_whole(skewed):
-    one = SplitPolicy(hot_rows=20, piece_rows=6, max_hot_keys=1)
-    same(numbered(skewed, ["user_id"], AT, split=one), numbered(skewed, ["user_id"], AT, split=None))
+@pytest.mark.parametrize("kind", sorted(ODD))
+def test_every_type_of_order(spark, kind):
+    """NULL, NaN, infinities, ends of ranges: the pieces follow Spark's own order."""
+    values = ", ".join([*ODD[kind], "NULL"])
+    rows = spark.sql(f"SELECT 7 AS k, CAST(v AS {kind}) AS o FROM (SELECT explode(array({values})) AS v)")
+    rows = rows.crossJoin(spark.range(3)).withColumn("k", F.when(F.col("id") == 2, F.lit(None)).otherwise(F.col("k")))
+    w = [p[0] for p in rows.select(piece(rows, ["o"]).alias("p"), "o").orderBy("o").select("p").collect()]
+    assert w == sorted(w, key=lambda x: (x is not None, x if x is not None else 0)) or kind in ("string", "boolean")
+
+    def run(split):
+        seen = neighbours(rows, ["k"], ["o", "id"], before={"p": F.col("o")}, after={"n": F.col("id")}, split=split)
+        done = running(seen, ["k"], ["o", "id"], sums={"i": F.lit(1).cast("long")}, maxes={"m": F.col("o")}, fills={"f": F.col("p")}, split=split)
+        return done.withColumns({c: F.col(c).cast("string") for c in ("o", "p", "m", "f")})  # Python's NaN equals nothing
+
+    assert same(run(True), run(False)) == rows.count()
+
+
+def test_no_job_starts_while_plans_are_built(spark, skewed, versions):
+    spark.sparkContext.setJobGroup("plans", "plans")
+    rows = neighbours(skewed, ["user_id"], AT, before={"p": F.col("value")})
+    rows = running(rows, ["user_id"], AT, fills={"f": F.col("p")})
+    temporal_join(numbered(rows, ["user_id"], AT).withColumn("day", F.to_date("ts")), versions, ["user_id"], "day")
+    asof.asof_latest(skewed.select("event_id", "user_id", "ts"), skewed.select("user_id", F.col("ts").alias("at"), "value"), ["user_id"], "ts", "at", {"value": "seen"})
+    upsert.assign_keys(skewed.select("event_id").withColumn("k", F.lit(1)), skewed.select("event_id"), "k", ["event_id"])
+    started = spark.sparkContext.statusTracker().getJobIdsForGroup("plans")
+    spark.sparkContext.setJobGroup("tests", "tests")
+    assert not started
+
+
+def test_a_hot_key_is_spread(skewed):
+    """No piece holds more than a small part of the hot user's rows."""
+    cut = skewed.filter("user_id = 0").groupBy(piece(skewed, AT).alias("p")).count()
+    assert cut.agg(F.max("count")).first()[0] <= 5
+
+
+def test_a_chain_reads_its_input_once(spark, sf):
+    """Both readers of cut rows share an exchange."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.read.parquet(f"{sf}/events.parquet")
+        for i in range(3):
+            rows = neighbours(rows, ["user_id"], AT, before={f"p{i}": F.col("value")})
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("FileScan parquet") == 1
 
 
 @pytest.mark.parametrize("keys", [["user_id"], ["user_id", "event_type"], []])
@@ -79,12 +123,6 @@ def bursts(skewed, kind):
 @pytest.mark.parametrize("kind", ["moment", "all", "second", "null", "none"])
 def test_bursts(skewed, kind):
     rows = bursts(skewed, kind)
-    found = find_hot(rows, ["user_id"], AT, TINY)
-    if kind in ("moment", "second"):
-        assert len(found.levels) > 1
-    if kind == "all":
-        assert {r["_by"] for r in found.levels[0].collect()} == {1}
-
     def run(split):
         seen = neighbours(rows, ["user_id"], AT, before={"p": F.col("event_id")}, after={"n": F.col("value")}, split=split)
         return running(seen, ["user_id"], AT, sums={"i": F.lit(1).cast("long")}, fills={"f": F.col("p")}, split=split)
@@ -96,16 +134,16 @@ def test_history_operators(skewed):
     from strataledger.functions.hashing import with_row_hash
 
     hashed = with_row_hash(skewed, ["event_type"])
-    same(history.changes_only(hashed, ["user_id"], AT, split=TINY), history.changes_only(hashed, ["user_id"], AT, split=None))
+    same(history.changes_only(hashed, ["user_id"], AT, split=TINY), history.changes_only(hashed, ["user_id"], AT, split=False))
     rows = skewed.withColumn("start_date", F.col("ts"))
     same(
-        history.close_with_next(rows, ["user_id"], AT, split=TINY), history.close_with_next(rows, ["user_id"], AT, split=None)
+        history.close_with_next(rows, ["user_id"], AT, split=TINY), history.close_with_next(rows, ["user_id"], AT, split=False)
     )
     same(
         history.end_of_day_flags(skewed, "user_id", "ts", "event_id", split=TINY),
-        history.end_of_day_flags(skewed, "user_id", "ts", "event_id", split=None),
+        history.end_of_day_flags(skewed, "user_id", "ts", "event_id", split=False),
     )
-    same(checks.repeated_hash(hashed, "user_id", AT, split=TINY), checks.repeated_hash(hashed, "user_id", AT, split=None))
+    same(checks.repeated_hash(hashed, "user_id", AT, split=TINY), checks.repeated_hash(hashed, "user_id", AT, split=False))
 
 
 def test_stitch(skewed):
@@ -114,7 +152,7 @@ def test_stitch(skewed):
     old, new = rows.filter("event_type <> 'view'"), rows.filter("event_type <> 'click'")
     same(
         history.stitch(old, new, "user_id", cut, ["event_type"], split=TINY),
-        history.stitch(old, new, "user_id", cut, ["event_type"], split=None),
+        history.stitch(old, new, "user_id", cut, ["event_type"], split=False),
     )
 
 
@@ -125,27 +163,17 @@ def versions(skewed):
 
 
 @pytest.mark.parametrize(
-    ("how", "closed", "shift", "small"),
-    [("inner", "left", 0, 0), ("left", "left", 5, 0), ("inner", "both", 0, 0), ("left", "both", 5, 2_000)],
+    ("how", "closed", "shift"), [("inner", "left", 0), ("left", "left", 5), ("inner", "both", 0), ("left", "both", 5)],
 )
-def test_temporal_join(skewed, versions, how, closed, shift, small, monkeypatch):
-    monkeypatch.setattr("strataledger.operators.temporal.SMALL_HISTORY", small)
+def test_temporal_join(skewed, versions, how, closed, shift):
     fact = skewed.withColumn("day", F.to_date("ts"))
-
-    def run(split):
-        return temporal_join(fact, versions, ["user_id"], "day", closed=closed, how=how, shift_days=shift, split=split)
-
-    assert same(run(TINY), run(None)) > 500
-
-
-def test_overlap(skewed, versions, monkeypatch):
-    monkeypatch.setattr("strataledger.operators.temporal.SMALL_HISTORY", 0)
-    a = versions.select("user_id", F.col("start_date").alias("a0"), F.col("end_date").alias("a1"))
-    b = skewed.select("user_id", F.to_date("ts").alias("b0"), F.date_add("ts", 3).alias("b1"))
-    same(
-        overlap_capped(a, b, "user_id", ("a0", "a1"), ("b0", "b1"), ("o0", "o1"), split=TINY),
-        overlap_capped(a, b, "user_id", ("a0", "a1"), ("b0", "b1"), ("o0", "o1"), split=None),
-    )
+    got = temporal_join(fact, versions, ["user_id"], "day", closed=closed, how=how, shift_days=shift)
+    fact.createOrReplaceTempView("fact")
+    versions.createOrReplaceTempView("versions")
+    upper = "<=" if closed == "both" else "<"
+    want = fact.sparkSession.sql(f"""SELECT f.*, version, start_date, end_date FROM fact f {how} JOIN versions v ON f.user_id = v.user_id
+        AND v.start_date <= date_sub(day, {shift}) AND date_sub(day, {shift}) {upper} v.end_date""")
+    assert same(got, want) > 500
 
 
 @pytest.mark.parametrize("strict", [False, True])
@@ -164,7 +192,7 @@ def test_asof(skewed, strict):
 def test_prior_and_pairs(skewed):
     same(
         asof.prior_within_months(skewed, ["user_id"], "ts", "event_id", 1, split=TINY),
-        asof.prior_within_months(skewed, ["user_id"], "ts", "event_id", 1, split=None),
+        asof.prior_within_months(skewed, ["user_id"], "ts", "event_id", 1, split=False),
     )
 
     def seq(split):
@@ -180,10 +208,5 @@ def test_surrogate_keys(spark, skewed):
     tgt = spark.createDataFrame([(41, 7)], "k int, event_id bigint")
     new = skewed.select("event_id")
     same(
-        upsert.assign_keys(tgt, new, "k", ["event_id"], split=TINY), upsert.assign_keys(tgt, new, "k", ["event_id"], split=None)
+        upsert.assign_keys(tgt, new, "k", ["event_id"], split=TINY), upsert.assign_keys(tgt, new, "k", ["event_id"], split=False)
     )
-
-
-def test_no_split_machinery_in_the_plan_without_hot_keys(skewed):
-    plan = neighbours(skewed, ["user_id"], AT, before={"p": F.col("value")})._jdf.queryExecution().executedPlan().toString()
-    assert "Union" not in plan and "BroadcastHashJoin" not in plan
