@@ -10,21 +10,18 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..defaults import UNKNOWN_KEY, UNKNOWN_TEXT, max_date
 from ..functions.hashing import with_row_hash
 from .history import close_with_next
 from .hotkeys import DEFAULT_SPLIT, Split
-from .joins import broadcast_if_small, missing
+from .joins import missing
 from .ordered import first_per_key, neighbours, numbered
 
 NEW, MODIFIED, UNCHANGED = "NEW", "MODIFIED", "NO CHANGE"
 
-# A batch of so few rows is broadcast; it is counted first.
-SMALL_BATCH = 200_000
-
 # New values of target columns, computed from target columns and batch columns (s_<col>).
 Rule = Mapping[str, Column]
 
@@ -47,30 +44,30 @@ def classify(
     return src.join(stored, [*keys], "left").withColumn(out, label).drop("_stored", "_hit")
 
 
+def one_per_key(src: DataFrame, keys: Sequence[str], newest_first: Sequence[Column | str] | None = None) -> DataFrame:
+    """A batch with one row per key: the first by the stated order, or, without one, an error for a key that comes twice.
+
+    Rows with a NULL in their key match nothing and are left as they are. The check runs on the shuffle that the join needs anyway.
+    """
+    if newest_first is not None:
+        return unique_batch(src, keys, newest_first)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    twice = F.raise_error(F.lit(f"a batch has two rows for one key ({', '.join(keys)}); state their order")).cast("boolean")
+    return src.withColumn("_n", n).filter(F.when(known & (F.col("_n") > 1), twice).otherwise(F.lit(True))).drop("_n")
+
+
 def side_by_side(
-    tgt: DataFrame, src: DataFrame, keys: Sequence[str], insert: bool, small_batch: int = SMALL_BATCH
+    tgt: DataFrame, src: DataFrame, keys: Sequence[str], insert: bool, newest_first: Sequence[Column | str] | None = None
 ) -> DataFrame:
     """Target columns, batch columns as s_<col>, and who has the row (_t, _s).
 
-    Without ``insert`` this is a left join of the target. With it, rows only the batch has are
-    added. A batch counted to be small is broadcast, so the target is not shuffled: only the few
-    of its keys that occur in the batch are needed to tell which batch rows are new. A larger
-    batch is met in one full outer join. ``small_batch=0`` skips the count, for a batch that is
-    costly to compute.
+    One join: from the left without ``insert``, full with it, which adds the rows only the batch has.
     """
-    new = src.select(*[F.col(c).alias(f"s_{c}") for c in src.columns], F.lit(1).alias("_s"))
-    stored = tgt.withColumn("_t", F.lit(1))
+    batch = one_per_key(src, keys, newest_first)
+    new = batch.select(*[F.col(c).alias(f"s_{c}") for c in src.columns], F.lit(1).alias("_s"))
     cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"s_{k}") for k in keys])
-    if not insert:
-        return stored.join(new, cond, "left")
-    small = False
-    if small_batch:
-        new, small = broadcast_if_small(new, small_batch)
-    if not small:
-        return stored.join(new, cond, "full")
-    seen = tgt.select(*keys).join(F.broadcast(src.select(*keys)), [*keys], "left_semi")
-    fresh = new.join(seen, cond, "left_anti")
-    return stored.join(new, cond, "left").unionByName(fresh, allowMissingColumns=True)
+    return tgt.withColumn("_t", F.lit(1)).join(new, cond, "full" if insert else "left")
 
 
 def apply_rules(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -81,19 +78,23 @@ def apply_rules(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return rows
 
 
-def update_rows(tgt: DataFrame, src: DataFrame, keys: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
+def update_rows(
+    tgt: DataFrame, src: DataFrame, keys: Sequence[str], rules: Sequence[Rule],
+    newest_first: Sequence[Column | str] | None = None,
+) -> DataFrame:
     """Update matching target rows."""
-    return apply_rules(side_by_side(tgt, src, keys, insert=False), rules).select(*tgt.columns)
+    return apply_rules(side_by_side(tgt, src, keys, False, newest_first), rules).select(*tgt.columns)
 
 
 def accumulate(
-    tgt: DataFrame, src: DataFrame, keys: Sequence[str], rules: Sequence[Rule], small_batch: int = SMALL_BATCH
+    tgt: DataFrame, src: DataFrame, keys: Sequence[str], rules: Sequence[Rule],
+    newest_first: Sequence[Column | str] | None = None,
 ) -> DataFrame:
     """Update matching rows by the rules and add the rows the target does not have, in one join.
 
     For an accumulating snapshot the order matters: rows must be reopened before they are filled.
     """
-    rows = apply_rules(side_by_side(tgt, src, keys, insert=True, small_batch=small_batch), rules)
+    rows = apply_rules(side_by_side(tgt, src, keys, True, newest_first), rules)
     absent = F.col("_t").isNull()
     return rows.select(
         *[F.when(absent, F.col(f"s_{c}")).otherwise(F.col(c)).alias(c) if c in src.columns else c for c in tgt.columns]
@@ -109,17 +110,19 @@ def update_type1(
 
 def insert_new(tgt: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Append batch rows whose keys are absent; a rerun adds nothing."""
-    return tgt.unionByName(missing(src, tgt, keys), allowMissingColumns=True).select(*tgt.columns)
+    fresh = one_per_key(missing(src, tgt, keys), keys)
+    return tgt.unionByName(fresh, allowMissingColumns=True).select(*tgt.columns)
 
 
 def upsert_type1(
-    tgt: DataFrame, src: DataFrame, keys: Sequence[str], cols: Sequence[str], small_batch: int = SMALL_BATCH
+    tgt: DataFrame, src: DataFrame, keys: Sequence[str], cols: Sequence[str],
+    newest_first: Sequence[Column | str] | None = None,
 ) -> DataFrame:
     """Update modified rows (told by hash) and insert new ones."""
     stored, batch = with_row_hash(tgt, cols), with_row_hash(src, cols)
     modified = F.col("row_hash") != F.col("s_row_hash")
     rule = {c: F.when(modified, F.col(f"s_{c}")).otherwise(F.col(c)) for c in [*cols, "row_hash"]}
-    return accumulate(stored, batch, keys, [rule], small_batch)
+    return accumulate(stored, batch, keys, [rule], newest_first)
 
 
 def backfill_ids(
@@ -150,31 +153,53 @@ def close_versions(tgt: DataFrame, changed: DataFrame, keys: Sequence[str], end:
 
 def upsert_scd2(
     tgt: DataFrame, src: DataFrame, keys: Sequence[str], attrs: Sequence[str], as_of: Column,
-    small_batch: int = SMALL_BATCH,
+    type1: Sequence[str] = (), key: str | None = None, newest_first: Sequence[Column | str] | None = None,
 ) -> DataFrame:
     """Close the modified current versions and open new ones from ``as_of``.
 
-    Only current versions meet the batch, once; closed versions pass through unshuffled. A pair
-    that differs becomes two rows, the closed and the opened version.
+    Only current versions meet the batch, once; all others, with a flag of 0 or NULL, pass through unshuffled. A pair
+    that differs becomes two rows, the closed and the opened version. The target's further columns stay with their rows; an opened
+    version takes the batch's value of them where the batch has the column, else the closed version's. ``type1`` columns are
+    overwritten on the current version as well, closed or not. ``key`` is a surrogate key: opened versions get new ones, on from the largest.
     """
-    batch = with_row_hash(src.select(*keys, *attrs), attrs)
-    current = tgt.filter("current_record = 1")
-    rows = side_by_side(current, batch, keys, insert=True, small_batch=small_batch)
-    stored = F.col("_t") == 1
-    modified = stored & (F.col("_s") == 1) & (F.col("row_hash") != F.col("s_row_hash"))
-    cols = [*keys, *attrs, "row_hash"]
-
-    def version(values: list[Column], start: Column, end: Column, flag: Column) -> Column:
-        named = [v.alias(n) for v, n in zip(values, cols)]
-        return F.struct(*named, start.alias("start_date"), end.alias("end_date"), flag.alias("current_record"))
-
-    old = [F.col(n) for n in cols]
-    kept = version(old, F.col("start_date"), F.col("end_date"), F.lit(1))
-    closed = version(old, F.col("start_date"), as_of, F.lit(0))
-    opened = version([F.col(f"s_{n}") for n in cols], as_of, max_date(), F.lit(1))
+    versioned = [*keys, *attrs, "row_hash", "start_date", "end_date", "current_record"]
+    further = [c for c in tgt.columns if c not in versioned]
+    sent = [c for c in further if c in src.columns]
+    batch = with_row_hash(src.select(*keys, *attrs, *sent, *[c for c in _columns(newest_first) if c not in {*keys, *attrs, *sent}]), attrs)
+    is_current = F.coalesce(F.col("current_record"), F.lit(0)) == 1
+    rows = side_by_side(tgt.filter(is_current), batch, keys, True, newest_first)
+    stored, both = F.col("_t") == 1, (F.col("_t") == 1) & (F.col("_s") == 1)
+    modified = both & (F.col("row_hash") != F.col("s_row_hash"))
+
+    def version(old: bool, end: Column, flag: Column) -> Column:
+        made = {"start_date": F.col("start_date") if old else as_of, "end_date": end, "current_record": flag}
+        for c in tgt.columns:
+            if c in made:
+                continue
+            if c in further:
+                late = F.col(f"s_{c}") if c in sent else F.lit(None)
+                mine = F.when(both & F.lit(c in type1 and c in sent), late).otherwise(F.col(c))
+                theirs = F.coalesce(late, F.col(c)) if c in sent else F.col(c)
+                made[c] = mine if old else F.lit(None) if c == key else theirs
+            else:
+                made[c] = F.col(c) if old else F.col(f"s_{c}")
+        kinds = {f.name: f.dataType for f in tgt.schema.fields}
+        return F.struct(*[made[c].cast(kinds[c]).alias(c) for c in tgt.columns], F.lit(not old).alias("_opened"))
+
+    kept = version(True, F.col("end_date"), F.lit(1))
+    closed = version(True, as_of, F.lit(0))
+    opened = version(False, max_date(), F.lit(1))
     out = F.when(modified, F.array(closed, opened)).when(stored, F.array(kept)).otherwise(F.array(opened))
     done = rows.select(F.explode(out).alias("_v")).select("_v.*")
-    return tgt.filter("current_record <> 1").unionByName(done)
+    if key is None:
+        return tgt.filter(~is_current).unionByName(done.drop("_opened"))
+    fresh = done.filter("_opened").drop("_opened", key)
+    stored_rows = tgt.filter(~is_current).unionByName(done.filter("not _opened").drop("_opened"))
+    return stored_rows.unionByName(_keyed(tgt, fresh, key, list(keys), DEFAULT_SPLIT).select(*tgt.columns))
+
+
+def _columns(order: Sequence[Column | str] | None) -> list[str]:
+    return [c for c in order or [] if isinstance(c, str)]
 
 
 def fill_rule(unset: Mapping[str, object], open_rows: Column, derived: Rule | None = None) -> Rule:
@@ -212,17 +237,20 @@ def with_unknown(dim: DataFrame, key: str, values: Mapping[str, object], unknown
     return dim.unionByName(missing(member, dim, [key]))
 
 
+def _keyed(tgt: DataFrame, new: DataFrame, key: str, order: Sequence[str], split: Split) -> DataFrame:
+    top = tgt.agg(F.coalesce(F.max(key), F.lit(0)).alias("top")).scalar()
+    seq = numbered(new, [], order, "_seq", split)
+    return seq.withColumn(key, (top + F.col("_seq")).cast(tgt.schema[key].dataType)).drop("_seq")
+
+
 def assign_keys(
     tgt: DataFrame, new: DataFrame, key: str, order: Sequence[str], split: Split = DEFAULT_SPLIT
 ) -> DataFrame:
     """Number new rows on from the target's largest key.
 
-    Only new rows are numbered, and a large batch is numbered in pieces (``ordered.running``).
+    Only new rows are numbered, within pieces of their order that are offset by the pieces before (``ordered.running``).
     """
-    top = tgt.agg(F.coalesce(F.max(key), F.lit(0)).alias("top")).scalar()
-    seq = numbered(new, [], order, "_seq", split)
-    keyed = seq.withColumn(key, (top + F.col("_seq")).cast(tgt.schema[key].dataType)).drop("_seq")
-    return tgt.unionByName(keyed.select(*tgt.columns))
+    return tgt.unionByName(_keyed(tgt, new, key, order, split).select(*tgt.columns))
 
 
 def repair_scd2(

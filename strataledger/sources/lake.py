@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import key_set
+from ..operators.ordered import first_per_key
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
@@ -28,9 +29,9 @@ def project_source(df: DataFrame, cols: Sequence[str], view: str | None = None)
     return out
 
 
-def register_file(log: DataFrame, entries: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Append load-log rows that are not logged yet."""
-    fresh = entries.dropDuplicates([*keys]).join(key_set(log, keys), [*keys], "left_anti")
+def register_file(log: DataFrame, entries: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+    """Append load-log rows that are not logged yet; of several entries for one key the first by the order."""
+    fresh = first_per_key(entries, keys, order).join(key_set(log, keys), [*keys], "left_anti")
     return log.unionByName(fresh, allowMissingColumns=True)
 
 
@@ -69,7 +70,10 @@ def copy_with_columns(df: DataFrame, consts: Mapping[str, Column], after: str) -
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Replace the table at ``path`` and read it back. Never the path being read."""
+    """Replace the table at ``path`` and read it back; an error if the rows are read from there."""
+    bare = path.split(":", 1)[-1].rstrip("/").lstrip("/") + "/"
+    if any(f.split(":", 1)[-1].lstrip("/").startswith(bare) for f in df.inputFiles()):
+        raise ValueError(f"{path} is read by the rows that should replace it")
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.parquet(path)

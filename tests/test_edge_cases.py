@@ -6,7 +6,7 @@ import pytest
 from helpers import rows, same
 from pyspark.sql import functions as F
 
-from strataledger.defaults import Defaults
+from strataledger.defaults import MAX_DATE, Defaults
 from strataledger.functions import dates, numbers, text
 from strataledger.functions.hashing import joined_text, with_row_hash
 from strataledger.operators import asof, bands, checks, filters, history, joins, pairing, project, upsert
@@ -157,25 +157,73 @@ def test_crosswalk_keeps_preferred_of_doubles(spark):
     assert rows(joins.crosswalk(a0, b, "k", "ia", "ib", "ga", "gb")) == {(2, "z"): 1}
 
 
-@pytest.mark.parametrize("limit", [1_000, 0])
-def test_bands_broadcast_and_bucketed(spark, limit):
+def test_bands(spark):
     edges = [(i, i * 3, i * 3 + 3) for i in range(40)] + [(99, 120, None)]
     table = spark.createDataFrame(edges, "band int, lo int, hi int")
     values = spark.range(-5, 400).select(F.col("id").cast("int").alias("v"))
-    got = bands.band_lookup(values, table, "v", max_bands=limit)
+    got = bands.band_lookup(values, table, "v")
     want = {(v, None if v < 0 else 99 if v >= 120 else v // 3): 1 for v in range(-5, 400)}
     assert rows(got, "v", "band") == want
 
 
-def test_upsert_paths_agree_and_handle_null_keys(spark):
+def test_upsert_handles_null_keys(spark):
     tgt = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "id int, v string")
-    src = spark.createDataFrame([(2, "B"), (3, "c")], "id int, v string")
-    small = upsert.upsert_type1(tgt, src, ["id"], ["v"])
-    full = upsert.upsert_type1(tgt, src, ["id"], ["v"], small_batch=0)
-    counted = upsert.upsert_type1(tgt, src, ["id"], ["v"], small_batch=1)
-    assert rows(small, "id", "v") == {(1, "a"): 1, (2, "B"): 1, (3, "c"): 1, (None, "n"): 1}
-    same(small, full)
-    same(small, counted)
+    src = spark.createDataFrame([(2, "B"), (3, "c"), (None, "x"), (None, "y")], "id int, v string")
+    got = upsert.upsert_type1(tgt, src, ["id"], ["v"])
+    assert rows(got, "id", "v") == {(1, "a"): 1, (2, "B"): 1, (3, "c"): 1, (None, "n"): 1, (None, "x"): 1, (None, "y"): 1}
+
+
+@pytest.mark.parametrize("how", ["update", "type1", "accumulate", "insert", "scd2"])
+def test_a_key_that_comes_twice_is_an_error_or_reduced(spark, how):
+    from pyspark.errors import PySparkException
+
+    tgt = with_row_hash(spark.createDataFrame([(1, "a")], "id int, v string"), ["v"])
+    tgt = tgt.withColumns({"start_date": F.lit("2020-01-01").cast("date"), "end_date": F.lit(MAX_DATE).cast("date"), "current_record": F.lit(1)})
+    src = spark.createDataFrame([(2, "x", 1), (2, "y", 2)], "id int, v string, n int")
+    if how in ("update", "type1"):
+        src = src.withColumn("id", F.lit(1))
+    day = F.lit("2024-01-01").cast("date")
+    do = {
+        "update": lambda s, **k: upsert.update_rows(tgt, s, ["id"], [{"v": F.col("s_v")}], **k),
+        "type1": lambda s, **k: upsert.upsert_type1(tgt.select("id", "v"), s, ["id"], ["v"], **k),
+        "accumulate": lambda s, **k: upsert.accumulate(tgt.select("id", "v"), s, ["id"], [], **k),
+        "insert": lambda s: upsert.insert_new(tgt.select("id", "v"), s, ["id"]),
+        "scd2": lambda s, **k: upsert.upsert_scd2(tgt, s, ["id"], ["v"], day, **k),
+    }[how]
+    with pytest.raises(PySparkException):
+        do(src).collect()
+    if how != "insert":
+        order = ["n"] if how == "scd2" else [F.desc("n")]
+        assert "y" in {r["v"] for r in do(src, newest_first=order).collect()} or how == "scd2"
+
+
+def test_scd2_keeps_all_rows_and_columns(spark):
+    """NULL flags, a surrogate key, audit columns and type-1 columns."""
+    schema = "sk int, id int, v string, start_date date, end_date date, current_record int, phone string, loaded string"
+    d, far = dt.date(2020, 1, 1), dt.date(9999, 12, 31)
+    tgt = with_row_hash(spark.createDataFrame([
+        (1, 1, "a", d, dt.date(2021, 1, 1), 0, "p0", "run0"), (2, 1, "b", dt.date(2021, 1, 1), far, 1, "p1", "run1"),
+        (3, 2, "c", d, far, 1, "p2", "run1"), (4, 3, "d", d, far, None, "p3", "run1"), (5, 4, "e", d, far, 1, "p4", "run1"),
+    ], schema), ["v"])
+    src = spark.createDataFrame([(1, "B", "q1", "run2"), (2, "c", "q2", "run2"), (9, "n", "q9", "run2")], "id int, v string, phone string, loaded string")
+    got = upsert.upsert_scd2(tgt, src, ["id"], ["v"], F.lit("2024-01-01").cast("date"), type1=["phone"], key="sk")
+    assert got.columns == tgt.columns
+    day = dt.date(2024, 1, 1)
+    assert rows(got, "sk", "id", "v", "start_date", "end_date", "current_record", "phone", "loaded") == dict.fromkeys([
+        (1, 1, "a", d, dt.date(2021, 1, 1), 0, "p0", "run0"), (2, 1, "b", dt.date(2021, 1, 1), day, 0, "q1", "run1"),
+        (6, 1, "B", day, far, 1, "q1", "run2"), (3, 2, "c", d, far, 1, "q2", "run1"), (4, 3, "d", d, far, None, "p3", "run1"),
+        (5, 4, "e", d, far, 1, "p4", "run1"), (7, 9, "n", day, far, 1, "q9", "run2"),
+    ], 1)
+
+
+def test_hash_tells_small_differences(spark):
+    rows_ = spark.sql("""SELECT * FROM VALUES (1, 1.001D, TIMESTAMP'2024-01-01 00:00:00.1', 'a|b', 'c'), (2, 1.004D, TIMESTAMP'2024-01-01 00:00:00.1', 'a|b', 'c'),
+        (3, 1.001D, TIMESTAMP'2024-01-01 00:00:00.2', 'a|b', 'c'), (4, 1.001D, TIMESTAMP'2024-01-01 00:00:00.1', 'a', 'b|c'),
+        (5, CAST('NaN' AS DOUBLE), NULL, NULL, NULL), (6, NULL, NULL, NULL, NULL) AS t(id, x, at, p, q)""")
+    hashed = with_row_hash(rows_, ["x", "at", "p", "q"])
+    assert hashed.select("row_hash").distinct().count() == 6
+    old = with_row_hash(rows_.filter("id < 3"), ["x", "at"], money=True)
+    assert old.select("row_hash").distinct().count() == 1
 
 
 def test_update_needs_one_row_per_key(spark):
@@ -218,9 +266,11 @@ def test_defaults_table(spark):
 def test_files_and_tables(spark, tmp_path):
     log = spark.createDataFrame([("m", "f1")], "member string, file_name string")
     entries = spark.createDataFrame([("m", "f1"), ("m", "f2"), ("m", "f2")], "member string, file_name string")
-    assert rows(lake.register_file(log, entries, ["member", "file_name"])) == {("m", "f1"): 1, ("m", "f2"): 1}
+    assert rows(lake.register_file(log, entries, ["member", "file_name"], ["file_name"])) == {("m", "f1"): 1, ("m", "f2"): 1}
     path = str(tmp_path / "t")
     out = lake.write_table(spark.range(5), path)
+    with pytest.raises(ValueError):
+        lake.write_table(out.filter("id > 1"), path)
     lake.append_table(spark.range(5, 7), path)
     assert out.count() == 5 and spark.read.parquet(path).count() == 7
     parts = lake.parse_lake_path(F.col("p"))
