@@ -48,6 +48,32 @@ def asof_latest(
     )
 
 
+def sum_of_latest(
+    events: DataFrame, balances: DataFrame, entity: str, account: str, event_at: str, balance_at: str, value: str,
+    max_age_days: int, tie: str | None = None, out: str = "amount",
+) -> DataFrame:
+    """(entity, event_at, out): at each moment, the sum over the entity's accounts of the latest balance not older than the limit.
+
+    Linear in events plus balances, however many accounts an entity has: a balance is added when it comes and taken off when the account's
+    next one comes or it has become too old, and one running sum per entity is read at the events. Moments at which no account has a
+    balance are left out.
+    """
+    order = [balance_at, tie] if tie else [balance_at]
+    seen = neighbours(balances, [entity, account], order, after={"_next": F.col(balance_at)})
+    kind = balances.schema[balance_at].dataType
+    old = F.date_add(F.to_date(balance_at), max_age_days + 1).cast(kind)
+    seen = seen.withColumn("_off", F.least(F.col("_next"), old)).filter(F.col("_off") > F.col(balance_at))
+    step = F.explode(F.array(
+        F.struct(F.col(balance_at).alias("at"), F.col(value).alias("v"), F.lit(1).alias("n")),
+        F.struct(F.col("_off").alias("at"), (-F.col(value)).cast(balances.schema[value].dataType).alias("v"), F.lit(-1).alias("n")),
+    ))
+    changes = seen.select(entity, step.alias("_s")).select(entity, F.col("_s.at").alias("_at"), "_s.v", "_s.n", F.lit(0).alias("_side"))
+    asks = events.select(entity, F.col(event_at).cast(kind).alias("_at"), F.col(event_at).alias("_asked"), F.lit(1).alias("_side")).distinct()
+    both = changes.unionByName(asks, allowMissingColumns=True)
+    done = running(both, [entity], ["_at", "_side"], sums={out: F.col("v"), "_held": F.col("n")})
+    return done.filter((F.col("_side") == 1) & (F.col("_held") > 0)).select(entity, F.col("_asked").alias(event_at), out)
+
+
 def prior_within_months(
     df: DataFrame, keys: Sequence[str], date: str, id_: str, months: int = 12,
     out: str = "has_prior", split: Split = DEFAULT_SPLIT,
@@ -68,7 +94,7 @@ def recurring_lag(batch: DataFrame, all_: DataFrame, match: Sequence[str], date:
     Dates are made distinct first, so the ordered groups are bounded by the calendar.
     """
     days = all_.select(*match, F.to_date(date).alias("_day")).distinct()
-    before = neighbours(days, match, ["_day"], before={"_prev": F.col("_day")}, split=None)
+    before = neighbours(days, match, ["_day"], before={"_prev": F.col("_day")}, split=False)
     before = before.filter(F.col("_prev").isNotNull())
     dated = batch.withColumn("_day", F.to_date(date))
     joined = dated.join(before, [*match, "_day"], "left")
@@ -86,7 +112,7 @@ def carry_forward(
     both = spine.withColumn("_side", F.lit(1))
     for part in parts:
         both = both.unionByName(part.withColumn("_side", F.lit(0)), allowMissingColumns=True)
-    filled = running(both, [on], [day, "_side"], fills={f"_l_{x}": F.col(x) for x in cols}, split=None)
+    filled = running(both, [on], [day, "_side"], fills={f"_l_{x}": F.col(x) for x in cols}, split=False)
     return filled.filter(F.col("_side") == 1).select(*spine.columns, *[F.col(f"_l_{x}").alias(x) for x in cols])
 
 

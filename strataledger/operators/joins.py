@@ -1,12 +1,12 @@
 """Key lookups, existence tests and id matching.
 
-No join here carries a broadcast hint unless the size of that side has been checked: Spark
+No join here carries a broadcast hint or counts a side: Spark
 broadcasts small sides by their statistics and splits skewed sort-merge partitions at run time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,19 +17,6 @@ from ..functions.numbers import money
 from .ordered import first_per_key
 
 
-# Label maps and combination dimensions of at most so many rows are broadcast.
-SMALL_DIMENSION = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Hint a broadcast only after counting that the side has few rows.
-
-    The count is a map-side aggregate that reads no columns of a parquet table.
-    """
-    small = df.agg(F.count(F.lit(1)).alias("n")).first()["n"] <= max_rows
-    return (F.broadcast(df), True) if small else (df, False)
-
-
 def key_set(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys for the right side of a semi or anti join.
 
@@ -76,8 +63,7 @@ def lookup_by_labels(
     """Key of a combination dimension from several computed labels."""
     named = {f"_l{i}": e for i, e in enumerate(labels.values())}
     on = dict(zip(named, labels))
-    side, _ = broadcast_if_small(dim, SMALL_DIMENSION)
-    return lookup_key(df.withColumns(named), side, on, key, key, unknown).drop(*named)
+    return lookup_key(df.withColumns(named), dim, on, key, key, unknown).drop(*named)
 
 
 def decode_labels(
@@ -90,7 +76,7 @@ def decode_labels(
 
     ``attributes`` maps an attribute name to (code column, label column).
     """
-    out, (code_map, _) = df, broadcast_if_small(code_map, SMALL_DIMENSION)
+    out = df
     for name, (code, label) in attributes.items():
         side = code_map.filter(F.col("attribute_name") == name).select(
             F.col("attribute_value").alias("_code"), F.col("value").alias("_label")
@@ -118,22 +104,22 @@ def match_either(
 
 def crosswalk(
     a: DataFrame, b: DataFrame, key: str, a_id: str, b_id: str, a_preferred: str, b_preferred: str,
-    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
-    """(a_id, b_id) pairs sharing a key; an id that maps twice keeps its preferred rows only.
+    """(a_id, b_id) pairs sharing a key; an id that maps more than once keeps its rows only where it is its key's first preferred id.
 
-    How often an id maps follows from the row counts per key, so rows that will not stay are
-    removed from each side before any pair is made. ``stage`` may write the reduced first side,
-    which is read again, to a table.
+    How often an id maps follows from the row counts per key, so rows that will not stay are removed from each side before any pair is
+    made. Of several preferred ids on one key and side the smallest stays, so a key makes no more pairs than it has rows on one side.
     """
 
     def once_or_preferred(side: DataFrame, id_: str, flag: str, other: DataFrame) -> DataFrame:
         partners = other.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        met = side.select(key, id_, flag).join(partners, key)
+        first = side.groupBy(key).agg(F.min(F.when(F.col(flag) == 1, F.col(id_))).alias("_first"))
+        met = side.select(key, id_, flag).join(partners, key).join(first, key)
         totals = met.groupBy(id_).agg(F.sum("_n").alias("_total"))
-        return met.join(totals, id_).filter((F.col("_total") == 1) | (F.col(flag) == 1)).select(key, id_)
+        stays = (F.col("_total") == 1) | F.coalesce((F.col(flag) == 1) & (F.col(id_) == F.col("_first")), F.lit(False))
+        return met.join(totals, id_).filter(stays).select(key, id_)
 
-    left = stage(once_or_preferred(a, a_id, a_preferred, b))
+    left = once_or_preferred(a, a_id, a_preferred, b)
     right = once_or_preferred(b, b_id, b_preferred, left)
     return left.join(right, key).select(a_id, b_id)
 

@@ -112,7 +112,7 @@ def contact_violation(
         entity, day, F.struct("_id", F.col(day).alias("_on")).alias("_review"), F.lit(0).alias("_side")
     )
     both = seen.withColumn("_side", F.lit(1)).unionByName(top, allowMissingColumns=True)
-    done = running(both, [entity], [day, "_side"], maxes={"_last": F.col("_review")}, split=None).filter("_side = 1")
+    done = running(both, [entity], [day, "_side"], maxes={"_last": F.col("_review")}, split=False).filter("_side = 1")
     rule = F.col("rule_days")
     fine = (within(F.col("_contact"), rule) == 1) | (within(F.datediff(day, F.col("_last._on")), rule) == 1)
     return done.select(

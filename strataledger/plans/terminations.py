@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..defaults import UNKNOWN_KEY, UNKNOWN_TEXT, max_date
 from ..functions.dates import date_key
-from ..operators.asof import asof_latest
+from ..operators.asof import sum_of_latest
 from ..operators.ordered import neighbours
 from ..operators.pairing import pair_events, sequence_events, unmatched_closers
 from ..operators.temporal import temporal_join
@@ -20,14 +20,14 @@ def termination_events(
 
     A history has one version per day, so its ordered groups are bounded by the calendar.
     """
-    was = neighbours(history, [entity], ["start_date"], before={"_was": F.col(state)}, split=None)
+    was = neighbours(history, [entity], ["start_date"], before={"_was": F.col(state)}, split=False)
     was = was.withColumn("_was", F.coalesce("_was", F.lit(UNKNOWN_TEXT)))
     is_threat = (F.col(state) == threat) & (F.col("_was") != threat)
     is_term = (F.col(state) == lost) & (F.col("_was") != lost)
     # a save on the day of a termination does not count
     is_save = (F.col("_was") == threat) & F.col(state).isin(*saved) & ~is_term
     flags = was.withColumns({"term": is_term.cast("int"), "save": is_save.cast("int"), "_tie": F.lit(0)})
-    seq = sequence_events(flags, entity, "start_date", "_tie", is_threat, is_term | is_save, ["term", "save", "_was"], split=None)
+    seq = sequence_events(flags, entity, "start_date", "_tie", is_threat, is_term | is_save, ["term", "save", "_was"], split=False)
     paired = pair_events(seq, "start_date")
     at_once = F.col("closes") == 1
     done = F.col("completed") == 1
@@ -50,7 +50,7 @@ def termination_events(
 
 def clearance_windows(onboarding: DataFrame, entity: str, start: str, cleared: str) -> DataFrame:
     """Windows between onboarding dates with the clearance date each one has, if any."""
-    led = neighbours(onboarding, [entity], [start], after={"window_end": F.col(start)}, split=None)
+    led = neighbours(onboarding, [entity], [start], after={"window_end": F.col(start)}, split=False)
     return led.select(
         entity, F.col(start).alias("window_start"), F.coalesce("window_end", max_date()).alias("window_end"),
         F.col(cleared).alias("cleared_on"),
@@ -68,12 +68,7 @@ def amounts_at_event(
     events: DataFrame, balances: DataFrame, entity: str, account: str, event_at: str, balance_at: str, max_age_days: int
 ) -> DataFrame:
     """Sum over the entity's accounts of the latest balance not older than ``max_age_days``."""
-    accounts = balances.select(entity, account).distinct()
-    asked = events.select(entity, event_at).distinct().join(accounts, entity)
-    valued = asof_latest(
-        asked, balances, [entity, account], event_at, balance_at, {"balance": "balance"}, max_age_days=max_age_days
-    )
-    return valued.groupBy(entity, event_at).agg(F.sum("balance").alias("amount"))
+    return sum_of_latest(events, balances, entity, account, event_at, balance_at, "balance", max_age_days)
 
 
 def termination_fact(
@@ -83,7 +78,7 @@ def termination_fact(
     """Keys and measures of the events: amount, owner some days before, clearance type."""
     amounts = amounts_at_event(events, balances, entity, account, "event_date", balance_at, max_age_days)
     owners = history.select(entity, F.col(owner).alias("owner_before"), "start_date", "end_date")
-    owned = temporal_join(events, owners, [entity], "event_date", how="left", shift_days=owner_lag_days, split=None)
+    owned = temporal_join(events, owners, [entity], "event_date", how="left", shift_days=owner_lag_days)
     typed = clearance_type(owned.drop("start_date", "end_date"), windows, entity, "event_date")
 
     def key(name: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,19 +30,17 @@ def new_and_cancelled(flows: DataFrame, cancelled_on: str, record: str = "record
 def transaction_fact(
     flows: DataFrame, stored: DataFrame, owners: DataFrame, rates: DataFrame, flow_types: DataFrame,
     account: str, keys: Sequence[str], in_codes: Sequence[str], size: Column,
-    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Rows to append to the fact.
 
-    ``flows`` are the movements after the cutover between systems, best a staging table since
-    they are read several times: ``keys``, system, ``account``, code, amount, currency,
+    ``flows`` are the movements after the cutover between systems: ``keys``, system, ``account``, code, amount, currency,
     trade_date, cancelled_on and updated. ``stored`` is the fact so far (keys, updated, flow_count, system), ``owners`` the
     account's owner over time, ``flow_types`` the combination dimension over direction, asset
-    and size. ``stage`` may write the batch, which is read several times, to a staging table.
+    and size.
     """
     flows = flows.withColumn("code_class", last_chars(F.col("code"), 2))
     recent = incremental(flows, stored, "updated")
-    batch = stage(recent.unionByName(late_arrivals(flows, recent, stored, [*keys, "system"])))
+    batch = recent.unionByName(late_arrivals(flows, recent, stored, [*keys, "system"]))
     lagged = recurring_lag(batch, flows, [account, "amount", "code_class", "currency"], "trade_date")
     rows = new_and_cancelled(lagged, "cancelled_on")
     owned = temporal_join(rows, owners, [account], "trade_date", how="left")

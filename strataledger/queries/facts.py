@@ -8,7 +8,7 @@ from ..functions.dates import date_key
 from ..functions.numbers import money
 from ..operators import history as h
 from ..operators.filters import cutover
-from ..operators.ordered import first_per_key, neighbours
+from ..operators.ordered import first_per_key, neighbours, numbered
 from ..operators.project import signed_amount
 from ..operators.temporal import overlap_capped, temporal_join
 from ..operators.upsert import accumulate, fill_rule
@@ -21,18 +21,18 @@ from .registry import query
 from .temporal import SLICES, customer_slices
 
 c = F.col
-LAST_DAY = "2024-01-30"
 
 
 def user_spine(t):
-    """Every user on every day from the first event to the last day."""
-    spans = t.events.groupBy("user_id").agg(F.min(F.to_date("ts")).alias("d0")).withColumn("d1", day(LAST_DAY))
-    return h.day_spine(spans.filter("d0 <= d1"), "user_id", "d0", "d1")
+    """Every user on every day from the first event to the last day of all events."""
+    last = t.events.agg(F.max(F.to_date("ts"))).scalar()
+    spans = t.events.groupBy("user_id").agg(F.min(F.to_date("ts")).alias("d0")).withColumn("d1", last)
+    return h.day_spine(spans, "user_id", "d0", "d1")
 
 
-SPINE = f"""
+SPINE = """
 spans AS (SELECT user_id, min(CAST(ts AS DATE)) AS d0 FROM events GROUP BY 1),
-spine AS (SELECT user_id, CAST(unnest(generate_series(d0, DATE '{LAST_DAY}', INTERVAL 1 DAY)) AS DATE) AS day FROM spans)"""
+spine AS (SELECT user_id, CAST(unnest(generate_series(d0, (SELECT max(CAST(ts AS DATE)) FROM events), INTERVAL 1 DAY)) AS DATE) AS day FROM spans)"""
 
 
 def last_day_of(kind: str) -> str:
@@ -117,7 +117,7 @@ def contact_rule_violation(t):
     """Custom rule after signups, introduction rule after purchases, then segment rules; the
     extended rule holds where a signup window starts inside an error version. The result is written
     into snapshot rows that have neither; twelve days are not in the frequency dimension."""
-    spine = t.stage(user_spine(t), "spine")
+    spine = user_spine(t)
     kind, today = c("event_type"), F.to_date("ts")
     ev = t.events.select("event_id", "user_id", "event_type", "ts", "value", today.alias("start"))
 
@@ -134,10 +134,10 @@ def contact_rule_violation(t):
     intro = windows("purchase", 6).select("user_id", "start_date", "end_date").distinct()
     early = F.when(c("day") <= F.date_add("start_date", 3), 1).otherwise(2)
     signup_days = ev.filter(kind == "signup").select("user_id", c("start").alias("b_start")).distinct()
-    signup_windows = h.close_with_next(signup_days, ["user_id"], ["b_start"], "b_start", "b_end", "cur", split=None).drop("cur")
+    signup_windows = h.close_with_next(signup_days, ["user_id"], ["b_start"], "b_start", "b_end", "cur", split=False).drop("cur")
     faults = hist(t).filter(kind == "error").select("user_id", c("start_date").alias("a_start"), c("end_date").alias("a_end"))
     extended = overlap_capped(
-        faults, signup_windows, "user_id", ("a_start", "a_end"), ("b_start", "b_end"), ("start_date", "end_date"), split=None
+        faults, signup_windows, "user_id", ("a_start", "a_end"), ("b_start", "b_end"), ("start_date", "end_date"),
     ).select("user_id", "start_date", "end_date")
     attributes = t.customer.select(c("c_custkey").alias("user_id"), "c_mktsegment", "c_acctbal")
     building = c("c_mktsegment") == "BUILDING"
@@ -163,18 +163,18 @@ def contact_rule_violation(t):
     return snap.update_snapshot(fact, violations, frequencies, ["user_id", "date_key"])
 
 
+MOVEMENT = ["l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
+
 def flows(t):
-    """Order lines as account movements, one per (order, line)."""
-    lines = first_per_key(
-        t.lineitem, ["l_orderkey", "l_linenumber"],
-        [F.desc(x) for x in ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")],
-    )
+    """Order lines as account movements, each with a number of its own in its order."""
+    lines = numbered(t.lineitem, ["l_orderkey"], MOVEMENT, "movement")
     joined = lines.join(t.orders, c("l_orderkey") == c("o_orderkey")).join(t.customer, c("o_custkey") == c("c_custkey"))
     stock = F.when(c("l_returnflag") == "A", "S").otherwise("F")
     way = F.when(c("l_linestatus") == "F", "I").otherwise("O")
     first = F.when(c("l_linenumber") == 1, "I").otherwise("")
     return joined.select(
-        c("l_orderkey").alias("ref_no"), c("l_linenumber").alias("sub_no"), c("o_custkey").alias("account"),
+        c("l_orderkey").alias("ref_no"), c("movement").alias("sub_no"), c("o_custkey").alias("account"),
         F.concat(first, stock, way).alias("code"), money(c("l_quantity") * 100).alias("amount"),
         c("c_nationkey").alias("currency"), F.to_date("l_shipdate").alias("trade_date"),
         F.when(c("l_returnflag") == "R", F.date_add("l_shipdate", 5)).alias("cancelled_on"),
@@ -182,10 +182,9 @@ def flows(t):
     )
 
 
-FLOWS = """
-lines1 AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-    ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) AS rn FROM lineitem) WHERE rn = 1),
-flow0 AS (SELECT l_orderkey AS ref_no, l_linenumber AS sub_no, o_custkey AS account,
+FLOWS = f"""
+lines1 AS (SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(MOVEMENT)}) AS INTEGER) AS movement FROM lineitem),
+flow0 AS (SELECT l_orderkey AS ref_no, movement AS sub_no, o_custkey AS account,
     (CASE WHEN l_linenumber = 1 THEN 'I' ELSE '' END) || (CASE WHEN l_returnflag = 'A' THEN 'S' ELSE 'F' END)
       || (CASE WHEN l_linestatus = 'F' THEN 'I' ELSE 'O' END) AS code,
     CAST(l_quantity * 100 AS DECIMAL(18,2)) AS amount, c_nationkey AS currency, CAST(l_shipdate AS DATE) AS trade_date,
@@ -246,12 +245,12 @@ FROM o WHERE (ref_no, sub_no, flow_count, system) NOT IN (SELECT (ref_no, sub_no
 def transaction_fact(t):
     """Two systems with a cutover per customer; partial orders arrive late; all cancelled rows
     are new. Large outflows have no flow type."""
-    every = t.stage(flows(t), "flows")
+    every = flows(t)
     moves = t.customer.filter("c_mktsegment <> 'MACHINERY'").select(
         c("c_custkey").alias("account"), F.date_add(day("1997-01-01"), c("c_nationkey") * 40).alias("moved_on")
     )
     old, new = every.filter("o_orderpriority <> '5-LOW'"), every.filter("o_orderpriority <> '1-URGENT'")
-    moved = t.stage(cutover(old, new, moves, "account", "trade_date", "moved_on"), "moved")
+    moved = cutover(old, new, moves, "account", "trade_date", "moved_on")
     earlier = (c("updated") < F.lit("2001-01-01").cast("timestamp_ntz")) & (c("o_orderstatus") != "P")
     stored = moved.filter(earlier).select("ref_no", "sub_no", "system", "updated", F.lit(1).alias("flow_count"))
     owners = customer_slices(t).select(
@@ -272,7 +271,6 @@ def transaction_fact(t):
     ))
     return tx.transaction_fact(
         moved, stored, owners, rates, types, "account", ["ref_no", "sub_no"], IN_CODES, large,
-        stage=lambda df: t.stage(df, "batch"),
     )
 
 
@@ -338,9 +336,8 @@ def referral_fact(t):
     """The stored fact knows the referrals before mid-1998 and their funding up to then; the
     accumulating load fills in later funding and adds the newer referrals."""
     refs, people, assignments, funded = referral_inputs(t)
-    refs, funded = t.stage(refs, "refs"), t.stage(funded, "funded")
     swapped = c("source") == "US"
-    fact = t.stage(ref.referral_fact(refs, people, assignments, funded, swapped), "referrals")
+    fact = ref.referral_fact(refs, people, assignments, funded, swapped)
     cut = int(ORDER_CUT.replace("-", ""))
     late = c("trading_date_key") >= cut
     stored = fact.filter(c("referral_date_key") < cut).withColumns({
@@ -379,9 +376,9 @@ def signup_windows(t):
     """Windows between signup days, cleared by the first purchase inside."""
     days = t.events.filter("event_type = 'signup'").select("user_id", F.to_date("ts").alias("d")).distinct()
     buys = t.events.filter("event_type = 'purchase'").select("user_id", F.to_date("ts").alias("bought")).distinct()
-    led = neighbours(days, ["user_id"], ["d"], after={"nxt": c("d")}, split=None)
+    led = neighbours(days, ["user_id"], ["d"], after={"nxt": c("d")}, split=False)
     spans = led.select("user_id", "d", F.coalesce("nxt", day("9999-12-31")).alias("nxt"))
-    inside = temporal_join(buys, spans, ["user_id"], "bought", "d", "nxt", split=None)
+    inside = temporal_join(buys, spans, ["user_id"], "bought", "d", "nxt")
     first = inside.groupBy("user_id", "d").agg(F.min("bought").alias("cleared_on"))
     onboarding = days.join(first, ["user_id", "d"], "left")
     return term.clearance_windows(onboarding, "user_id", "d", "cleared_on")
@@ -430,10 +427,8 @@ LEFT JOIN cw ON cw.user_id = ev.user_id AND w0 <= ev.event_date AND ev.event_dat
 def termination_fact(t):
     """Error versions are threats, a following signup is the termination, anything else a save;
     the amount adds up the latest values per event type within ten days."""
-    versions = t.stage(hist(t), "versions")
-    events = t.stage(
-        term.termination_events(versions, "user_id", "event_type", "error", ["view", "click", "purchase"], "signup"), "events"
-    )
+    versions = hist(t)
+    events = term.termination_events(versions, "user_id", "event_type", "error", ["view", "click", "purchase"], "signup")
     balances = t.events.groupBy("user_id", c("event_type").alias("account"), F.to_date("ts").alias("balance_day")).agg(
         F.max(money(c("value"))).alias("balance")
     )

@@ -60,7 +60,7 @@ SELECT o_orderkey, sha256(concat(o_custkey, '|', nullif(o_orderstatus, 'O'), '|'
 def fn_row_hash(t):
     rows = t.orders.withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("O")))
     cols = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
-    return rows.select("o_orderkey", row_hash(rows, cols).alias("row_hash"))
+    return rows.select("o_orderkey", row_hash(rows, cols, money=True).alias("row_hash"))
 
 
 @query("fn_local_date", """

@@ -19,7 +19,7 @@ SELECT c_custkey, sha256(concat(c_name, '|', c_nationkey, '|', CAST(c_acctbal AS
   nullif(c_mktsegment, 'BUILDING'))) AS row_hash FROM customer""")
 def row_hash(t):
     rows = t.customer.withColumn("c_mktsegment", F.nullif("c_mktsegment", F.lit("BUILDING")))
-    return with_row_hash(rows, ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]).select("c_custkey", "row_hash")
+    return with_row_hash(rows, ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], money=True).select("c_custkey", "row_hash")
 
 
 @query("detect_changes", f"""
@@ -73,7 +73,7 @@ def scd2_build(t):
     """Pacific days, one dense and one sparse attribute."""
     audit = t.events.withColumn("paid", F.when(c("event_type") == "purchase", c("value")))
     return h.build_scd2(
-        audit, "user_id", "ts", "event_id", ["event_type", "paid"], sparse=["paid"], day=local_date(c("ts"))
+        audit, "user_id", "ts", "event_id", ["event_type", "paid"], sparse=["paid"], day=local_date(c("ts")), money=True
     )
 
 

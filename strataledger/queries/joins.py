@@ -128,9 +128,11 @@ WITH a AS (SELECT c_custkey AS id_a, c_nationkey * 100000 + CAST(floor(c_acctbal
              CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY', 'FURNITURE') THEN 1 ELSE 0 END AS good_a FROM customer),
 b AS (SELECT o_orderkey AS id_b, c_nationkey * 100000 + CAST(floor(c_acctbal) AS BIGINT) AS k,
         CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS good_b FROM orders JOIN customer ON o_custkey = c_custkey),
-p0 AS (SELECT id_a, id_b, good_a, good_b FROM a JOIN b ON a.k = b.k),
-p1 AS (SELECT * FROM p0 WHERE good_a = 1 OR id_a IN (SELECT id_a FROM p0 GROUP BY 1 HAVING count(*) = 1)),
-p2 AS (SELECT * FROM p1 WHERE good_b = 1 OR id_b IN (SELECT id_b FROM p1 GROUP BY 1 HAVING count(*) = 1))
+a1 AS (SELECT *, good_a = 1 AND id_a = min(CASE WHEN good_a = 1 THEN id_a END) OVER (PARTITION BY k) AS first_a FROM a),
+b1 AS (SELECT *, good_b = 1 AND id_b = min(CASE WHEN good_b = 1 THEN id_b END) OVER (PARTITION BY k) AS first_b FROM b),
+p0 AS (SELECT id_a, id_b, first_a, first_b FROM a1 JOIN b1 ON a1.k = b1.k),
+p1 AS (SELECT * FROM p0 WHERE first_a OR id_a IN (SELECT id_a FROM p0 GROUP BY 1 HAVING count(*) = 1)),
+p2 AS (SELECT * FROM p1 WHERE first_b OR id_b IN (SELECT id_b FROM p1 GROUP BY 1 HAVING count(*) = 1))
 SELECT id_a, id_b FROM p2""")
 def id_crosswalk(t):
     key = (c("c_nationkey") * 100000 + F.floor("c_acctbal")).alias("k")
@@ -141,9 +143,7 @@ def id_crosswalk(t):
     b = t.orders.join(t.customer, c("o_custkey") == c("c_custkey")).select(
         c("o_orderkey").alias("id_b"), key, (c("o_orderstatus") == "F").cast("int").alias("good_b")
     )
-    return j.crosswalk(
-        a, t.stage(b, "b"), "k", "id_a", "id_b", "good_a", "good_b", stage=lambda df: t.stage(df, "a")
-    )
+    return j.crosswalk(a, b, "k", "id_a", "id_b", "good_a", "good_b")
 
 
 @query("expr_key_join", """

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -22,10 +21,9 @@ class Tables:
         return df
 
     def scratch(self) -> str:
-        """A new folder for a written table: in the cluster's shared folder where it names one."""
-        shared = self.spark.conf.get("spark.checkpoint.dir", None)
-        if not shared:
-            return tempfile.mkdtemp(prefix="strataledger-")
+        """A new folder for a written table, where driver and executors both see it: the checkpoint folder or the warehouse."""
+        conf = self.spark.conf
+        shared = conf.get("spark.checkpoint.dir", None) or conf.get("spark.sql.warehouse.dir")
         return f"{shared.rstrip('/')}/strataledger-{uuid.uuid4().hex}"
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:

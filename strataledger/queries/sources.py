@@ -46,7 +46,7 @@ def register_file(t):
     files = load_log(t)
     log = files.filter(F.col("o_orderdate") < moment(MARK)).drop("o_orderdate").distinct()
     entries = files.drop("o_orderdate").withColumn("stage", F.lit("registered"))
-    return lake.register_file(log.withColumn("stage", F.lit("loaded")), entries, ["member", "file_name"])
+    return lake.register_file(log.withColumn("stage", F.lit("loaded")), entries, ["member", "file_name"], ["stage"])
 
 
 @query("parse_lake_path", """

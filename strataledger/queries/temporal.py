@@ -138,22 +138,16 @@ def asof_join(t):
 WITH pairs AS (SELECT e.o_orderkey, s.o_orderpriority, CAST(s.o_totalprice AS DECIMAL(18,2)) AS amount,
     row_number() OVER (PARTITION BY e.o_orderkey, s.o_orderpriority ORDER BY s.o_orderdate DESC, s.o_orderkey DESC) AS rn
   FROM orders e JOIN orders s ON e.o_custkey = s.o_custkey
-    AND s.o_orderdate <= e.o_orderdate AND s.o_orderdate >= e.o_orderdate - INTERVAL 90 DAY
-  WHERE e.o_orderstatus = 'P')
+    AND s.o_orderdate <= e.o_orderdate AND s.o_orderdate >= e.o_orderdate - INTERVAL 90 DAY)
 SELECT o_orderkey, CAST(sum(amount) AS DECIMAL(28,2)) AS amount FROM pairs WHERE rn = 1 GROUP BY 1""")
 def asof_tolerance(t):
-    """Partial orders valued at the latest balance of each of the customer's accounts (priority),
-    none older than 90 days."""
-    events = t.orders.filter("o_orderstatus = 'P'").select("o_orderkey", "o_custkey", "o_orderdate")
-    accounts = t.orders.select("o_custkey", "o_orderpriority").distinct()
+    """Orders valued at the latest balance of each of the customer's accounts (priority), none older than 90 days."""
     shots = t.orders.select(
         "o_custkey", "o_orderpriority", "o_orderdate", c("o_orderkey").alias("tie"), money(c("o_totalprice")).alias("amount")
     )
-    valued = a.asof_latest(
-        events.join(accounts, "o_custkey"), shots, ["o_custkey", "o_orderpriority"], "o_orderdate", "o_orderdate",
-        {"amount": "amount"}, tie="tie", max_age_days=90,
-    )
-    return valued.filter("amount is not null").groupBy("o_orderkey").agg(F.sum("amount").alias("amount"))
+    moments = t.orders.select("o_custkey", "o_orderdate").distinct()
+    valued = a.sum_of_latest(moments, shots, "o_custkey", "o_orderpriority", "o_orderdate", "o_orderdate", "amount", 90, tie="tie")
+    return t.orders.join(valued, ["o_custkey", "o_orderdate"]).select("o_orderkey", "amount")
 
 
 @query("rolling_lookback_join", """
@@ -187,11 +181,10 @@ WITH days AS (SELECT DISTINCT l_partkey, l_quantity, l_shipdate FROM lineitem),
 p AS (SELECT *, lag(l_shipdate) OVER (PARTITION BY l_partkey, l_quantity ORDER BY l_shipdate) AS prev FROM days)
 SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate,
   CAST(date_diff('day', prev, l_shipdate) AS INTEGER) AS days_lag
-FROM lineitem JOIN p USING (l_partkey, l_quantity, l_shipdate) WHERE l_shipdate >= TIMESTAMP '2000-01-01'""")
+FROM lineitem JOIN p USING (l_partkey, l_quantity, l_shipdate)""")
 def previous_match_lag(t):
     cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate"]
-    batch = t.lineitem.filter(c("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz")).select(*cols)
-    return a.recurring_lag(batch, t.lineitem, ["l_partkey", "l_quantity"], "l_shipdate")
+    return a.recurring_lag(t.lineitem.select(*cols), t.lineitem, ["l_partkey", "l_quantity"], "l_shipdate")
 
 
 @query("window_overlap_cap", f"""

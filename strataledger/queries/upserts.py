@@ -108,7 +108,7 @@ SELECT user_id, event_type, row_hash, start_date,
 UNION ALL
 SELECT user_id, event_type, row_hash, DATE '2024-02-01', DATE '9999-12-31', 1 FROM lab WHERE change <> 'SAME'""")
 def scd2_upsert(t):
-    return u.upsert_scd2(t.stage(hist(t), "dimension"), user_batch(t), ["user_id"], ["event_type"], day("2024-02-01"))
+    return u.upsert_scd2(hist(t), user_batch(t), ["user_id"], ["event_type"], day("2024-02-01"))
 
 
 @query("insert_if_absent", f"""
@@ -231,7 +231,7 @@ def repair_duplicates(t):
         F.when(seam, 1).otherwise(c("current_record")).alias("current_record"),
     )
     pairs = twin.select((c("user_id") + offset).alias("user_id"), c("user_id").alias("master"))
-    return u.repair_scd2(t.stage(broken, "dimension"), pairs, "user_id", "master", "event_type", ["row_hash"], split=None)
+    return u.repair_scd2(broken, pairs, "user_id", "master", "event_type", ["row_hash"], split=False)
 
 
 @query("bridge_from_columns", """

@@ -65,7 +65,7 @@ def versions(t):
 @query("lead_end_date", f"""
 WITH {HIST} SELECT user_id, event_type, start_date, end_date FROM hist""")
 def lead_end_date(t):
-    return h.close_with_next(versions(t), ["user_id"], ["start_date"], split=None).select(
+    return h.close_with_next(versions(t), ["user_id"], ["start_date"], split=False).select(
         "user_id", "event_type", "start_date", "end_date"
     )
 
@@ -73,7 +73,7 @@ def lead_end_date(t):
 @query("current_flag", f"""
 WITH {HIST} SELECT user_id, start_date, current_record FROM hist""")
 def current_flag(t):
-    return h.close_with_next(versions(t), ["user_id"], ["start_date"], split=None).select(
+    return h.close_with_next(versions(t), ["user_id"], ["start_date"], split=False).select(
         "user_id", "start_date", "current_record"
     )
 
@@ -81,9 +81,9 @@ def current_flag(t):
 @query("capped_lead", """
 SELECT event_id, user_id, CAST(ts AS DATE) AS start_date, least(
   lead(CAST(ts AS DATE), 1, DATE '9999-12-31') OVER (PARTITION BY user_id ORDER BY ts, event_id),
-  CAST(CAST(ts AS DATE) + 2 AS DATE)) AS end_date FROM events WHERE event_type = 'purchase'""")
+  CAST(CAST(ts AS DATE) + 2 AS DATE)) AS end_date FROM events""")
 def capped_lead(t):
-    rows = t.events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts", F.to_date("ts").alias("start_date"))
+    rows = t.events.select("event_id", "user_id", "ts", F.to_date("ts").alias("start_date"))
     return h.capped_windows(rows, ["user_id"], "start_date", 2, order=AT).drop("ts")
 
 
