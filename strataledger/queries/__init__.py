@@ -3,6 +3,7 @@
 from . import (  # noqa: F401
     aggregates,
     checks,
+    dimensions,
     facts,
     filters,
     functions,
