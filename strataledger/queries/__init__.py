@@ -10,6 +10,7 @@ from . import (  # noqa: F401
     history,
     joins,
     ordering,
+    people,
     projections,
     sources,
     temporal,
