@@ -19,6 +19,14 @@ def test_query_matches_sql(spark, sf, con, name):
     assert [d for d in diff if d != "EMPTY"] == []
 
 
+@pytest.mark.parametrize(
+    ("name", "keys"), [("order_multi", [1, 2]), ("top_n", [2, 0]), ("order_binary", [1, 0]), ("order_desc_recent", [1])]
+)
+def test_rows_come_in_order(spark, sf, con, name, keys):
+    got = [tuple(r[k] for k in keys) for r in QUERIES[name](spark, sf).collect()]
+    assert got == [tuple(r[k] for k in keys) for r in con.execute(SQL[name]).fetchall()]
+
+
 def test_entry(spark):
     out = entry.entry(spark)
     assert out.columns == ["version_type", "event_type", "n", "total"]
