@@ -13,6 +13,7 @@ from ..operators.hotkeys import DEFAULT_SPLIT, Split
 from ..operators.joins import missing
 from ..operators.ordered import first_per_key
 from ..operators.temporal import eligible_at, temporal_join
+from ..operators.upsert import accumulate, upsert_scd2
 
 SPANS = ("first_start", "last_start", "left_on")
 
@@ -53,6 +54,19 @@ def assigned(
     return found.withColumn(out, kept).drop("assigned_id", "from_date", "to_date", "_when", *SPANS)
 
 
+def adjust(history: DataFrame, derived: DataFrame, key: list[str], tracked: list[str], as_of: Column) -> DataFrame:
+    """The adjustment history after a load: a referral whose derived values changed gets a new version from the load's day."""
+    return upsert_scd2(history, derived.select(*key, *tracked), key, tracked, as_of)
+
+
+def fact_of(history: DataFrame, key: list[str], tracked: list[str], stored: DataFrame, closed: str) -> DataFrame:
+    """The accumulating fact filled from the history's current rows: open rows are updated in full, closed ones stay, new ones are added."""
+    current = history.filter("current_record = 1").select(*key, *tracked)
+    still_open = F.coalesce(F.col(closed), F.lit(0)) == 0
+    rule = {c: F.when(still_open, F.col(f"s_{c}")).otherwise(F.col(c)) for c in tracked}
+    return accumulate(stored, current, key, [rule])
+
+
 def referral_fact(
     refs: DataFrame, people: DataFrame, assignments: DataFrame, funded: DataFrame, swapped: Column,
     split: Split = DEFAULT_SPLIT,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_key
+from ..functions.hashing import with_row_hash
 from ..functions.numbers import money
 from ..operators import history as h
 from ..operators.filters import cutover
@@ -338,9 +339,17 @@ def referral_fact(t):
     refs, people, assignments, funded = referral_inputs(t)
     swapped = c("source") == "US"
     fact = ref.referral_fact(refs, people, assignments, funded, swapped)
+    stored = known_at_cut(fact)
+    unset = {"person_funded_key": -1, "trading_date_key": -1, "funded_count": 0, "funding_days_lag": None}
+    fill = fill_rule(unset, c("completed") == 0, {"completed": c("s_completed")})
+    return accumulate(stored, fact, ["source", "referral_id"], [fill])
+
+
+def known_at_cut(fact):
+    """The fact as it was known at the cut: newer referrals and later fundings have not come yet."""
     cut = int(ORDER_CUT.replace("-", ""))
     late = c("trading_date_key") >= cut
-    stored = fact.filter(c("referral_date_key") < cut).withColumns({
+    return fact.filter(c("referral_date_key") < cut).withColumns({
         "person_funded_key": F.when(late, F.lit(-1).cast("bigint")).otherwise(c("person_funded_key")),
         "funded_count": F.when(late, 0).otherwise(c("funded_count")),
         "completed": F.when(late, 0).otherwise(c("completed")),
@@ -348,9 +357,46 @@ def referral_fact(t):
         "trading_date_key": F.when(late, -1).otherwise(c("trading_date_key")),
     })
 
-    unset = {"person_funded_key": -1, "trading_date_key": -1, "funded_count": 0, "funding_days_lag": None}
-    fill = fill_rule(unset, c("completed") == 0, {"completed": c("s_completed")})
-    return accumulate(stored, fact, ["source", "referral_id"], [fill])
+
+TRACKED_REFERRAL = ["person_key", "person_funded_key", "trading_date_key", "funded_count", "completed"]
+
+
+@query("referral_adjustments", f"""
+WITH {REFERRALS}, cut AS (SELECT {int(ORDER_CUT.replace("-", ""))} AS d),
+f0 AS (SELECT source, referral_id, person_key, CASE WHEN trading_date_key >= d THEN -1 ELSE person_funded_key END AS person_funded_key,
+    CASE WHEN trading_date_key >= d THEN -1 ELSE trading_date_key END AS trading_date_key,
+    CASE WHEN trading_date_key >= d THEN 0 ELSE funded_count END AS funded_count, CASE WHEN trading_date_key >= d THEN 0 ELSE completed END AS completed
+  FROM fact, cut WHERE referral_date_key < d),
+j AS (SELECT f.source, f.referral_id, f.person_key AS p1, f.person_funded_key AS q1, f.trading_date_key AS t1, f.funded_count AS n1, f.completed AS c1, f0.*
+      EXCLUDE (source, referral_id), f0.referral_id IS NOT NULL AS was,
+      f0.referral_id IS NOT NULL AND (f.person_key, f.person_funded_key, f.trading_date_key, f.funded_count, f.completed)
+        <> (f0.person_key, f0.person_funded_key, f0.trading_date_key, f0.funded_count, f0.completed) AS moved
+    FROM fact f LEFT JOIN f0 ON f.source = f0.source AND f.referral_id = f0.referral_id)
+SELECT source, referral_id, person_key, person_funded_key, trading_date_key, funded_count, completed, DATE '1900-01-01' AS start_date,
+  CASE WHEN moved THEN DATE '{ORDER_CUT}' ELSE DATE '9999-12-31' END AS end_date, CASE WHEN moved THEN 0 ELSE 1 END AS current_record FROM j WHERE was
+UNION ALL SELECT source, referral_id, p1, q1, t1, n1, c1, DATE '{ORDER_CUT}', DATE '9999-12-31', 1 FROM j WHERE moved OR NOT was""")
+def referral_adjustments(t):
+    """The history of the derived values: as known at the cut, then adjusted by the load that saw later funding and newer referrals."""
+    return adjusted(t)[0].drop("row_hash")
+
+
+def adjusted(t):
+    refs, people, assignments, funded = referral_inputs(t)
+    fact = ref.referral_fact(refs, people, assignments, funded, c("source") == "US")
+    key = ["source", "referral_id"]
+    first = with_row_hash(known_at_cut(fact).select(*key, *TRACKED_REFERRAL), TRACKED_REFERRAL).withColumns({
+        "start_date": day("1900-01-01"), "end_date": day("9999-12-31"), "current_record": F.lit(1),
+    })
+    return ref.adjust(first, fact, key, TRACKED_REFERRAL, day(ORDER_CUT)), first
+
+
+@query("referral_fact_from_history", f"""
+WITH {REFERRALS} SELECT source, referral_id, person_key, person_funded_key, trading_date_key, funded_count, completed FROM fact""")
+def referral_fact_from_history(t):
+    """The stored fact, whose open rows are updated in full from the adjustment history's current rows."""
+    history, first = adjusted(t)
+    key = ["source", "referral_id"]
+    return ref.fact_of(history, key, TRACKED_REFERRAL, first.select(*key, *TRACKED_REFERRAL), "completed")
 
 
 @query("attribution_waterfall", f"""
