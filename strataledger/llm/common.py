@@ -44,13 +44,28 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """Write the rows as Parquet in the shared folder and read them back: computed once, no lineage, safe from lost executors."""
+_STAGED: list[str] = []
+
+
+def staged(df: DataFrame, keep: bool = False) -> DataFrame:
+    """Write the rows as Parquet in the shared folder and read them back: computed once, no lineage, safe from lost executors.
+
+    Tables that are not to be kept go with the next ``release``.
+    """
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
+    if not keep:
+        _STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Deletes the tables staged so far, for a job whose earlier results are all written."""
+    while _STAGED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """The name, with underscores before it until no column of the frame has it."""
     taken = {c.lower() for c in df.columns}
@@ -59,6 +74,14 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def spread(rows: DataFrame, tasks: int, most: int = 20_000) -> DataFrame:
+    """Rows that each stand for much work, such as files or blocks, dealt evenly to so many tasks.
+
+    The number is stated, since a shuffle of few small rows would otherwise be gathered into one task.
+    """
+    return rows.repartition(max(1, min(tasks, most)))
+
+
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_folder, staged
+from .common import shared_folder, spread, staged
 from .tokens import encoder, opened, parts, qualified
 
 BLOCK = 8 << 20
@@ -61,7 +61,8 @@ def count_tokens(files: DataFrame, end_id: int, block: int = BLOCK) -> DataFrame
     """
     block -= block % 4
     cut = files.where("n_bytes > 0").select("data", "width", "n_bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_bytes") - 1, F.lit(block).cast("long"))).alias("begin"))
-    cut = cut.withColumn("size", F.least(F.lit(block), F.col("n_bytes") - F.col("begin"))).repartition("data", "begin")
+    tasks = -(-(files.agg(F.sum("n_bytes")).first()[0] or 0) // BLOCK)
+    cut = spread(cut.withColumn("size", F.least(F.lit(block), F.col("n_bytes") - F.col("begin"))), tasks)
 
     def places(data: str, width: int, begin: int, size: int) -> np.ndarray:
         """Places of the block's separators, in tokens from the file's start."""
@@ -79,11 +80,11 @@ def count_tokens(files: DataFrame, end_id: int, block: int = BLOCK) -> DataFrame
     shape = "data string, width int, n_bytes long, begin long, size long"
     found = staged(cut.mapInPandas(ends, f"{shape}, n_ends long, last_end long"))
     before = Window.partitionBy("data").orderBy("begin").rowsBetween(Window.unboundedPreceding, -1)
-    stitched = found.select(
+    stitched = spread(found.select(
         "data", "width", "n_bytes", "begin", "size",
         F.coalesce(F.sum("n_ends").over(before), F.lit(0)).alias("first"),
         F.coalesce(F.max("last_end").over(before), F.lit(-1)).alias("from_end"),
-    ).repartition("data", "begin")
+    ), tasks)
 
     def lengths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

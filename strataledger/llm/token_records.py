@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_folder, staged
+from .common import shared_folder, spread, staged
 from .tokens import encoder, opened, parts, qualified
 
 #: Fixed values of the format.
@@ -101,7 +101,7 @@ def read(files: DataFrame, window: int = 32 << 20) -> DataFrame:
     """
     order = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     based = files.withColumn("base", F.coalesce(F.sum("n_tokens").over(order), F.lit(0)))
-    based = based.select("file", "data", "index", "base").repartition("file")
+    based = spread(based.select("file", "data", "index", "base"), files.count())
 
     def get(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
