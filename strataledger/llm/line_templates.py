@@ -13,18 +13,22 @@ from pyspark.sql import functions as F
 from .common import BLANKS, fresh, staged, words
 
 WILD = "<*>"
-NUMBERED = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
+#: A word with a digit; the possessive parts keep the search linear.
+NUMBERED = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 KEY = ["key1", "key2"]
 LINE = ["line1", "line2"]
 
 
 def _lines(docs: DataFrame, text: str, depth: int, least: int) -> DataFrame:
-    """(key1, key2, no, masked, leaf, line1, line2) of every line with enough tokens; masked is the token array, the others are hashes or names."""
+    """(key1, key2, no, masked, size, leaf, line1, line2) of every line with enough tokens, written once; masked is the tokens joined by spaces."""
     t = F.col(text)
     rows = docs.where(t.isNotNull()).select(F.xxhash64(t).alias("key1"), F.xxhash64(F.lit(1), t).alias("key2"), F.posexplode(F.split(t, "\n")).alias("no", "line"))
-    rows = rows.select(*KEY, "no", words(F.regexp_replace("line", NUMBERED, WILD)).alias("masked")).where(F.size("masked") >= least)
-    leaf = F.concat_ws(" ", F.size("masked").cast("string"), F.slice("masked", 1, depth))
-    return rows.select("*", leaf.alias("leaf"), F.xxhash64("masked").alias("line1"), F.xxhash64(F.lit(1), F.col("masked")).alias("line2"))
+    line = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", NUMBERED, WILD)).otherwise(F.col("line"))
+    # the one-element explode keeps the filter from being pushed into, and repeating, the split
+    rows = rows.select(*KEY, "no", F.explode(F.array(words(line))).alias("tokens")).where(F.size("tokens") >= least)
+    leaf = F.concat_ws(" ", F.size("tokens").cast("string"), F.slice("tokens", 1, depth))
+    rows = rows.select(*KEY, "no", F.array_join("tokens", " ").alias("masked"), F.size("tokens").alias("size"), leaf.alias("leaf"))
+    return staged(rows.select("*", F.xxhash64("masked").alias("line1"), F.xxhash64(F.lit(1), F.col("masked")).alias("line2")))
 
 
 def templates(docs: DataFrame, depth: int = 2, recurring: int = 10, constant: float = 0.6, least: int = 3, text: str = "text") -> DataFrame:
@@ -33,18 +37,21 @@ def templates(docs: DataFrame, depth: int = 2, recurring: int = 10, constant: fl
     A token is kept where at least ``recurring`` (line, text) pairs of the leaf have it in its place; a template with a smaller share of kept
     tokens than ``constant`` says too little and recurs nowhere. Lines of fewer than ``least`` tokens have no template.
     """
-    lines = _lines(docs, text, depth, least)
+    return _templates(_lines(docs, text, depth, least), recurring, constant)
+
+
+def _templates(lines: DataFrame, recurring: int, constant: float) -> DataFrame:
     leaves = lines.select("leaf", *KEY).distinct().groupBy("leaf").count().where(F.col("count") >= recurring)
     leaves = staged(leaves.select("leaf"))
     pairs = staged(lines.join(leaves, "leaf").select("leaf", *LINE, *KEY).distinct())  # which text has which line
-    known = lines.join(leaves, "leaf").groupBy("leaf", *LINE).agg(F.first("masked").alias("masked"))
+    known = lines.join(leaves, "leaf").groupBy("leaf", *LINE).agg(F.first("masked").alias("masked"), F.first("size").alias("size"))
     known = staged(known.join(pairs.groupBy(*LINE).agg(F.count(F.lit(1)).alias("n")), LINE))
-    places = known.select("leaf", *LINE, "n", F.posexplode("masked").alias("at", "token"))
+    places = known.select("leaf", *LINE, "n", F.posexplode(F.split("masked", " ")).alias("at", "token"))
     support = places.groupBy("leaf", "at", "token").agg(F.sum("n").alias("support")).where(F.col("support") >= recurring)
     support = staged(support)
     kept = places.join(support, ["leaf", "at", "token"]).where(F.col("token") != WILD)
     kept = kept.groupBy(*LINE).agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("kept"))
-    whole = known.select("leaf", *LINE, F.size("masked").alias("size")).join(kept, LINE)
+    whole = known.select("leaf", *LINE, "size").join(kept, LINE)
     whole = whole.where(F.size("kept") >= F.lit(constant) * F.col("size"))
     name = F.concat_ws(" ", "size", F.transform("kept", lambda k: F.concat_ws(":", k["at"].cast("string"), k["token"])))
     named = staged(whole.select(*LINE, name.alias("template")))
@@ -66,8 +73,9 @@ def drop_recurring(docs: DataFrame, depth: int = 2, recurring: int = 10, constan
     """
     new = ["n_lines", "n_dropped"]
     base = docs.drop(*new)
-    bad = staged(templates(docs, depth, recurring, constant, least, text).select(*LINE))
-    hits = _lines(docs, text, depth, least).select(*KEY, "no", *LINE).join(bad, LINE, "left_semi")
+    every = _lines(docs, text, depth, least)
+    bad = staged(_templates(every, recurring, constant).select(*LINE))
+    hits = every.select(*KEY, "no", *LINE).join(bad, LINE, "left_semi")
     drops = staged(hits.groupBy(*KEY).agg(F.sort_array(F.collect_set("no")).alias("numbers")))
     k1, k2, flags = (fresh(base, n) for n in ("_key1", "_key2", "_flags"))
     t = F.col(text)
