@@ -42,10 +42,11 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     found by sorting 64-bit hashes of five words within a text, so a text costs its length times a logarithm.
     """
     base = docs.drop("stats")
-    names = ["_t", "_w", "_win", "_at", "_lines"]
-    t, w, win, at, lines = (fresh(base, n) for n in names)
+    names = ["_t", "_words", "_w", "_win", "_at", "_lines"]
+    t, tokens, w, win, at, lines = (fresh(base, n) for n in names)
     out = base.withColumn(t, F.coalesce(F.col(text), F.lit("")))
-    out = out.withColumn(w, F.transform(words(F.col(t)), lambda x: F.xxhash64(x)))
+    out = out.withColumn(tokens, words(F.col(t)))
+    out = out.withColumn(w, F.transform(F.col(tokens), lambda x: F.xxhash64(x)))
     out = out.withColumn(lines, F.filter(F.split(F.col(t), "\n"), lambda x: F.length(F.btrim(x, F.lit(BLANKS))) > 0))
     n = F.size(w)
     hashes = F.transform(
@@ -60,27 +61,27 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         F.col(at), F.struct(F.lit(0).cast("long").alias("n"), F.lit(-WINDOW).alias("last")),
         lambda s, p: F.struct((s["n"] + F.least(F.lit(WINDOW), p - s["last"])).alias("n"), p.alias("last")),
     )["n"]
-    chars = F.length(t)
-
-    def without(marks: str) -> Column:
-        return F.length(F.translate(F.col(t), marks, ""))
-
-    word_chars, n_lines = without(BLANKS), F.size(lines)
-    distinct = F.size(F.array_distinct(w))
-    per_char = F.greatest(word_chars, F.lit(1))
-    digits = chars - without("0123456789")
-    uppers = F.length(F.regexp_replace(F.col(t), r"[^A-Z]", ""))
-    marks = chars - without("!?*#$%&|<>{}[]=_~^@+/\\")
-    repeated = F.coalesce(fill, F.lit(0).cast("long"))
+
+    def number_of(marks: str) -> Column:
+        return F.size(F.split(F.col(t), marks)) - 1
+
+    # numbers that several statistics share are columns of their own, computed once
+    shared = {
+        "chars": F.length(F.array_join(F.col(tokens), "")), "symbols": number_of(f"[{SYMBOLS}]"), "digits": number_of("[0-9]"),
+        "uppers": number_of("[A-Z]"), "marks": number_of(r"[!?*#$%&|<>{}\[\]=_~^@+/\\]"), "distinct": F.size(F.array_distinct(w)),
+        "dup_lines": F.size(lines) - F.size(F.array_distinct(lines)), "repeated": F.coalesce(fill, F.lit(0).cast("long")),
+        "words": n, "lines": F.size(lines),
+    }
+    names = {k: fresh(base, f"_n_{k}") for k in shared}
+    out = out.withColumns({names[k]: c for k, c in shared.items()})
+    x = {k: F.col(c) for k, c in names.items()}
+    per_char, per_word, per_line = (F.greatest(x[k], F.lit(1)) for k in ("chars", "words", "lines"))
     stats = {
-        "n_words": n.cast("long"), "word_chars": word_chars.cast("long"), "n_symbols": (chars - without(SYMBOLS)).cast("long"),
-        "n_dup_lines": (n_lines - F.size(F.array_distinct(lines))).cast("long"), "n_repeat_words": repeated,
-        "chars_per_word": word_chars / F.greatest(n, F.lit(1)),
-        "symbols_per_char": (chars - without(SYMBOLS)) / per_char,
-        "dup_lines_per_line": (n_lines - F.size(F.array_distinct(lines))) / F.greatest(n_lines, F.lit(1)),
-        "repeat_share": repeated / F.greatest(n, F.lit(1)),
-        "upper_share": uppers / per_char, "digit_share": digits / per_char, "mark_share": marks / per_char,
-        "words_per_line": n / F.greatest(n_lines, F.lit(1)), "distinct_share": distinct / F.greatest(n, F.lit(1)),
+        "n_words": x["words"].cast("long"), "word_chars": x["chars"].cast("long"), "n_symbols": x["symbols"].cast("long"),
+        "n_dup_lines": x["dup_lines"].cast("long"), "n_repeat_words": x["repeated"],
+        "chars_per_word": x["chars"] / per_word, "symbols_per_char": x["symbols"] / per_char, "dup_lines_per_line": x["dup_lines"] / per_line,
+        "repeat_share": x["repeated"] / per_word, "upper_share": x["uppers"] / per_char, "digit_share": x["digits"] / per_char,
+        "mark_share": x["marks"] / per_char, "words_per_line": x["words"] / per_line, "distinct_share": x["distinct"] / per_word,
     }
     # the one-element explode keeps later filters on the statistics from being pushed into, and repeating, their computation
     out = out.withColumn("stats", F.explode(F.array(F.struct(*[c.alias(k) for k, c in stats.items()]))))
