@@ -1,4 +1,7 @@
-"""A corpus pipeline of five stages; each works on all rows its predecessor kept, written as Parquet in between."""
+"""A corpus pipeline of five stages; each works on all rows its predecessor kept, written as Parquet in between.
+
+When a stage begins, its predecessor's result is written, so what that staged on the way is deleted.
+"""
 
 from __future__ import annotations
 
@@ -6,32 +9,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataledger.llm import decision_list, hash_tree, mixing, simhash_ball, template_windows
-from strataledger.llm.common import count_words, read, staged
+from strataledger.llm.common import count_words, read, release, staged
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the decision list keep; the list is learned from the labels."""
+    release(spark)
     rules = decision_list.fit(docs, read(spark, sf_dir, "labels"))
     return decision_list.judge(docs, rules).where("kept").select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints: three-word shingles, two bits."""
+    release(spark)
     return simhash_ball.keep_one(docs, 3, 2)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark, re-parameterised ones included."""
+    release(spark)
     return template_windows.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
+    release(spark)
     return mixing.take_all(mixing.mix(docs, count_words(F.col("text")))).select(docs.columns)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows with their shard and their place in it."""
+    release(spark)
     return hash_tree.shard(docs, hash_tree.topology(24)).drop("grown_shard")
 
 
@@ -50,5 +58,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir))
+        docs = staged(stage(spark, docs, sf_dir), keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)

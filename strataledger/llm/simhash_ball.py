@@ -105,6 +105,8 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2, doc_id: str =
     slim = rows.select(F.col(doc_id).alias("doc_id"), F.col(fp).alias("fp"), F.col(rid).alias("rid"))
     rank = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "rid")
     per_print = staged(slim.groupBy("fp").agg(F.min(rank).alias("best")))
-    best = per_print.join(groups(slim, distance), "fp").groupBy("root").agg(F.min("best").alias("best"))
-    kept = staged(best.select(F.col("best.rid").alias(rid)))
-    return rows.join(kept, rid, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rooted = staged(per_print.join(groups(slim, distance), "fp").select("fp", "root", "best"))
+    best = rooted.groupBy("root").agg(F.min("best").alias("best")).select("root", F.col("best.rid").alias("best_rid"))
+    goes = slim.join(staged(rooted.join(best, "root").select("fp", "best_rid")), "fp").where("rid <> best_rid")
+    lost = staged(goes.select(F.col("rid").alias(rid)))  # the rows that go: in a corpus, fewer than those that stay
+    return rows.join(lost, rid, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -23,7 +23,7 @@ def test_stages(spark, sf):
     docs = read(spark, sf, "documents")
     kept = []
     for name, stage in corpus_pipeline.STAGES:
-        out = staged(stage(spark, docs, sf))
+        out = staged(stage(spark, docs, sf), keep=True)
         assert out.count(), name
         if name != "sharding":
             assert out.columns == docs.columns
@@ -57,5 +57,5 @@ def test_stages_take_extra_columns_and_nulls(spark, sf):
     null = spark.range(1).select(*[F.lit(None).cast(kind).alias(c) for c, kind in docs.dtypes])
     docs = docs.unionByName(null)
     for name, stage in corpus_pipeline.STAGES:
-        docs = staged(stage(spark, docs, sf))
+        docs = staged(stage(spark, docs, sf), keep=True)
     assert docs.count() > 0
