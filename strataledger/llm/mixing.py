@@ -60,7 +60,7 @@ def mix(docs: DataFrame, size: Column, sources: DataFrame | None = None, epochs:
 
     ``sources`` gives own (src, weight), else weights 5, 2, 1 repeat. Complete epochs come first; of the rest a document is
     taken whole if more than half of it lies within the budget, so a source misses its target by half a document at most.
-    Order: key, id, text. Running sums are taken within ``cells`` ranges of the key, with the ranges' totals added, so a
+    Order: key, then id (a key that comes twice is of one id and text). Running sums are taken within ``cells`` ranges of the key, with the ranges' totals added, so a
     source of any size is spread over tasks. A null source is a source (last); null texts and texts without words have size 0 and
     are not taken unless in whole epochs, where their taken size is 0; equal rows are taken one by one; reruns agree.
     Columns named as the new ones are replaced; an empty table gives an empty one.
@@ -83,7 +83,7 @@ def mix(docs: DataFrame, size: Column, sources: DataFrame | None = None, epochs:
         own = sources.select(F.coalesce("src", F.lit("")).alias("src"), F.col("src").isNotNull().alias("src_known"), "weight")
         per = per.join(own, ["src", "src_known"], "inner")
     per = targets(per, epochs).select(F.col("src").alias(src), F.col("src_known").alias(known), "source_size", "target")
-    out = add_offsets(rows, [src, known], cell, F.col("size"), [F.col(key), F.col(doc_id), F.col(text)], total, per)
+    out = add_offsets(rows, [src, known], cell, F.col("size"), [F.col(key), F.col(doc_id)], total, per)
     whole = F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1)))
     rest = F.col("target") - whole * F.col("source_size")
     picked = (F.col(total) - F.col("size") / 2.0 < rest) & (F.col("size") > 0)
