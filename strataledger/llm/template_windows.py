@@ -68,7 +68,7 @@ def _hash_of(word: str) -> np.uint64:
 
 
 class Stream:
-    """Template tokens of several texts as arrays: ``doc`` of each token, ``kind`` (0 literal), ``hash``, and its characters on demand."""
+    """Template tokens of several texts as arrays: ``doc`` of each token, ``kind`` (0 literal), ``hash``, ``plain`` (that of the word itself), and its characters on demand."""
 
     def __init__(self, texts: list[str]):
         joined = "\n".join(texts)
@@ -95,7 +95,7 @@ class Stream:
         upper = (a != low)[kept]
         ups = np.bincount(word[upper], minlength=n)
         self.first, self.last = first_raw[here], last_raw[here]
-        self.kind = np.zeros(n, np.int8)
+        self.kind, self.plain = np.zeros(n, np.int8), self.hash.copy()
         if n:
             size = sizes[here]
             number = digits == size
@@ -112,24 +112,35 @@ class Stream:
         offsets = np.cumsum([0] + [len(t) + 1 for t in texts])
         self.doc = np.searchsorted(offsets, self.first, "right") - 1
 
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """First tokens and hashes of all windows that lie in one text and have a literal in at least half their places."""
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First tokens, hashes and whether it is a template's hash, of all windows that lie in one text.
+
+        A window with a literal in at least half its places has the hash of its template, any other that of its plain words.
+        """
         n = len(self.hash) - size + 1
         if n <= 0:
-            return np.zeros(0, int), np.zeros(0, np.uint64)
-        h = np.zeros(n, np.uint64)
-        for j in range(size):
-            h = h * STEP + self.hash[j : j + n]
+            return np.zeros(0, int), np.zeros(0, np.uint64), np.zeros(0, bool)
         literals = np.concatenate(([0], np.cumsum(self.kind == 0)))
-        ok = (self.doc[:n] == self.doc[size - 1 :]) & (2 * (literals[size:] - literals[:n]) >= size)
-        return np.flatnonzero(ok), _mix(h)[ok]
+        literals = literals[size:] - literals[:n]
+        inside = self.doc[:n] == self.doc[size - 1 :]
+        shaped = inside & (2 * literals >= size) & (literals < size)
+        out = []
+        for mask, hashes, template in ((inside & ~shaped, self.plain, False), (shaped, self.hash, True)):
+            h = np.zeros(n, np.uint64)
+            for j in range(size):
+                h = h * STEP + hashes[j : j + n]
+            out.append((np.flatnonzero(mask), _mix(h)[mask], np.full(int(mask.sum()), template)))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
     def word(self, i: int) -> str:
         return "".join(c for c in self.low[self.first[i] : self.last[i] + 1] if c not in PUNCTUATION)
 
-    def template(self, i: int, size: int) -> tuple[str, list[str]]:
+    def template(self, i: int, size: int, shaped: bool) -> tuple[str, list[str]]:
+        """The template and the placeholders' values, or the plain words and no values; words have no punctuation, so the two never agree."""
         marks = ("", NAME, UNIT, BOTH, NUM)
         at = range(i, i + size)
+        if not shaped:
+            return " ".join(self.word(j) for j in at), []
         return " ".join(marks[self.kind[j]] or self.word(j) for j in at), [self.word(j) for j in at if self.kind[j]]
 
 
@@ -151,8 +162,8 @@ def benchmark_windows(benchmark: DataFrame, size: int, least: int, item_id: str,
                 n = len(s.hash)
                 k = min(size, n)
                 if n >= least:
-                    at, h = s.windows(k)
-                    out += [(item, n, int(i), k, int(x), *s.template(i, k)) for i, x in zip(at, h.astype(np.int64), strict=True)]
+                    at, h, shaped = s.windows(k)
+                    out += [(item, n, int(i), k, int(x), *s.template(i, k, m)) for i, x, m in zip(at, h.astype(np.int64), shaped, strict=True)]
             yield pd.DataFrame(out, columns=["item_id", "n", "at", "len", "h", "template", "slots"])
 
     kind = dict(benchmark.dtypes)[item_id]
@@ -165,7 +176,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = 8, enough: int =
     """(doc_id, key1, key2, item_id, n_matched, n_item) of documents that hold a passage of a benchmark item.
 
     A document holds an item if consistent windows cover ``enough`` of the item's tokens, or half of them where that is
-    less. ``key1`` and ``key2`` are hashes of the text. All windows of all texts are looked up; the benchmark's hashes go to the
+    less. ``key1`` and ``key2`` are hashes of the text. All windows of all texts are looked up, those of too few literals by
+    their plain words, so that only a copy of them is found and not the same with other values; the benchmark's hashes go to the
     tasks in blocks of at most ``block`` (32 MB), one pass over the documents for each. Null and blank texts match nothing; repeated rows of one
     id and text are one row of the result; items below ``least`` tokens cannot be told from chance and match nothing.
     """
@@ -217,13 +229,13 @@ def _looker(sent, lengths: list[int]):
                 s, out = Stream(texts), []
                 begins = np.searchsorted(s.doc, np.arange(len(texts)))
                 for size in lengths if len(wanted) else []:
-                    at, h = s.windows(size)
+                    at, h, shaped = s.windows(size)
                     hit = near[(h >> np.uint64(44)).astype(int)]
-                    at, h = at[hit], h[hit]
+                    at, h, shaped = at[hit], h[hit], shaped[hit]
                     hit = wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h
-                    for i, x in zip(at[hit], h[hit].astype(np.int64), strict=True):
+                    for i, x, m in zip(at[hit], h[hit].astype(np.int64), shaped[hit], strict=True):
                         d = s.doc[i]
-                        out.append((int(d), int(i - begins[d]), int(x), *s.template(i, size)))
+                        out.append((int(d), int(i - begins[d]), int(x), *s.template(i, size, m)))
                 hits = pd.DataFrame(out, columns=["d", "pos", "h", "template", "slots"])
                 ids = part[["doc_id", "key1", "key2"]].reset_index(drop=True)
                 got = ids.iloc[hits["d"].to_numpy(int)].reset_index(drop=True)

@@ -343,6 +343,18 @@ def test_slots_must_map_one_to_one(spark):
     assert bag(template_windows.matches(pages, bench), "doc_id") == Counter([(0,)])
 
 
+def found(spark, items, pages):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(pages)), "doc_id long, text string")
+    return set(bag(template_windows.matches(docs, bench), "doc_id", "item_id"))
+
+
+def test_windows_of_few_literals_match_word_for_word(spark):
+    items = ["Solve 3 x 4 + 5 = 17 and 6 x 2 - 8 = 4", "Calculate 45 * 67 + 12", "Ann Bo Cy Dee Eve Flo Gus Hal Ida Jon Kim Lea Moe Ned Ole"]
+    pages = [f"Some words first\n{t}\nand some after" for t in items] + ["Solve 4 x 5 + 6 = 26 and 7 x 3 - 9 = 12", "Calculate 46 * 67 + 12"]
+    assert found(spark, items, pages) == {(0, 0), (1, 1), (2, 2)}
+
+
 def test_decontamination_of_empty_tables(spark, none, docs):
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     assert template_windows.matches(none, bench).count() == 0
