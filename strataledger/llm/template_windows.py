@@ -2,12 +2,13 @@
 
 Texts become token streams in which numbers, units and names are typed placeholders and other words are lower-case
 without punctuation. Windows of the stream are hashed; those that also occur in the benchmark are joined with it on
-hash and template, and a match counts only if the placeholders' values map one to one along the whole alignment. So a question
-with other names and numbers is found, and a text that only has the same shape is not.
+hash and template. Along each run of windows a name must stay one name; changed values count as found only where they map one to one,
+unchanged words always. So a question with other names and numbers is found, and a text that only has the same shape is not.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -171,6 +172,39 @@ def benchmark_windows(benchmark: DataFrame, size: int, least: int, item_id: str,
     return rows.mapInPandas(cut, f"item_id {kind}, n int, at int, len int, h long, template string, slots array<string>")
 
 
+def _held(windows) -> list[int]:
+    """The item's tokens that the windows of one alignment hold, judged by runs: windows that meet or overlap.
+
+    A window with the item's own values always counts. Of the others go those that have not the name which the run mostly has for a name of the
+    item. If the values left map one to one, all their tokens count, else (numbers that fall together or apart) the unchanged ones.
+    """
+    runs, end = [], None
+    for w in sorted(windows, key=lambda w: (w["at"], w["template"], list(w["slots"]))):
+        at, marks = w["at"], w["template"].split(" ")
+        places = [at + j for j, m in enumerate(marks) if m in (NAME, UNIT, BOTH, NUM)] if len(w["own"]) else []
+        slots = [(p, marks[p - at], a, b) for p, a, b in zip(places, w["own"], w["slots"], strict=True)]
+        if end is None or at > end:
+            runs.append([])
+        end = max(end or 0, at + w["len"])
+        runs[-1].append((set(range(at, at + w["len"])), slots))
+    tokens = set()
+    for run in runs:
+        votes = Counter((a, b) for _, m, a, b in dict.fromkeys(x for _, slots in run for x in slots) if m == NAME)
+        best = {}
+        for (a, b), n in votes.items():
+            if n > votes[a, best.get(a)]:
+                best[a] = b
+        kept = [(own, slots) for own, slots in run if all(m != NAME or best[a] == b for _, m, a, b in slots)]
+        pairs = {x[1:] for _, slots in kept for x in slots}
+        single = len({x[:2] for x in pairs}) == len({(m, b) for m, _, b in pairs}) == len(pairs)
+        for own, slots in kept:
+            tokens |= own if single else own - {p for p, _, a, b in slots if a != b}
+        for own, slots in run:
+            if all(a == b for _, _, a, b in slots):
+                tokens |= own
+    return sorted(tokens)
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, size: int = 8, enough: int = 13, least: int = 4, block: int = 4_000_000,
             doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, key1, key2, item_id, n_matched, n_item) of documents that hold a passage of a benchmark item.
@@ -203,14 +237,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = 8, enough: int =
     met = hits.join(bench.withColumnRenamed("slots", "own"), ["h", "template"]).withColumn("shift", F.col("pos") - F.col("at"))
     row = ["doc_id", "key1", "key2", "item_id"]
     # one alignment has at most one window for each token of the item
-    aligned = met.groupBy(*row, "n", "shift").agg(
-        F.collect_set(F.struct("at", "len")).alias("windows"),
-        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("own", "slots")))).alias("pairs"),
-    )
-    both = F.size("pairs")
-    same = (F.size(F.array_distinct(F.col("pairs.own"))) == both) & (F.size(F.array_distinct(F.col("pairs.slots"))) == both)
-    places = F.flatten(F.transform("windows", lambda w: F.sequence(w["at"], w["at"] + w["len"] - 1)))
-    covered = aligned.where(same).select(*row, "n", F.explode(F.array_distinct(places)).alias("token")).distinct()
+    aligned = met.groupBy(*row, "n", "shift").agg(F.collect_set(F.struct("at", "len", "template", "own", "slots")).alias("windows"))
+    held = F.pandas_udf(lambda windows: windows.map(_held), "array<int>")
+    covered = aligned.select(*row, "n", held("windows").alias("tokens")).select(*row, "n", F.explode("tokens").alias("token")).distinct()
     per = covered.groupBy(*row).agg(F.count(F.lit(1)).cast("int").alias("n_matched"), F.max("n").alias("n_item"))
     per = per.where(F.col("n_matched") >= F.least(F.lit(enough), F.ceil(F.col("n_item") / 2)))
     return per.withColumn("doc_id", F.col("doc_id").cast(doc_kind))

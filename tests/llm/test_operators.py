@@ -355,6 +355,20 @@ def test_windows_of_few_literals_match_word_for_word(spark):
     assert found(spark, items, pages) == {(0, 0), (1, 1), (2, 2)}
 
 
+def test_one_conflict_leaves_the_other_windows(spark):
+    fruit = "in the shop a box holds 3 apples and {} pears so how many pieces of fruit does it hold in all"
+    items = [
+        "we start with 3 red balls and then put each of them into a box and after a while we take 3 blue cups and sell them all",
+        fruit.format(5), fruit.format(3).replace("shop", "house"),
+        "so Anna walks to the old market near the river and buys some fresh fish for the dinner before the rain sets in and then Anna goes home",
+    ]
+    pages = [
+        items[0].replace("3 blue", "4 blue"), fruit.format(4).replace("3", "4"), items[2].replace("3 apples", "4 apples").replace("3 pears", "6 pears"),
+        items[3].replace("Anna walks", "Carl walks").replace("Anna goes", "Dora goes"),
+    ]
+    assert found(spark, items, pages) >= {(i, i) for i in range(4)}
+
+
 def test_decontamination_of_empty_tables(spark, none, docs):
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     assert template_windows.matches(none, bench).count() == 0
