@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation.
 
 Texts become token streams in which numbers, units and names are typed placeholders and other words are lower-case
-without punctuation. Windows of the stream are hashed; those that also occur in the benchmark are joined with it on
+without punctuation. Windows are hashed, as templates and as plain words, since what is a name depends on capitals and on
+the place in a sentence; those that also occur in the benchmark are joined with it on
 hash and template. Along each run of windows a name must stay one name; changed values count as found only where they map one to one,
 unchanged words always. So a question with other names and numbers is found, and a text that only has the same shape is not.
 """
@@ -116,7 +117,7 @@ class Stream:
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First tokens, hashes and whether it is a template's hash, of all windows that lie in one text.
 
-        A window with a literal in at least half its places has the hash of its template, any other that of its plain words.
+        Every window has the hash of its plain words; one with a literal in at least half its places has that of its template as well.
         """
         n = len(self.hash) - size + 1
         if n <= 0:
@@ -126,7 +127,7 @@ class Stream:
         inside = self.doc[:n] == self.doc[size - 1 :]
         shaped = inside & (2 * literals >= size) & (literals < size)
         out = []
-        for mask, hashes, template in ((inside & ~shaped, self.plain, False), (shaped, self.hash, True)):
+        for mask, hashes, template in ((inside, self.plain, False), (shaped, self.hash, True)):
             h = np.zeros(n, np.uint64)
             for j in range(size):
                 h = h * STEP + hashes[j : j + n]
@@ -210,8 +211,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = 8, enough: int =
     """(doc_id, key1, key2, item_id, n_matched, n_item) of documents that hold a passage of a benchmark item.
 
     A document holds an item if consistent windows cover ``enough`` of the item's tokens, or half of them where that is
-    less. ``key1`` and ``key2`` are hashes of the text. All windows of all texts are looked up, those of too few literals by
-    their plain words, so that only a copy of them is found and not the same with other values; the benchmark's hashes go to the
+    less. ``key1`` and ``key2`` are hashes of the text. All windows of all texts are looked up by
+    their plain lower-case words and, unless they have too few literals, by their template; the benchmark's hashes go to the
     tasks in blocks of at most ``block`` (32 MB), one pass over the documents for each. Null and blank texts match nothing; repeated rows of one
     id and text are one row of the result; items below ``least`` tokens cannot be told from chance and match nothing.
     """

@@ -369,6 +369,18 @@ def test_one_conflict_leaves_the_other_windows(spark):
     assert found(spark, items, pages) >= {(i, i) for i in range(4)}
 
 
+def test_copies_in_other_case_and_lines(spark):
+    items = [
+        "What is the capital of France", "Clara Schumann met Johannes Brahms in Hamburg before Robert Schumann went to Bonn with Joseph Joachim",
+        "the road from Lyon over Dijon and on to Paris passes Auxerre and Sens",
+    ]
+    pages = [
+        "a quiz: then he asked What is the capital of France and left", "what is the capital of france", "so " + items[1].lower(), "SO " + items[1].upper(),
+        "so " + items[2].replace(" Dijon", "\nDijon").replace(" Auxerre", "\nAuxerre"),
+    ]
+    assert found(spark, items, pages) == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 2)}
+
+
 def test_decontamination_of_empty_tables(spark, none, docs):
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     assert template_windows.matches(none, bench).count() == 0
