@@ -59,22 +59,51 @@ def _templates(lines: DataFrame, recurring: int, constant: float) -> DataFrame:
     return named.join(staged(often.where(F.col("n_texts") >= recurring)), "template").select(*LINE, "template", "n_texts")
 
 
+def _generalised(docs: DataFrame, lines: DataFrame, recurring: int, constant: float, text: str) -> DataFrame:
+    """(line1, line2) of every masked line of which a generalisation recurs: its j best supported tokens, for every j from the constant share on.
+
+    A template's constant tokens have more support than the values of its fields, at every size of the corpus, so one j gives all its lines one
+    name. Lines of one and two tokens are kept whole, numbers as fields. A generalisation recurs if it stands in ``recurring`` documents and in two texts at least.
+    """
+    t = F.col(text)
+    copies = docs.where(t.isNotNull()).groupBy(F.xxhash64(t).alias("key1"), F.xxhash64(F.lit(1), t).alias("key2")).agg(F.count(F.lit(1)).alias("copies"))
+    counted = lines.join(copies, KEY)
+    pairs = staged(counted.groupBy("leaf", *LINE, *KEY).agg(F.first("copies").alias("copies")))
+    leaves = pairs.groupBy("leaf", *KEY).agg(F.first("copies").alias("copies")).groupBy("leaf").agg(F.sum("copies").alias("n")).where(F.col("n") >= recurring)
+    leaves = staged(leaves.select("leaf"))
+    known = lines.join(leaves, "leaf").groupBy("leaf", *LINE).agg(F.first("masked").alias("masked"), F.first("size").alias("size"))
+    known = staged(known.join(pairs.groupBy(*LINE).agg(F.sum("copies").alias("n")), LINE))
+    places = known.select("leaf", *LINE, "size", "n", F.posexplode(F.split("masked", " ")).alias("at", "token"))
+    support = staged(places.groupBy("leaf", "at", "token").agg(F.sum("n").alias("support")).where(F.col("support") >= recurring))
+    fixed = places.join(support, ["leaf", "at", "token"]).where((F.col("token") != WILD) | (F.col("size") < 3))
+    ranked = fixed.groupBy("leaf", *LINE, "size").agg(F.sort_array(F.collect_list(F.struct((-F.col("support")).alias("less"), "at", "token"))).alias("kept"))
+    least = F.greatest(F.lit(1), F.when(F.col("size") < 3, F.col("size")).otherwise(F.ceil(F.lit(constant) * F.col("size")))).cast("int")
+    ranked = ranked.where(F.size("kept") >= least)
+    one = ranked.select("leaf", *LINE, "kept", F.explode(F.sequence(least, F.size("kept"))).alias("j"))
+    best = F.sort_array(F.transform(F.slice("kept", 1, F.col("j")), lambda k: F.struct(k["at"], k["token"])))
+    named = staged(one.select(*LINE, F.xxhash64("leaf", best).alias("name1"), F.xxhash64(F.lit(1), "leaf", best).alias("name2")))
+    held = pairs.join(named, LINE).groupBy("name1", "name2", *KEY).agg(F.first("copies").alias("copies"))
+    often = held.groupBy("name1", "name2").agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("texts")).where((F.col("n") >= recurring) & (F.col("texts") > 1))
+    return named.join(often, ["name1", "name2"]).select(*LINE).distinct()
+
+
 def _flags(numbers: Column) -> Column:
     """Binary with a '1' at the place of each number of the ascending array, '0' before and between."""
     steps = F.transform(numbers, lambda x, i: F.concat(F.repeat(F.lit("0"), x - F.coalesce(F.get(numbers, i - 1), F.lit(-1)) - 1), F.lit("1")))
     return F.array_join(steps, "").cast("binary")
 
 
-def drop_recurring(docs: DataFrame, depth: int = 2, recurring: int = 10, constant: float = 0.6, least: int = 3, text: str = "text") -> DataFrame:
+def drop_recurring(docs: DataFrame, depth: int = 2, recurring: int = 10, constant: float = 0.6, least: int = 3, text: str = "text", generalise: bool = False) -> DataFrame:
     """All rows and columns of ``docs``; ``text`` is without the lines of recurring templates. Adds ``n_lines`` and ``n_dropped``.
 
     ``n_lines`` counts lines with a word. A text of which nothing is left is empty; null texts stay null, with 0 lines; repeated rows
-    stay and are treated alike; an empty table gives an empty one. Columns named as the new ones are replaced.
+    stay and are treated alike; an empty table gives an empty one. Columns named as the new ones are replaced. With ``generalise`` a line
+    goes if any generalisation of it recurs, counted by documents, not texts; ``least=1`` then takes the shortest lines in.
     """
     new = ["n_lines", "n_dropped"]
     base = docs.drop(*new)
     every = _lines(docs, text, depth, least)
-    bad = staged(_templates(every, recurring, constant).select(*LINE))
+    bad = staged(_generalised(base, every, recurring, constant, text) if generalise else _templates(every, recurring, constant).select(*LINE))
     hits = every.select(*KEY, "no", *LINE).join(bad, LINE, "left_semi")
     drops = staged(hits.groupBy(*KEY).agg(F.sort_array(F.collect_set("no")).alias("numbers")))
     k1, k2, flags = (fresh(base, n) for n in ("_key1", "_key2", "_flags"))

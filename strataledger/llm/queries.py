@@ -98,6 +98,13 @@ SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_drop
 FROM documents LEFT JOIN r USING (text)"""
 
 
+@query
+def op2_recurring_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the lines, of any length, of which a generalisation recurs in ten documents or more."""
+    out = line_templates.drop_recurring(read(spark, folder, "documents").select("doc_id", "text"), least=1, generalise=True)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query
 def op3_token_records(spark: SparkSession, folder: str) -> DataFrame:
     """All documents' token ids written as framed records in id order, and read back."""

@@ -108,6 +108,18 @@ def test_line_templates(spark, none):
     assert line_templates.drop_recurring(none).count() == 0
 
 
+@pytest.mark.parametrize("n", [400, 4_000, 40_000])
+def test_templates_of_words_at_every_size(spark, n):
+    def word(i, seed):
+        return "v" + hashlib.md5(f"{i % seed}-{seed}".encode()).hexdigest().translate(str.maketrans("0123456789", "ghijklmnop"))[:8]
+
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(0, 500, n), rng.integers(0, 100, n)
+    data = [(i, f"{word(i, 10**9)} own\nPosted by {word(int(x), 500)} in {word(int(y), 100)} desk today") for i, (x, y) in enumerate(zip(a, b, strict=True))]
+    out = line_templates.drop_recurring(spark.createDataFrame(data, "doc_id long, text string"), least=1, generalise=True)
+    assert [tuple(r) for r in out.groupBy("n_lines", "n_dropped").count().collect()] == [(2, 1, n)]
+
+
 def test_line_templates_keep_rows(docs):
     out = line_templates.drop_recurring(docs, recurring=2)
     assert bag(out, "doc_id") == Counter((r[0],) for r in DATA) and set(docs.columns) < set(out.columns)
