@@ -120,6 +120,15 @@ def test_templates_of_words_at_every_size(spark, n):
     assert [tuple(r) for r in out.groupBy("n_lines", "n_dropped").count().collect()] == [(2, 1, n)]
 
 
+def test_short_lines_and_copies_recur(spark, none):
+    letters = "abcdefghijkl"
+    texts = [f"{x} stands {x} alone {x}\nRead more\nPage {i}\nShare" for i, x in enumerate(letters)] + ["rare words\nTwo here"]
+    texts += ["one text with a footer line\nfirst of it"] * 9 + ["one text with a footer line\nthen another of it"] + ["a text by itself\nin many copies"] * 12
+    out = line_templates.drop_recurring(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), least=1, generalise=True)
+    assert [r["n_dropped"] for r in out.orderBy("doc_id").collect()] == [3] * 12 + [0] + [1] * 10 + [0] * 12
+    assert line_templates.drop_recurring(none, least=1, generalise=True).count() == 0
+
+
 def test_line_templates_keep_rows(docs):
     out = line_templates.drop_recurring(docs, recurring=2)
     assert bag(out, "doc_id") == Counter((r[0],) for r in DATA) and set(docs.columns) < set(out.columns)
