@@ -1,9 +1,9 @@
 """Suffix-array dedup with a sparse suffix array.
 
 Only suffixes that begin at a minimiser are kept: of every run of windows with one minimiser, the one that begins there. They
-are sorted over the cluster by the minimiser's words and the run around it, and neighbours are compared. Equal runs match over their whole length, to the
-left and to the right; a neighbour with only the minimiser in common is extended word by word: its windows, which reach left and
-right of the minimiser, are sorted and compared with their neighbours in the same way. Equality is that of 128-bit digests of the words.
+are sorted over the cluster by hashes of the minimiser and of the run around it, and neighbours are compared for equality; this is no order of
+the words, and no common prefix is measured. Equal runs match over their whole length; runs that differ are cut into single windows, which
+are sorted and compared with their neighbours in the same way. Equality is that of 128-bit digests of the words.
 """
 
 from __future__ import annotations
