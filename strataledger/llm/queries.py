@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import (
     de_bruijn,
     decision_list,
     hash_tree,
+    license_scan,
     line_templates,
+    merkle,
     mixing,
+    periodic_runs,
     separator_scan,
     simhash_ball,
     sparse_suffix,
@@ -168,3 +174,96 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     out = decision_list.judge(docs, rules)
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return out.select("doc_id", *[F.col("stats")[c].alias(c) for c in base], "base_failed", "kept")
+
+
+@query
+def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence notices and tagged expressions of every document, as labels with the strictest restriction as score."""
+    out = license_scan.scan(read(spark, folder, "documents").select("doc_id", "text"))
+    held = F.col("licences")
+    base = F.filter(held["places"], lambda p: p["phrase"].isin(*license_scan.BASE))
+    starts = F.transform(base, lambda p: p["word"])
+    named = F.array_sort(F.array_distinct(F.transform(base, lambda p: p["label"])))
+    return out.select(
+        "doc_id", held["n_words"].alias("n_words"), F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), F.concat_ws(",", named).alias("base_labels"),
+        F.concat_ws(",", license_scan.labels()).alias("labels"), held["score"].alias("score"),
+    )
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document; a third of the leaves is folded from a lower-cased text and must fail unless nothing changed."""
+    docs = read(spark, folder, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    meta = [F.col(c) for c in docs.columns[:-1]]
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    out = merkle.manifest(docs, merkle.leaf(*meta, F.col("text")), carry={"tampered": F.when(touched, merkle.leaf(*meta, lower))})
+    folded = out.withColumns({"proof_sha256": merkle.proof(), "folded_root": merkle.fold(F.coalesce("tampered", "leaf"))})
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+ORACLES["op12_merkle_manifest"] = r"""
+WITH RECURSIVE a AS (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+  list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda d, k: CASE WHEN d & 1 = 1 THEN xor(d >> 1, 3988292384) ELSE d >> 1 END)) AS crc
+  FROM documents),
+e AS (SELECT doc_id, coalesce('=' || lang, '-') AS g, xor(crc, 4294967295) % 3 = 0 AS touched, concat(
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+    coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS meta, coalesce(strlen(text) || ':' || text, '-') AS own, coalesce(strlen(low) || ':' || low, '-') AS bad FROM a),
+f AS (SELECT doc_id, g, sha256(meta || own) AS leaf, CASE WHEN touched THEN sha256(meta || bad) ELSE sha256(meta || own) END AS start FROM e),
+l AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM f),
+t AS (SELECT g, 0 AS lvl, i, leaf AS h FROM l UNION ALL
+  SELECT g, lvl + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)) FROM (SELECT *, count(*) OVER (PARTITION BY g) AS c FROM t) WHERE c > 1 GROUP BY g, lvl, i // 8),
+sub AS (SELECT g, arg_max(h, lvl) AS h FROM t WHERE i = 0 GROUP BY g),
+u AS (SELECT 0 AS lvl, row_number() OVER (ORDER BY g) - 1 AS i, h FROM sub UNION ALL
+  SELECT lvl + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)) FROM (SELECT *, count(*) OVER () AS c FROM u) WHERE c > 1 GROUP BY lvl, i // 8),
+s AS (SELECT g, lvl, i, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') || ',' ||
+    coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS x
+  FROM (SELECT *, max(lvl) OVER (PARTITION BY g) AS top FROM (SELECT * FROM t UNION ALL SELECT '', lvl, i, h FROM u)) WHERE lvl < top
+  WINDOW w AS (PARTITION BY g, lvl, i // 8 ORDER BY i)),
+k AS (SELECT g, h, row_number() OVER (ORDER BY g) - 1 AS j FROM sub),
+o AS (SELECT l.g, l.i, list(x ORDER BY lvl) AS xs FROM l JOIN s ON s.g = l.g AND s.i = l.i // (8 ** lvl)::BIGINT GROUP BY ALL),
+q AS (SELECT k.g, list(x ORDER BY lvl) AS xs FROM k JOIN s ON s.g = '' AND s.i = k.j // (8 ** lvl)::BIGINT GROUP BY ALL),
+p AS (SELECT l.*, k.h AS subroot, (SELECT arg_max(h, lvl) FROM u) AS root, list_concat(coalesce(o.xs, []::VARCHAR[]), coalesce(q.xs, []::VARCHAR[])) AS path
+  FROM l JOIN k USING (g) LEFT JOIN o ON o.g = l.g AND o.i = l.i LEFT JOIN q ON q.g = l.g),
+z AS (SELECT *, sha256(replace(array_to_string(path, ''), ',', '')) AS proof_sha256, list_reduce(list_prepend(start, path),
+  lambda h, x: sha256(concat(split_part(x, ',', 1), h, split_part(x, ',', 2)))) AS folded_root FROM p)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM z"""
+
+
+@F.pandas_udf(T.StringType())
+def planted(checks: pd.Series, texts: pd.Series) -> pd.Series:
+    """The texts; where an id's checksum ends in 0, the words from a place on repeat a stretch of them (both drawn from the checksum)."""
+    out = texts.copy()
+    for at in np.flatnonzero((checks % 10 == 0).to_numpy()):
+        words = (texts.iat[at] or "").encode().split()
+        g, n = int(checks.iat[at]) // 10, len(words)
+        if n:
+            a = g % n
+            tile = words[a : a + 1 + (n - a) // (3 + g % 8)]
+            out.iat[at] = b" ".join((words[:a] + tile * (-(-(n - a) // len(tile))))[:n]).decode()
+    return out
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of every document, after runs are planted in a tenth of them, and the digest of its text without the repeats."""
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    check = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(1))  # nothing is planted without an id
+    out = periodic_runs.collapse(docs.withColumn("text", planted(check, F.col("text"))))
+    held = F.col("periodic")
+    best = F.aggregate(
+        held["runs"], F.lit(None).cast("struct<start: long, length: long, period: long>"),
+        lambda b, r: F.when(b.isNull() | (r["length"] > b["length"]), r).otherwise(b),
+    )
+    listed = F.array_join(F.transform(held["runs"], lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    n_runs = F.size(held["runs"])
+    out = out.select("doc_id", held.alias("periodic"), best.alias("best"), listed.alias("listed"), n_runs.cast("long").alias("n_runs"))
+    return out.select(
+        "doc_id", "n_runs", F.col("best.start").alias("start"), F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.when(F.col("n_runs") > 0, F.concat("listed", F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2(F.col("periodic.text"), 256).alias("collapsed_sha256"),
+    )
