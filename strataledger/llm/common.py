@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,26 +47,40 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-_STAGED: list[str] = []
+_SCOPE: ContextVar[list[str] | None] = ContextVar("staged tables of the innermost scope", default=None)
 
 
 def staged(df: DataFrame, keep: bool = False) -> DataFrame:
     """Write the rows as Parquet in the shared folder and read them back: computed once, no lineage, safe from lost executors.
 
-    Tables that are not to be kept go with the next ``release``.
+    Inside a ``scope`` the table goes with it unless it is to be kept; elsewhere it stays, as results not yet read may need it.
     """
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    if not keep:
-        _STAGED.append(path)
+    if not keep and _SCOPE.get() is not None:
+        _SCOPE.get().append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Deletes the tables staged so far, for a job whose earlier results are all written."""
-    while _STAGED:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged in the block are deleted when it ends: for a caller that writes, inside it, all that is built from them.
+
+    Scopes are the caller's own: other threads, queries and enclosing scopes keep theirs.
+    """
+    own: list[str] = []
+    token = _SCOPE.set(own)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for path in own:
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -25,13 +25,19 @@ class Shard:
 
 
 def topology(shards: int, per_rack: int = 4, racks_per_region: int = 2) -> list[Shard]:
-    """Shards in racks in regions, filled in order: 24 shards are 3 full regions, the 25th opens a fourth."""
+    """Shards in racks in regions, filled in order: the layout of a new tree. To add shards to one in use, ``grow`` it."""
     return [
         Shard(i, f"r{i // (per_rack * racks_per_region)}", f"k{i // per_rack}")
         for i in range(shards)
     ]
 
 
+def grow(shards: list[Shard], n: int = 1) -> list[Shard]:
+    """The shards and n more after them, each in a region of its own, so that it takes rows only into itself, whatever the count before."""
+    top = max(s.shard for s in shards) + 1
+    return [*shards, *[Shard(i, f"g{i}", f"g{i}") for i in range(top, top + n)]]
+
+
 def _draw(key: Column, name: str, weight: float) -> Column:
     bits = F.shiftrightunsigned(F.xxhash64(key, F.lit(name)), 11)
     return -F.log((bits + F.lit(0.5)) / F.lit(float(2**53))) / F.lit(float(weight))

@@ -58,10 +58,11 @@ def mix(docs: DataFrame, size: Column, sources: DataFrame | None = None, epochs:
         source: str = "source", seed: int = 42, cells: int = 4096) -> DataFrame:
     """All rows and columns of ``docs`` with ``size``, ``source_size``, ``target`` and ``taken`` (size times the copies taken).
 
-    ``sources`` gives own (src, weight), else weights 5, 2, 1 repeat. Complete epochs come first; of the rest a document is
+    ``sources`` gives own (src, weight), else weights 5, 2, 1 repeat; sources it does not list, or without a weight above 0, stay with target and
+    taken 0. Complete epochs come first; of the rest a document is
     taken whole if more than half of it lies within the budget, so a source misses its target by half a document at most.
-    Order: key, then id (a key that comes twice is of one id and text). Running sums are taken within ``cells`` ranges of the key, with the ranges' totals added, so a
-    source of any size is spread over tasks. A null source is a source (last); null texts and texts without words have size 0 and
+    Order: key, then id (a key that comes twice is of one id and text). Running sums are taken within logarithmic ranges of the key, ``cells`` to eight e-folds, with the ranges'
+    totals added, so a source of any size and quality is spread over tasks. A null source is a source (last); null texts and texts without words have size 0 and
     are not taken unless in whole epochs, where their taken size is 0; equal rows are taken one by one; reruns agree.
     Columns named as the new ones are replaced; an empty table gives an empty one.
     """
@@ -74,15 +75,17 @@ def mix(docs: DataFrame, size: Column, sources: DataFrame | None = None, epochs:
         src: F.coalesce(F.col(source).cast("string"), F.lit("")),
         known: F.col(source).isNotNull(),
     })
-    # 1 - e^-key is uniform for a quality of 1, so the ranges fill alike
-    rows = rows.withColumn(cell, F.least(F.lit(cells - 1), F.floor((F.lit(1.0) - F.exp(-F.col(key))) * cells).cast("int")))
+    # an exponential key, of whatever rate, has at most a share of 1/e of its rows in an e-fold
+    rows = rows.withColumn(cell, F.floor(F.log(F.col(key)) * (cells / 8)).cast("int"))
     per = rows.groupBy(F.col(src).alias("src"), F.col(known).alias("src_known")).agg(F.sum("size").alias("source_size"))
     if sources is None:
         per = weights(per)
     else:
         own = sources.select(F.coalesce("src", F.lit("")).alias("src"), F.col("src").isNotNull().alias("src_known"), "weight")
-        per = per.join(own, ["src", "src_known"], "inner")
-    per = targets(per, epochs).select(F.col("src").alias(src), F.col("src_known").alias(known), "source_size", "target")
+        per = per.join(own, ["src", "src_known"], "left")
+    listed = targets(per.where("weight > 0"), epochs)
+    unlisted = per.where("weight is null or weight <= 0").withColumn("target", F.lit(0.0))
+    per = listed.unionByName(unlisted).select(F.col("src").alias(src), F.col("src_known").alias(known), "source_size", "target")
     out = add_offsets(rows, [src, known], cell, F.col("size"), [F.col(key), F.col(doc_id)], total, per)
     whole = F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1)))
     rest = F.col("target") - whole * F.col("source_size")

@@ -136,7 +136,7 @@ def op5_shard_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
     )
-    out = hash_tree.shard(docs, hash_tree.topology(24), hash_tree.topology(25), text="text_crc32")
+    out = hash_tree.shard(docs, hash_tree.topology(24), hash_tree.grow(hash_tree.topology(24)), text="text_crc32")
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 

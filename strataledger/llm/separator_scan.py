@@ -22,7 +22,7 @@ BLOCK = 8 << 20
 
 
 def write_flat(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text", folder: str | None = None,
-               by_words: bool = True) -> tuple[DataFrame, DataFrame]:
+               by_words: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """Writes texts as flat token files, an end id after each; returns the files (data, width, n_bytes) and the documents' order (data, at, doc_id).
 
     A task writes one file, in the order in which it reads its rows. Strings of special tokens in a text are ordinary text, so the end id ends
@@ -103,4 +103,5 @@ def count_tokens(files: DataFrame, end_id: int, block: int = BLOCK) -> DataFrame
 def document_tokens(docs: DataFrame, tokenizer: str, end_id: int, block: int = BLOCK, **columns) -> DataFrame:
     """(doc_id, n_tokens) of every row, counted in flat files: repeated rows stay, null and empty texts have 0, null ids stay null."""
     files, order = write_flat(docs, tokenizer, end_id, **columns)
-    return order.join(count_tokens(files, end_id, block), ["data", "at"]).select("doc_id", "n_tokens")
+    # one row for each document on either side: merged, as the plan takes the lengths for as few as the blocks they come from
+    return order.join(count_tokens(files, end_id, block).hint("merge"), ["data", "at"]).select("doc_id", "n_tokens")

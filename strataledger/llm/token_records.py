@@ -52,7 +52,7 @@ def unframe(data: memoryview, at: int) -> tuple[memoryview, int]:
 
 
 def write(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text", folder: str | None = None,
-          by_words: bool = True) -> DataFrame:
+          by_words: bool | None = None) -> DataFrame:
     """Writes every text's ids and the end id in ascending id order; returns the files (file, data, index, n_records, n_tokens).
 
     Rows are dealt by ranges of id and text, so that file i comes before file i + 1 and a repeated id is spread by its texts; null ids
