@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataledger.llm import decision_list, hash_tree, mixing, simhash_ball, template_windows
-from strataledger.llm.common import count_words, read, staged
+from strataledger.llm.common import count_words, read, scope, staged
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,5 +50,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), keep=True)
+        with scope(spark):  # what a stage writes on its way goes once its result is written
+            docs = staged(stage(spark, docs, sf_dir), keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)
