@@ -2,9 +2,10 @@
 
 ``split=False`` means one plain window per key. Use it where the rows of a key are bounded by
 the calendar, as after ``latest_per_day`` or on a daily spine. Otherwise every key is cut into pieces along its order (``hotkeys``): the
-window runs within (key, piece), and what pieces tell each other is a few rows each. There is no look at the data, no
-job before the query's own and no switch by size. In ``neighbours`` both readers of the cut rows share one exchange, so a chain reads
-its input once; ``running`` reads keys, order and values a second time for the state of the pieces.
+window runs within (key, piece), and what pieces tell each other is one or two rows of each, which meet per key. There is no look at the
+data, no job before the query's own and no switch by size. Every step is one branch: rows that speak for their piece share a group of a second
+window with those of the key's other pieces, while all others stay in a group of their own piece. So a plan grows by the step, not by the
+power of steps, and reads its input once, for one more exchange in ``neighbours`` and two in ``running``.
 
 Orders are ascending with NULL first and must be total for reproducible results. Rows of one key in one piece stay in one task.
 """
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from .hotkeys import DEFAULT_SPLIT, PIECE, Split, piece
 
 CELL = "_cell"
+MEET = "_meet"  # the cell for rows that stay within their piece, NULL for those that speak for it
 
 
 def _cells(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -57,15 +59,15 @@ def neighbours(
     made = _cells(rows, keys, order).withColumns(
         {**seen(inside), "_has_prev": F.lag(one).over(inside), "_has_next": F.lead(one).over(inside)}
     )
-    inner = made.filter("_has_prev is not null and _has_next is not null")
     # the first and last row of each piece; next to each other in the key, they are neighbours
-    ends = made.filter("_has_prev is null or _has_next is null")
-    across = seen(Window.partitionBy(*keys).orderBy(*order))
+    within = F.col("_has_prev").isNotNull() & F.col("_has_next").isNotNull()
+    made = made.withColumn(MEET, F.when(within, F.col(CELL)))
+    across = seen(Window.partitionBy(*keys, MEET).orderBy(*order))
     outer = {f"_o{i}": c for i, c in enumerate(across.values())}
     at = {o: (f"_o{i}", "_has_prev" if o in prev else "_has_next") for i, o in enumerate(across)}
-    ends = ends.withColumns(outer)
-    ends = ends.withColumns({o: F.when(F.col(side).isNull(), F.col(c)).otherwise(F.col(o)) for o, (c, side) in at.items()})
-    return inner.unionByName(ends.drop(*outer)).drop(CELL, PIECE, "_has_prev", "_has_next", *given)
+    met = made.withColumns(outer)
+    met = met.withColumns({o: F.when(F.col(side).isNull(), F.col(c)).otherwise(F.col(o)) for o, (c, side) in at.items()})
+    return met.drop(CELL, MEET, PIECE, "_has_prev", "_has_next", *given, *outer)
 
 
 def running(
@@ -105,17 +107,20 @@ def running(
     made = _cells(rows, keys, order).withColumns(
         {**{o: scan(c, k, upto(inside)) for o, c, k in zip(outs, named, kinds)}, "_has_next": F.lead(F.lit(1)).over(inside)}
     )
-    # a piece's last row holds the piece's state; one such row per piece is scanned over the key
-    earlier = Window.partitionBy(*keys).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    # a piece's last row holds the piece's state; these rows are scanned over the key, and each tells its piece
+    last = F.col("_has_next").isNull()
+    made = made.withColumn(MEET, F.when(~last, F.col(CELL)))
+    earlier = Window.partitionBy(*keys, MEET).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
     carried = {o: f"_c{i}" for i, o in enumerate(outs)}
-    state = made.filter("_has_next is null").withColumns({carried[o]: scan(o, k, earlier) for o, k in zip(outs, kinds)})
-    met = made.join(state.select(CELL, *carried.values()), CELL, "left")
+    told = made.withColumns({carried[o]: F.when(last, scan(o, k, earlier)) for o, k in zip(outs, kinds)})
+    piece_wide = Window.partitionBy(CELL)
+    met = told.withColumns({c: F.first(c, ignorenulls=True).over(piece_wide) for c in carried.values()})
     done = {}
     for o, kind in zip(outs, kinds):
         own, past = F.col(o), F.col(carried[o])
         both = {"sum": own + past, "max": F.greatest(own, past), "fill": own}[kind]
         done[o] = F.coalesce(both, own, past).cast(made.schema[o].dataType)
-    return met.withColumns(done).drop(CELL, PIECE, "_has_next", *carried.values(), *named)
+    return met.withColumns(done).drop(CELL, MEET, PIECE, "_has_next", *carried.values(), *named)
 
 
 def numbered(

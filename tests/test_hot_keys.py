@@ -210,3 +210,23 @@ def test_surrogate_keys(spark, skewed):
     same(
         upsert.assign_keys(tgt, new, "k", ["event_id"], split=TINY), upsert.assign_keys(tgt, new, "k", ["event_id"], split=False)
     )
+
+
+@pytest.mark.parametrize("step", ["numbered", "neighbours", "fill"])
+def test_chains_grow_by_the_step(spark, sf, step):
+    """One scan however many steps are chained, and the same exchanges for each."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    found = []
+    for n in (1, 2, 10):
+        df = events
+        for i in range(n):
+            if step == "numbered":
+                df = numbered(df, ["user_id"], ["ts", "event_id"], f"s{i}")
+            elif step == "neighbours":
+                df = neighbours(df, ["user_id"], ["ts", "event_id"], before={f"s{i}": F.col("value")}, after={f"t{i}": F.col("value")})
+            else:
+                df = running(df, ["user_id"], ["ts", "event_id"], fills={f"s{i}": F.col("value")}, maxes={f"m{i}": F.col("value")})
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1
+        found.append(plan.count("Exchange "))
+    assert found[1] <= 2 * found[0] and found[2] <= 10 * found[0]
