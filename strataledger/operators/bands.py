@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +14,9 @@ PER_FOLD = 4
 
 def band_lookup(
     df: DataFrame, bands: DataFrame, value: str, lo: str = "lo", hi: str = "hi", how: str = "left",
+    on: Sequence[str] = (),
 ) -> DataFrame:
-    """Band with ``lo <= value < hi``; NULL ``hi`` is open.
+    """Band with ``lo <= value < hi``; NULL ``hi`` is open. ``on``: columns of any type in which row and band must agree.
 
     An equality join on logarithmic buckets, each band being repeated once per bucket it covers: a few thousand times at most, for one
     from minus to plus infinity. Which side is broadcast is left to statistics.
@@ -28,4 +31,6 @@ def band_lookup(
     covered = F.sequence(bucket(F.col(lo)), F.greatest(bucket(F.col(lo)), F.coalesce(bucket(F.col(hi)), far)))
     cut = bands.filter(F.col(lo).isNotNull()).withColumn("_bb", F.explode(covered))
     seen = df.withColumn("_b", F.when(F.col(value).isNotNull(), bucket(F.col(value))))
-    return seen.join(cut, (F.col("_b") == F.col("_bb")) & cond, how).drop("_b", "_bb")
+    for k in on:
+        cut, cond = cut.withColumnRenamed(k, f"_band_{k}"), cond & (F.col(k) == F.col(f"_band_{k}"))
+    return seen.join(cut, (F.col("_b") == F.col("_bb")) & cond, how).drop("_b", "_bb", *[f"_band_{k}" for k in on])

@@ -1,9 +1,10 @@
 """Joins to the version that was valid at a date, through an interval index.
 
-The calendar is cut into blocks of 1, 4, 16 ... 65,536 days. A validity interval is covered by the few largest blocks that lie within it, none of them
-twice; a date lies in one block of each size. So a version is valid at a date only if exactly one of the date's nine blocks is one of the
+The calendar is cut into blocks of 1, 16, 256, 4,096 and 65,536 days. A validity interval is covered by the few largest blocks that lie within it, none of them
+twice; a date lies in one block of each size. So a version is valid at a date only if exactly one of the date's five blocks is one of the
 version's, and the join is an equality on (key, block): what it compares follows what it finds, however many versions a key has and however
-they overlap. Only distinct (key, date) pairs probe the index, so an entity with a third of all rows asks once a day.
+they overlap. ``temporal_join`` probes with distinct (key, date) pairs only, so an entity with a third of all rows asks once a day; narrow or
+derived rows probe by themselves (``valid_versions``), which reads them once.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ def valid_at(at: Column, start: Column, end: Column, closed: str = "left") -> Co
     return (start <= at) & ((at <= upper) if closed == "both" else (at < upper))
 
 
-GRID = 4  # a block holds so many of the next smaller size
-LEVELS = 9
+GRID_BITS = 4
+GRID = 1 << GRID_BITS  # a block holds so many of the next smaller size
+LEVELS = 5
 FIRST_DAY = 25_567  # 1900-01-01 in days before 1970; days outside the grid count as its first or last
 DAYS = GRID ** (LEVELS - 1)
 LEVEL_BITS = 20
@@ -36,28 +38,25 @@ def _day(at: Column) -> Column:
 def blocks_of(at: Column) -> Column:
     """The blocks that a date lies in, one of each size."""
     day = _day(at)
-    return F.array(*[(day / GRID**i).cast("int") + (i << LEVEL_BITS) for i in range(LEVELS)])
-
-
-def blocks_within(start: Column, end: Column) -> Column:
-    """The blocks, without overlap, that cover the days from ``start`` to ``end``, both included; none if the interval is empty."""
-
-    def run(a: Column, b: Column, level: int) -> Column:
-        low, high = a.cast("int") + (level << LEVEL_BITS), b.cast("int") + (level << LEVEL_BITS)
-        return F.when(a <= b, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
-
-    first, last = _day(start), _day(end)
-    low = [F.ceil(first / GRID**i) for i in range(LEVELS)]
-    high = [F.floor((last + 1) / GRID**i) - 1 for i in range(LEVELS)]
-    parts = []
-    for i in range(LEVELS):
-        if i == LEVELS - 1:
-            parts.append(run(low[i], high[i], i))
-            continue
-        wider = low[i + 1] <= high[i + 1]  # then the middle is covered by larger blocks
-        parts.append(F.when(wider, run(low[i], low[i + 1] * GRID - 1, i)).otherwise(run(low[i], high[i], i)))
-        parts.append(F.when(wider, run(high[i + 1] * GRID + GRID, high[i], i)).otherwise(F.array().cast("array<int>")))
-    return F.when(first <= last, F.concat(*parts))
+    return F.array(*[F.shiftright(day, GRID_BITS * i) + (i << LEVEL_BITS) for i in range(LEVELS)])
+
+
+def with_blocks(spans: DataFrame, start: Column, end: Column, out: str = "_block") -> DataFrame:
+    """One row for each of the blocks, without overlap, that cover the days from ``start`` to ``end``, both included; none if there are no such days."""
+    seen = spans.withColumns({"_first": _day(start), "_last": _day(end)}).filter("_first <= _last")
+    seen = seen.withColumn("_level", F.explode(F.array(*[F.lit(i) for i in range(LEVELS)])))
+    # the first and last whole block of the size, and of the next larger one
+    bits = GRID_BITS
+    whole = seen.selectExpr(
+        "*", f"(_first + shiftleft(1, {bits} * _level) - 1) >> ({bits} * _level) AS _low", f"((_last + 1) >> ({bits} * _level)) - 1 AS _high",
+        f"(_first + shiftleft(1, {bits} * _level + {bits}) - 1) >> ({bits} * _level + {bits}) AS _low2", f"((_last + 1) >> ({bits} * _level + {bits})) - 1 AS _high2",
+    ).filter("_low <= _high")
+    # where larger blocks lie within the interval, only what is left and right of them
+    wider = f"(_level < {LEVELS - 1} AND _low2 <= _high2)"
+    left = f"CASE WHEN {wider} THEN IF(_low < _low2 * {GRID}, sequence(_low, _low2 * {GRID} - 1), array()) ELSE sequence(_low, _high) END"
+    right = f"CASE WHEN {wider} AND (_high2 + 1) * {GRID} <= _high THEN sequence((_high2 + 1) * {GRID}, _high) ELSE array() END"
+    cut = whole.withColumn("_n", F.explode(F.expr(f"concat({left}, {right})")))
+    return cut.withColumn(out, F.expr(f"_n + shiftleft(_level, {LEVEL_BITS})")).drop("_first", "_last", "_level", "_low", "_high", "_low2", "_high2", "_n")
 
 
 def valid_versions(
@@ -76,7 +75,7 @@ def valid_versions(
     valid, an end of NULL is open, NULL keys and dates meet nothing. ``asked`` is read once, so links can be chained; its rows need not be distinct.
     """
     until = F.coalesce(F.col(end), max_date().cast(hist.schema[end].dataType))
-    right = hist.withColumn("_block", F.explode(blocks_within(F.col(start), until))).withColumn("_hit", F.lit(1))
+    right = with_blocks(hist, F.col(start), until).withColumn("_hit", F.lit(1))
     right = right.withColumnsRenamed({k: f"_h_{k}" for k in on} | {"_block": "_h_block"})
     # a probe that can meet nothing keeps the row itself
     probes = blocks_of(F.col(at)) if how == "inner" else F.array_append(F.coalesce(blocks_of(F.col(at)), F.array().cast("array<int>")), F.lit(None))
@@ -170,5 +169,5 @@ def overlap_capped(
     out: tuple[str, str],
 ) -> DataFrame:
     """Intervals of ``b`` that start inside an interval of ``a``; the end is the smaller end."""
-    met = temporal_join(b, a, [on], b_span[0], a_span[0], a_span[1], closed="both")
+    met = valid_versions(b, a, [on], b_span[0], a_span[0], a_span[1], closed="both")
     return met.withColumns({out[0]: F.col(b_span[0]), out[1]: F.least(F.col(a_span[1]), F.col(b_span[1]))})

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..defaults import UNKNOWN_KEY
 from ..functions.dates import tenure_months
 from ..operators.bands import band_lookup
-from ..operators.temporal import eligible_at, temporal_join
+from ..operators.temporal import eligible_at, looked_up, valid_versions
 
 
 def person_keys(
@@ -23,21 +23,26 @@ def person_keys(
     from_date, to_date), the member as employed at the date (``employees``: member_key, employee_key, specialty, first_start, last_start, left_on; a returner
     counts from the first start before the last one), the manager's version (``managers``: employee_key, manager_key, from_date, to_date)
     and the peer group of the specialty for the months since the start (``peer_groups``: specialty, lo, hi, peer_group_key). Every link may be missing: the keys
-    after it are the unknown key, and the row stays. Each table has at most one row of a key valid at a date.
+    after it are the unknown key, and the row stays. Each table has at most one row of a key valid at a date. The chain runs over the
+    distinct (entity, day) pairs, so a fact is joined once.
     """
     spans, dates = ("first_start", "last_start", "left_on"), ("from_date", "to_date")
-    rows = fact.withColumn("_on", F.date_sub(F.col(at), lag_days))
-    for table, key in ((assignments, entity), (members, "owner")):
-        rows = temporal_join(rows, table, [key], "_on", *dates, how="left").drop(*dates)
-    staff = employees.withColumnRenamed("member_key", "_member").select("_member", "employee_key", "specialty", *spans)
-    rows = eligible_at(rows.withColumn("_of", F.col("member_key")), staff.withColumnRenamed("_member", "_of"), "_of", "_on", *spans, how="left")
-    began = F.when(F.col("_on") < F.col("last_start"), F.col("first_start")).otherwise(F.col("last_start"))
-    rows = rows.withColumn("tenure_months", F.when(began.isNotNull(), tenure_months(began, F.col("_on")))).drop("_of", *spans)
-    rows = temporal_join(rows, managers, ["employee_key"], "_on", *dates, how="left").drop(*dates)
-    groups = peer_groups.withColumnRenamed("specialty", "_specialty")
-    kinds = [r for r in rows.columns if r not in ("specialty", "owner", "_on")]
-    met = _peers(rows, groups)
-    return met.select(*[c for c in kinds if c not in _KEYS], *[_known(c) for c in _KEYS if c != "tenure_months"], "tenure_months")
+
+    def valid(table: DataFrame, key: str):
+        return lambda rows: valid_versions(rows, table, [key], "_on", *dates, how="left").drop(*dates)
+
+    def employed(rows: DataFrame) -> DataFrame:
+        staff = employees.select(F.col("member_key").alias("_of"), "employee_key", "specialty", *spans)
+        met = eligible_at(rows.withColumn("_of", F.col("member_key")), staff, "_of", "_on", *spans, how="left")
+        began = F.when(F.col("_on") < F.col("last_start"), F.col("first_start")).otherwise(F.col("last_start"))
+        return met.withColumn("tenure_months", F.when(began.isNotNull(), tenure_months(began, F.col("_on")))).drop("_of", *spans)
+
+    def in_group(rows: DataFrame) -> DataFrame:
+        return band_lookup(rows, peer_groups, "tenure_months", on=["specialty"]).drop("lo", "hi")
+
+    steps = [valid(assignments, entity), valid(members, "owner"), employed, valid(managers, "employee_key"), in_group]
+    met = looked_up(fact.withColumn("_on", F.date_sub(F.col(at), lag_days)), [entity, "_on"], steps)
+    return met.select(*fact.columns, *[_known(c) for c in _KEYS if c != "tenure_months"], "tenure_months")
 
 
 _KEYS = ["member_key", "employee_key", "manager_key", "peer_group_key", "tenure_months"]
@@ -47,16 +52,6 @@ def _known(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(UNKNOWN_KEY)).alias(name)
 
 
-def _peers(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Bands are looked up within one specialty: the band's edges are shifted apart, so that one equality join serves all."""
-    wide = F.lit(1_000_000)  # months
-    shifted = groups.withColumns({
-        "_lo": F.col("_specialty") * wide + F.col("lo"), "_hi": F.col("_specialty") * wide + F.coalesce("hi", wide - 1),
-    }).select("_lo", "_hi", "peer_group_key")
-    at = rows.withColumn("_at", F.col("specialty") * wide + F.col("tenure_months"))
-    return band_lookup(at, shifted, "_at", "_lo", "_hi").drop("_lo", "_hi", "_at")
-
-
 def with_age_band(rows: DataFrame, bands: DataFrame, age: Column, out: str, names: Sequence[str] = ("band_key", "lo", "hi")) -> DataFrame:
     """The key of the band an age falls in, unknown outside all bands."""
     key, lo, hi = names

@@ -12,7 +12,7 @@ from ..operators.filters import in_subquery
 from ..operators.hotkeys import DEFAULT_SPLIT, Split
 from ..operators.joins import missing
 from ..operators.ordered import first_per_key
-from ..operators.temporal import eligible_at, temporal_join
+from ..operators.temporal import eligible_at, valid_versions
 from ..operators.upsert import accumulate, upsert_scd2
 
 SPANS = ("first_start", "last_start", "left_on")
@@ -47,7 +47,7 @@ def assigned(
 ) -> DataFrame:
     """The person assigned to the referred client at a date, if employed then; else NULL."""
     dated = refs.withColumn("_when", at)
-    met = temporal_join(dated, assignments, ["client_id"], "_when", "from_date", "to_date", how="left")
+    met = valid_versions(dated, assignments, ["client_id"], "_when", "from_date", "to_date", how="left")
     staff = people.select(F.col("person_id").alias("assigned_id"), *SPANS)
     found = eligible_at(met, staff, "assigned_id", "_when", *SPANS, how="left")
     kept = F.when(F.col("first_start").isNotNull(), F.col("assigned_id"))

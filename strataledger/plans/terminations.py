@@ -10,7 +10,7 @@ from ..functions.dates import date_key
 from ..operators.asof import sum_of_latest
 from ..operators.ordered import neighbours
 from ..operators.pairing import pair_events, sequence_events, unmatched_closers
-from ..operators.temporal import temporal_join
+from ..operators.temporal import valid_versions
 
 
 def termination_events(
@@ -59,7 +59,7 @@ def clearance_windows(onboarding: DataFrame, entity: str, start: str, cleared: s
 
 def clearance_type(events: DataFrame, windows: DataFrame, entity: str, at: str) -> DataFrame:
     """'Trading' where the window around the event was cleared, else 'Non-Trading'."""
-    met = temporal_join(events, windows, [entity], at, "window_start", "window_end", how="left")
+    met = valid_versions(events, windows, [entity], at, "window_start", "window_end", how="left")
     kind = F.when(F.col("cleared_on").isNull(), "Non-Trading").otherwise("Trading")
     return met.withColumn("clearance_type", kind).drop("window_start", "window_end", "cleared_on")
 
@@ -78,8 +78,10 @@ def termination_fact(
     """Keys and measures of the events: amount, owner some days before, clearance type."""
     amounts = amounts_at_event(events, balances, entity, account, "event_date", balance_at, max_age_days)
     owners = history.select(entity, F.col(owner).alias("owner_before"), "start_date", "end_date")
-    owned = temporal_join(events, owners, [entity], "event_date", how="left", shift_days=owner_lag_days)
-    typed = clearance_type(owned.drop("start_date", "end_date"), windows, entity, "event_date")
+
+    lagged = events.withColumn("_then", F.date_sub("event_date", owner_lag_days))
+    owned = valid_versions(lagged, owners, [entity], "_then", how="left").drop("_then", "start_date", "end_date")
+    typed = clearance_type(owned, windows, entity, "event_date")
 
     def key(name: str) -> Column:
         return F.coalesce(date_key(F.col(name)), F.lit(UNKNOWN_KEY)).alias(f"{name}_key")

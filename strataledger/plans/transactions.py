@@ -13,8 +13,8 @@ from ..functions.text import last_chars
 from ..operators.asof import recurring_lag
 from ..operators.joins import fx_convert, lookup_by_labels, missing
 from ..operators.project import count_sign, signed_amount
-from ..operators.temporal import temporal_join
-from ..sources.incremental import incremental, late_arrivals
+from ..operators.temporal import valid_versions
+from ..sources.incremental import incremental_and_late
 
 
 def new_and_cancelled(flows: DataFrame, cancelled_on: str, record: str = "record_type") -> DataFrame:
@@ -39,11 +39,10 @@ def transaction_fact(
     and size.
     """
     flows = flows.withColumn("code_class", last_chars(F.col("code"), 2))
-    recent = incremental(flows, stored, "updated")
-    batch = recent.unionByName(late_arrivals(flows, recent, stored, [*keys, "system"]))
+    batch = incremental_and_late(flows, stored, "updated", [*keys, "system"])
     lagged = recurring_lag(batch, flows, [account, "amount", "code_class", "currency"], "trade_date")
     rows = new_and_cancelled(lagged, "cancelled_on")
-    owned = temporal_join(rows, owners, [account], "trade_date", how="left")
+    owned = valid_versions(rows, owners, [account], "trade_date", how="left")
     cancelled = F.col("cancelled_on").isNotNull()
     signed = owned.withColumns(
         {

@@ -83,10 +83,9 @@ LEFT JOIN nat ON nation = n_nationkey AND ns <= CAST(o_orderdate AS DATE) AND CA
 LEFT JOIN (SELECT * FROM region WHERE r_name <> 'ASIA') ON region = r_regionkey""")
 def chained_temporal_lookup(t):
     orders = t.orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
-    # the slice tables are the small side; nothing here is broadcast unless its size allows it
-    found = tp.chain(orders, [
-        lambda df: tp.temporal_join(df, customer_slices(t), ["o_custkey"], "day", "cs", "ce", how="left"),
-        lambda df: tp.temporal_join(df, nation_slices(t), ["nation"], "day", "ns", "ne", how="left"),
+    found = tp.looked_up(orders, ["o_custkey", "day"], [
+        lambda df: tp.valid_versions(df, customer_slices(t), ["o_custkey"], "day", "cs", "ce", how="left"),
+        lambda df: tp.valid_versions(df, nation_slices(t), ["nation"], "day", "ns", "ne", how="left"),
         lambda df: df.join(t.region.filter("r_name <> 'ASIA'"), c("region") == c("r_regionkey"), "left"),
     ])
     return found.select(

@@ -8,7 +8,7 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from strataledger.operators.temporal import blocks_of, blocks_within, looked_up, temporal_join, valid_versions
+from strataledger.operators.temporal import GRID, LEVELS, blocks_of, looked_up, temporal_join, valid_versions, with_blocks
 
 D = dt.date
 
@@ -66,18 +66,17 @@ def test_every_day_lies_in_one_block_of_an_interval(spark):
     spans = [(0, 0), (0, 3), (1, 4), (3, 3), (5, 70), (0, 65_535), (17, 65_535), (63, 64), (1_000, 21_844), (9, 8)]
     first = D(1900, 1, 1)
     df = spark.createDataFrame([(a, b, first + dt.timedelta(a), first + dt.timedelta(b)) for a, b in spans], "a int, b int, s date, e date")
-    for r in df.select("a", "b", blocks_within(F.col("s"), F.col("e")).alias("blocks")).collect():
-        if r["a"] > r["b"]:
-            assert not r["blocks"]
-            continue
+    found = with_blocks(df, F.col("s"), F.col("e"), "x").groupBy("a", "b").agg(F.collect_list("x").alias("blocks")).collect()
+    assert {(r["a"], r["b"]) for r in found} == {s for s in spans if s[0] <= s[1]}
+    for r in found:
         days = Counter()
         for x in r["blocks"]:
-            size = 4 ** (x >> 20)
+            size = GRID ** (x >> 20)
             days.update(range((x & 0xFFFFF) * size, (x & 0xFFFFF) * size + size) if r["b"] - r["a"] < 1000 else [])
         assert r["b"] - r["a"] >= 1000 or days == Counter(range(r["a"], r["b"] + 1))
-        assert sum(4 ** (x >> 20) for x in r["blocks"]) == r["b"] - r["a"] + 1 and len(r["blocks"]) <= 48
+        assert sum(GRID ** (x >> 20) for x in r["blocks"]) == r["b"] - r["a"] + 1 and len(r["blocks"]) <= 2 * GRID * LEVELS
     one = spark.range(1).select(blocks_of(F.lit(first + dt.timedelta(77))).alias("b")).first()["b"]
-    assert one == [(77 // 4**i) + (i << 20) for i in range(9)]
+    assert one == [(77 // GRID**i) + (i << 20) for i in range(LEVELS)]
 
 
 
@@ -90,7 +89,7 @@ def test_pairs_compared_follow_the_result(spark):
     facts = spark.range(1_000_000).select(F.lit(1).alias("k"), F.date_add(base, (F.col("id") % 5_000).cast("int")).alias("at"))
     out = temporal_join(facts, hist, ["k"], "at")
     asked = facts.select("k", "at").distinct().withColumn("b", F.explode(blocks_of(F.col("at"))))
-    index = hist.select("k", F.explode(blocks_within(F.col("start_date"), F.col("end_date"))).alias("b"))
+    index = with_blocks(hist, F.col("start_date"), F.col("end_date"), "b").select("k", "b")
     pairs, found = asked.join(index, ["k", "b"]).count(), out.select("k", "at", "v").distinct().count()
     assert out.count() == 200 * found and pairs <= 2.1 * found  # an excluded end day is compared once
 
