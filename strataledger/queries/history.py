@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import local_date
 from ..functions.hashing import with_row_hash
 from ..operators import history as h
+from ..operators import late
 from .fixtures import CUT, HIST, day, hist, moment
 from .registry import query
 
@@ -159,3 +160,19 @@ UNION ALL SELECT c_custkey, DATE '1900-01-01', DATE '9999-12-31' FROM customer W
 def lifecycle_windows(t):
     signups = t.events.filter("event_type = 'signup'").select("user_id", F.to_date("ts").alias("day"))
     return h.windows_from_events(signups, t.customer.select(c("c_custkey").alias("user_id")), "user_id", "day")
+
+
+@query("late_changes", f"""
+WITH {HIST} SELECT user_id, event_type, row_hash, start_date, end_date, current_record FROM hist""")
+def late_changes(t):
+    """A third of the log arrives late, in two batches; the history is re-stitched around each and is that of the whole log."""
+    part = F.col("event_id") % 6
+    events = t.events.select("event_id", "user_id", "ts", "event_type")
+    states = late.day_states(events.filter(part > 1), "user_id", "ts", "event_id", ["event_type"])
+    versions = late.versions_of(states, "user_id", ["event_type"])
+    for i in (1, 0):
+        fresh = late.news(states, late.day_states(events.filter(part == i), "user_id", "ts", "event_id", ["event_type"]), "user_id", "ts", "event_id")
+        # as stored between two loads
+        versions = t.stage(late.restitch(versions, states, fresh, "user_id", ["event_type"]), "history")
+        states = t.stage(late.with_news(states, fresh, "user_id"), "states")
+    return versions

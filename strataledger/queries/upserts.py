@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import with_row_hash
 from ..operators import project as p
 from ..operators import upsert as u
+from ..sources import partitioned
 from .fixtures import (
     BATCH,
     HIST,
@@ -263,3 +264,25 @@ def backfill_or_increment(t):
         return done.withColumn("run", F.lit(name))
 
     return run(full.filter("false"), "empty target").unionByName(run(known, "stored target"))
+
+
+@query("partition_upsert", f"""
+WITH s AS (SELECT o_orderkey, o_totalprice, o_orderstatus, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS month FROM orders
+    WHERE o_orderkey % 5 <> 0 OR o_orderdate < TIMESTAMP '{ORDER_CUT}'),
+b AS (SELECT o_orderkey, o_totalprice * 2 AS p, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS month FROM orders
+    WHERE o_orderdate >= TIMESTAMP '{ORDER_CUT}' AND o_orderstatus = 'O')
+SELECT coalesce(s.o_orderkey, b.o_orderkey) AS o_orderkey, coalesce(p, o_totalprice) AS o_totalprice, coalesce(o_orderstatus, 'N') AS o_orderstatus,
+  coalesce(s.month, b.month) AS month FROM s FULL JOIN b ON s.o_orderkey = b.o_orderkey""")
+def partition_upsert(t):
+    """Orders stored by month; a batch of recent open orders rewrites the months it touches and no others."""
+    month = (F.year("o_orderdate") * 100 + F.month("o_orderdate")).alias("month")
+    rows = t.orders.filter((c("o_orderkey") % 5 != 0) | (c("o_orderdate") < moment(ORDER_CUT)))
+    path = f"{t.scratch()}/orders"
+    partitioned.create(rows.select("o_orderkey", "o_totalprice", "o_orderstatus", month), path, "month")
+    batch = t.orders.filter((c("o_orderdate") >= moment(ORDER_CUT)) & (c("o_orderstatus") == "O")).select(
+        "o_orderkey", (c("o_totalprice") * 2).alias("o_totalprice"), F.lit("N").alias("o_orderstatus"), month
+    )
+    partitioned.rewrite_partitions(
+        t.spark, path, "month", batch, c("month"), lambda stored, new: u.accumulate(stored, new, ["o_orderkey"], [{"o_totalprice": c("s_o_totalprice")}])
+    )
+    return t.spark.read.parquet(path)
