@@ -13,11 +13,12 @@ from ..operators.ordered import first_per_key, neighbours, numbered
 from ..operators.project import signed_amount
 from ..operators.temporal import overlap_capped, temporal_join
 from ..operators.upsert import accumulate, fill_rule
+from ..plans import cases
 from ..plans import referrals as ref
 from ..plans import snapshot as snap
 from ..plans import terminations as term
 from ..plans import transactions as tx
-from .fixtures import HIST, ORDER_CUT, day, hist
+from .fixtures import CUT, HIST, ORDER_CUT, day, hist, moment
 from .registry import query
 from .temporal import SLICES, customer_slices
 
@@ -483,6 +484,45 @@ def termination_fact(t):
     )
 
 
+CASES = f"""
+acts AS (SELECT user_id * 100 + week(ts) AS case_id, user_id, CAST(ts AS DATE) AS d, ts, row_number() OVER (PARTITION BY user_id, week(ts) ORDER BY ts, event_id) AS rn,
+    CASE event_type WHEN 'error' THEN 1 WHEN 'view' THEN 2 WHEN 'signup' THEN 3 WHEN 'click' THEN 4 ELSE 0 END AS a FROM events),
+walk AS (SELECT case_id, 0 AS rn, 0 AS b, 0 AS s FROM acts WHERE rn = 1 UNION ALL
+  SELECT w.case_id, acts.rn, w.s, CASE WHEN a = 0 THEN w.s WHEN a = 1 THEN CASE WHEN w.s = 0 THEN 1 ELSE w.s END
+    WHEN w.s = 0 THEN 0 WHEN a = 2 THEN 2 WHEN a = 3 THEN 3 ELSE 1 END FROM walk w JOIN acts ON acts.case_id = w.case_id AND acts.rn = w.rn + 1),
+steps AS (SELECT acts.*, walk.b, walk.s FROM walk JOIN acts ON acts.case_id = walk.case_id AND acts.rn = walk.rn),
+cutoffs AS (SELECT * FROM (VALUES (TIMESTAMP '{CUT}', 'Stored'), (TIMESTAMP '9999-01-01', 'Batch')) v(upto, kind)),
+st AS (SELECT kind, case_id, any_value(user_id) AS user_id, arg_max(s, rn) AS s, min(d) FILTER (b = 0 AND s <> b) AS opened,
+    arg_max(d, rn) FILTER (s <> b AND s <> 1) AS ended FROM steps JOIN cutoffs ON ts < upto GROUP BY 1, 2),
+cr AS (SELECT kind, case_id, user_id, {key_of('CASE WHEN s = 1 THEN opened ELSE ended END')} AS event_date_key, {key_of('opened')} AS threat_date_key,
+    CASE WHEN s = 2 THEN {key_of('ended')} ELSE -1 END AS save_date_key, CASE WHEN s = 3 THEN {key_of('ended')} ELSE -1 END AS term_date_key,
+    CASE WHEN s = 2 THEN 1 ELSE 0 END AS save_count, CASE WHEN s = 3 THEN 1 ELSE 0 END AS term_count, CASE WHEN s = 1 THEN 0 ELSE 1 END AS completed
+  FROM st WHERE s <> 0)"""
+
+
+@query("termination_cases", f"""
+WITH RECURSIVE {CASES},
+j AS (SELECT o.*, n.case_id AS n_case, n.user_id AS n_user, n.event_date_key AS n_event, n.threat_date_key AS n_threat, n.save_date_key AS n_save, n.term_date_key AS n_term,
+    n.save_count AS n_saves, n.term_count AS n_terms, n.completed AS n_completed,
+    o.case_id IS NULL OR o.completed = 0 OR n.completed = 0 OR o.save_count <> n.save_count OR o.term_count <> n.term_count AS taken
+  FROM (SELECT * FROM cr WHERE kind = 'Stored') o FULL JOIN (SELECT * FROM cr WHERE kind = 'Batch') n ON o.case_id = n.case_id)
+SELECT coalesce(case_id, n_case) AS case_id, coalesce(user_id, n_user) AS user_id, CASE WHEN taken THEN n_event ELSE event_date_key END AS event_date_key,
+  CASE WHEN taken THEN n_threat ELSE threat_date_key END AS threat_date_key, CASE WHEN taken THEN n_save ELSE save_date_key END AS save_date_key,
+  CASE WHEN taken THEN n_term ELSE term_date_key END AS term_date_key, 1 AS threat_count, CASE WHEN taken THEN n_saves ELSE save_count END AS save_count,
+  CASE WHEN taken THEN n_terms ELSE term_count END AS term_count, CASE WHEN taken THEN n_completed ELSE completed END AS completed, coalesce(kind, 'Batch') AS termination_type
+FROM j""")
+def termination_cases(t):
+    """A user's events of a week are the actions on one case; the fact stored at the cut meets the cases as they are now."""
+    action = F.create_map(*[F.lit(x) for x in ("error", "opened", "view", "saved", "signup", "lost", "click", "reopened")])[c("event_type")]
+    log = t.events.select((c("user_id") * 100 + F.weekofyear("ts")).alias("case_id"), "user_id", "ts", "event_id", action.alias("action"))
+
+    def rows(actions, kind):
+        states = cases.case_states(actions, "case_id", "user_id", "ts", "event_id", "action")
+        return cases.case_rows(states, "case_id", "user_id", F.lit(kind))
+
+    return cases.load_cases(rows(log.filter(c("ts") < moment(CUT)), "Stored"), rows(log, "Batch"), "case_id")
+
+
 @query("milestone_counts", """
 WITH m AS (SELECT o_orderkey, 'placed' AS milestone, o_orderdate AS d FROM orders
   UNION ALL SELECT l_orderkey, 'first shipped', min(l_shipdate) FROM lineitem GROUP BY 1
