@@ -228,7 +228,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = 8, enough: int =
     found = []
     for b in range(blocks):
         own = bench.where(F.pmod("h", F.lit(blocks)) == b).select("h").distinct()
-        wanted = np.sort(np.array([r[0] for r in own.collect()], np.int64).view(np.uint64))
+        wanted = np.sort(own.toArrow()["h"].to_numpy().view(np.uint64))
         sent = spark.sparkContext.broadcast(wanted)
         found.append(rows.mapInPandas(_looker(sent, list(lengths or [])), schema))
     hits = found[0]
