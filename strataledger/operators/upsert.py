@@ -19,6 +19,7 @@ from .history import close_with_next
 from .hotkeys import DEFAULT_SPLIT, Split
 from .joins import missing
 from .ordered import first_per_key, neighbours, numbered
+from .ordinals import ordinals
 
 NEW, MODIFIED, UNCHANGED = "NEW", "MODIFIED", "NO CHANGE"
 
@@ -237,20 +238,24 @@ def with_unknown(dim: DataFrame, key: str, values: Mapping[str, object], unknown
     return dim.unionByName(missing(member, dim, [key]))
 
 
-def _keyed(tgt: DataFrame, new: DataFrame, key: str, order: Sequence[str], split: Split) -> DataFrame:
+Stage = Callable[[DataFrame], DataFrame]  # writes a table that driver and executors see and reads it back
+
+
+def _keyed(tgt: DataFrame, new: DataFrame, key: str, order: Sequence[str], split: Split, stage: Stage | None = None) -> DataFrame:
     top = tgt.agg(F.coalesce(F.max(key), F.lit(0)).alias("top")).scalar()
-    seq = numbered(new, [], order, "_seq", split)
+    seq = ordinals(new, [], order, stage, "_seq") if stage else numbered(new, [], order, "_seq", split)
     return seq.withColumn(key, (top + F.col("_seq")).cast(tgt.schema[key].dataType)).drop("_seq")
 
 
 def assign_keys(
-    tgt: DataFrame, new: DataFrame, key: str, order: Sequence[str], split: Split = DEFAULT_SPLIT
+    tgt: DataFrame, new: DataFrame, key: str, order: Sequence[str], split: Split = DEFAULT_SPLIT, stage: Stage | None = None
 ) -> DataFrame:
     """Number new rows on from the target's largest key.
 
-    Only new rows are numbered, within pieces of their order that are offset by the pieces before (``ordered.running``).
+    Only new rows are numbered: with a ``stage`` by sampled ranges of the whole order (``ordinals``), which no prefix, dense number or burst can make uneven, else
+    within pieces of its first column that are offset by the pieces before (``ordered.running``).
     """
-    return tgt.unionByName(_keyed(tgt, new, key, order, split).select(*tgt.columns))
+    return tgt.unionByName(_keyed(tgt, new, key, order, split, stage).select(*tgt.columns))
 
 
 def repair_scd2(

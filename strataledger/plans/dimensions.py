@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import with_row_hash
 from ..operators.history import build_scd2, latest_per_day, stitch
-from ..operators.upsert import assign_keys, backfill_ids, upsert_scd2, upsert_type1, with_unknown
+from ..operators.upsert import Stage, assign_keys, backfill_ids, upsert_scd2, upsert_type1, with_unknown
 
 
 def type2_backfill(
@@ -43,7 +43,7 @@ def type2_increment(
 
 def type1_load(
     dim: DataFrame, batch: DataFrame, business_key: str, tracked: Sequence[str], key: str, late_ids: DataFrame, id_col: str,
-    unknown: Mapping[str, object],
+    unknown: Mapping[str, object], stage: Stage | None = None,
 ) -> DataFrame:
     """Hash upsert, keys for new members, ids that turn up late, and the unknown member.
 
@@ -51,7 +51,7 @@ def type1_load(
     """
     done = upsert_type1(dim, batch, [business_key], list(tracked))
     old, new = done.filter(F.col(key).isNotNull()), done.filter(F.col(key).isNull())
-    keyed = assign_keys(old, new, key, [business_key])
+    keyed = assign_keys(old, new, key, [business_key], stage=stage)
     blank = F.coalesce(F.col(id_col), F.lit(unknown[id_col]))
     filled = backfill_ids(keyed.withColumn(id_col, blank), late_ids, business_key, id_col, tracked, unknown[id_col])
     return with_row_hash(with_unknown(filled, key, unknown), tracked)

@@ -63,5 +63,5 @@ def dimension_type1_load(t):
     dim = d.assign_keys(none, known, "customer_key", ["c_custkey"])
     late = t.customer.filter("c_custkey % 4 = 0").select("c_custkey", crm.alias("crm_id"))
     unknown = {"c_custkey": -1, "c_mktsegment": "[Unknown]", "crm_id": "[Unknown]"}
-    out = d.type1_load(dim, batch(t), "c_custkey", TRACKED, "customer_key", late, "crm_id", unknown)
+    out = d.type1_load(dim, batch(t), "c_custkey", TRACKED, "customer_key", late, "crm_id", unknown, stage=lambda df: t.stage(df, "new_members"))
     return out.select("customer_key", "c_custkey", "c_mktsegment", "crm_id")

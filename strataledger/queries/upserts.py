@@ -205,7 +205,7 @@ FROM customer WHERE c_acctbal < 0""")
 def surrogate_keys(t):
     tgt = stored(t).select((c("c_custkey") + 100).alias("contact_key"), "c_custkey", "c_name")
     new = t.customer.filter("c_acctbal < 0").select("c_custkey", "c_name")
-    return u.assign_keys(tgt, new, "contact_key", ["c_custkey"])
+    return u.assign_keys(tgt, new, "contact_key", ["c_custkey"], stage=lambda df: t.stage(df, "new_contacts"))
 
 
 @query("repair_duplicates", f"""

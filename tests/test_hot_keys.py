@@ -8,6 +8,7 @@ from strataledger.operators import asof, checks, history, pairing, upsert
 from strataledger.operators.hotkeys import piece
 from strataledger.operators.ordered import neighbours, numbered, running
 from strataledger.operators.temporal import temporal_join
+from strataledger.sources.lake import write_table
 
 TINY = True
 AT = ["ts", "event_id"]
@@ -204,12 +205,15 @@ def test_prior_and_pairs(skewed):
     same(pairing.unmatched_closers(seq(TINY)), pairing.unmatched_closers(seq(None)))
 
 
-def test_surrogate_keys(spark, skewed):
+def test_surrogate_keys(spark, skewed, tmp_path):
     tgt = spark.createDataFrame([(41, 7)], "k int, event_id bigint")
     new = skewed.select("event_id")
     same(
         upsert.assign_keys(tgt, new, "k", ["event_id"], split=TINY), upsert.assign_keys(tgt, new, "k", ["event_id"], split=False)
     )
+    tables = iter(range(9))
+    staged = upsert.assign_keys(tgt, new, "k", ["event_id"], stage=lambda df: write_table(df, f"{tmp_path}/{next(tables)}"))
+    same(staged, upsert.assign_keys(tgt, new, "k", ["event_id"], split=False))
 
 
 @pytest.mark.parametrize("step", ["numbered", "neighbours", "fill"])
