@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.hashing import with_row_hash
+from ..operators import identity
 from ..operators import project as p
 from ..operators import upsert as u
 from ..sources import partitioned
@@ -286,3 +287,14 @@ def partition_upsert(t):
         t.spark, path, "month", batch, c("month"), lambda stored, new: u.accumulate(stored, new, ["o_orderkey"], [{"o_totalprice": c("s_o_totalprice")}])
     )
     return t.spark.read.parquet(path)
+
+
+@query("repair_id_chains", """
+SELECT o_custkey - o_custkey % 4 AS customer, count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total FROM orders GROUP BY 1""")
+def repair_id_chains(t):
+    """Customers that each name their predecessor, four to a chain; their orders are counted under the chain's smallest id."""
+    links = t.customer.filter(c("c_custkey") % 4 != 0).select("c_custkey", (c("c_custkey") - 1).alias("before"))
+    names = identity.resolve_ids(links, "c_custkey", "before", lambda df: t.stage(df, "links"))
+    orders = identity.repoint(t.orders.select("o_custkey", "o_totalprice"), names, "o_custkey")
+    total = F.sum(c("o_totalprice").cast("decimal(18,2)")).cast("decimal(28,2)").alias("total")
+    return orders.groupBy(c("o_custkey").alias("customer")).agg(F.count(F.lit(1)).alias("n_orders"), total)
