@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..defaults import UNKNOWN_KEY, UNKNOWN_TEXT, max_date
 from ..functions.dates import date_key
-from ..operators.asof import sum_of_latest
+from ..operators.asof import asof_latest, sum_of_latest
 from ..operators.ordered import neighbours
 from ..operators.pairing import pair_events, sequence_events, unmatched_closers
 from ..operators.temporal import valid_versions
@@ -71,6 +71,25 @@ def amounts_at_event(
     return sum_of_latest(events, balances, entity, account, event_at, balance_at, "balance", max_age_days)
 
 
+def converted_amounts(
+    events: DataFrame, balances: DataFrame, rates: DataFrame, entity: str, account: str, currency: str, event_at: str, balance_at: str,
+    max_age_days: int, rate_at: str = "rate_date", rate: str = "rate", out: str = "amount",
+) -> DataFrame:
+    """(entity, event_at, out): the accounts' balances held at each event, per currency converted by the rate valid on the event's day.
+
+    Balances of one currency are summed first (``sum_of_latest``, linear in events and balances), so a rate is applied once for an event and currency. The rate is the
+    latest one up to the day; a currency without one counts at 1. ``out`` is rounded to cents per currency. Moments without balances are left out.
+    """
+    held = balances.withColumn("_of", F.struct(F.col(entity).alias("e"), F.col(currency).alias("c")))
+    asked = events.select(entity, event_at).distinct().join(balances.select(entity, currency).distinct(), entity)
+    asked = asked.withColumn("_of", F.struct(F.col(entity).alias("e"), F.col(currency).alias("c")))
+    sums = sum_of_latest(asked, held, "_of", account, event_at, balance_at, "balance", max_age_days, out="_sum")
+    sums = sums.select(F.col("_of.e").alias(entity), F.col("_of.c").alias(currency), event_at, "_sum")
+    rated = asof_latest(sums, rates, [currency], event_at, rate_at, {rate: "_rate"})
+    value = F.round(F.col("_sum") * F.coalesce("_rate", F.lit(1)), 2).cast("decimal(28,2)")
+    return rated.groupBy(entity, event_at).agg(F.sum(value).cast("decimal(28,2)").alias(out))
+
+
 def termination_fact(
     events: DataFrame, balances: DataFrame, history: DataFrame, windows: DataFrame,
     entity: str, account: str, balance_at: str, max_age_days: int, owner: str, owner_lag_days: int,

@@ -484,6 +484,29 @@ def termination_fact(t):
     )
 
 
+@query("termination_amounts", """
+WITH ev AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS event_date FROM events WHERE event_type = 'error'),
+bal AS (SELECT user_id, event_type AS account, CASE WHEN event_type IN ('view', 'click') THEN 'A' ELSE 'B' END AS currency, CAST(ts AS DATE) AS bd,
+    max(CAST(value AS DECIMAL(18,2))) AS balance FROM events GROUP BY 1, 2, 3, 4),
+rates AS (SELECT currency, d, CAST(CASE WHEN currency = 'A' THEN 125 ELSE 80 END + day(d) AS DECIMAL(9,2)) / 100 AS rate
+  FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events WHERE event_type = 'signup'), (VALUES ('A'), ('B')) v(currency)),
+held AS (SELECT ev.user_id, ev.event_date, currency, balance, row_number() OVER (PARTITION BY ev.user_id, ev.event_date, account ORDER BY bd DESC) AS rn
+  FROM ev JOIN bal ON bal.user_id = ev.user_id AND bd <= event_date AND bd >= event_date - 10),
+s AS (SELECT user_id, event_date, currency, sum(balance) AS total FROM held WHERE rn = 1 GROUP BY 1, 2, 3),
+c AS (SELECT s.*, (SELECT CAST(CASE WHEN s.currency = 'A' THEN 125 ELSE 80 END + day(max(d)) AS BIGINT) FROM rates r WHERE r.currency = s.currency AND r.d <= s.event_date) AS cents FROM s)
+SELECT user_id, event_date, CAST(sum(CAST((CAST(total * 100 AS BIGINT) * coalesce(cents, 100) + 50) // 100 AS DECIMAL(18,0)) * 0.01) AS DECIMAL(28,2)) AS amount FROM c GROUP BY 1, 2""")
+def termination_amounts(t):
+    """Error days with the balances of the last ten days, in two currencies, at the latest rate; rates come on signup days."""
+    at = F.to_date("ts")
+    errors = t.events.filter("event_type = 'error'").select("user_id", at.alias("event_date"))
+    currency = F.when(c("event_type").isin("view", "click"), "A").otherwise("B").alias("currency")
+    balances = t.events.groupBy("user_id", c("event_type").alias("account"), currency, at.alias("balance_day")).agg(F.max(money(c("value"))).alias("balance"))
+    days = t.events.filter("event_type = 'signup'").select(at.alias("rate_date")).distinct()
+    kinds = days.withColumn("currency", F.explode(F.array(F.lit("A"), F.lit("B"))))
+    rates = kinds.withColumn("rate", ((F.when(c("currency") == "A", 125).otherwise(80) + F.day("rate_date")) / F.lit(100)).cast("decimal(9,2)"))
+    return term.converted_amounts(errors, balances, rates, "user_id", "account", "currency", "event_date", "balance_day", 10)
+
+
 CASES = f"""
 acts AS (SELECT user_id * 100 + week(ts) AS case_id, user_id, CAST(ts AS DATE) AS d, ts, row_number() OVER (PARTITION BY user_id, week(ts) ORDER BY ts, event_id) AS rn,
     CASE event_type WHEN 'error' THEN 1 WHEN 'view' THEN 2 WHEN 'signup' THEN 3 WHEN 'click' THEN 4 ELSE 0 END AS a FROM events),
