@@ -59,6 +59,30 @@ def with_blocks(spans: DataFrame, start: Column, end: Column, out: str = "_block
     return cut.withColumn(out, F.expr(f"_n + shiftleft(_level, {LEVEL_BITS})")).drop("_first", "_last", "_level", "_low", "_high", "_low2", "_high2", "_n")
 
 
+def day_sql(at: str) -> str:
+    """``_day`` as a SQL expression."""
+    return f"least(greatest(unix_date(CAST({at} AS DATE)) + {FIRST_DAY}, 0), {DAYS - 1})"
+
+
+def point_sql(day: str) -> str:
+    """``blocks_of`` as a SQL expression of a grid day."""
+    return f"transform(sequence(0, {LEVELS - 1}), lv -> shiftright({day}, {GRID_BITS} * lv) + shiftleft(lv, {LEVEL_BITS}))"
+
+
+def cover_sql(first: str, last: str) -> str:
+    """The blocks of ``with_blocks`` as one array, as a SQL expression of two grid days, both included; empty if there are no such days."""
+    bits = GRID_BITS
+    own, up = f"{bits} * lv", f"{bits} * lv + {bits}"
+    ends = ", ".join(
+        f"shiftright({first} + shiftleft(1, {size}) - 1, {size}) AS low{n}, shiftright({last} + 1, {size}) - 1 AS high{n}" for n, size in (("", own), ("2", up))
+    )
+    left = f"IF(w.low < w.low2 * {GRID}, sequence(w.low, w.low2 * {GRID} - 1), array())"
+    right = f"IF((w.high2 + 1) * {GRID} <= w.high, sequence((w.high2 + 1) * {GRID}, w.high), array())"
+    whole = f"CASE WHEN {first} > {last} OR w.low > w.high THEN array() WHEN lv < {LEVELS - 1} AND w.low2 <= w.high2 THEN concat({left}, {right}) ELSE sequence(w.low, w.high) END"
+    raised = f"transform({whole}, n -> n + shiftleft(lv, {LEVEL_BITS}))"
+    return f"flatten(flatten(transform(sequence(0, {LEVELS - 1}), lv -> transform(array(struct({ends})), w -> {raised}))))"
+
+
 def valid_versions(
     asked: DataFrame,
     hist: DataFrame,

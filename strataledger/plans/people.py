@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..defaults import UNKNOWN_KEY
-from ..functions.dates import tenure_months
+from ..defaults import UNKNOWN_KEY, max_date
+from ..functions.dates import age_years, tenure_months
+from ..operators.align import linked
 from ..operators.bands import band_lookup
 from ..operators.temporal import eligible_at, looked_up, valid_versions
 
@@ -58,3 +60,71 @@ def with_age_band(rows: DataFrame, bands: DataFrame, age: Column, out: str, name
     side = bands.select(F.col(key).alias(out), F.col(lo).alias("_lo"), F.col(hi).alias("_hi"))
     met = band_lookup(rows.withColumn("_age", age), side, "_age", "_lo", "_hi")
     return met.withColumn(out, F.coalesce(out, F.lit(UNKNOWN_KEY))).drop("_age", "_lo", "_hi")
+
+
+CHAIN = ["member_key", "employee_key", "specialty", "began", "manager_key"]
+PEOPLE_KEYS = ["member_key", "employee_key", "manager_key", "peer_group_key", "tenure_months", "age_band_key"]
+
+
+class People(NamedTuple):
+    """What the fact loads need to name the people behind a row: ``history`` as of ``person_history``, ``peer_groups`` as of ``person_keys``,
+    ``births`` (entity, born), one row for an entity, and ``bands`` (band_key, lo, hi) of ages. The people are those of ``lag_days`` before the row's date."""
+
+    history: DataFrame
+    peer_groups: DataFrame
+    births: DataFrame
+    bands: DataFrame
+    lag_days: int = 0
+
+
+def employed_spans(employees: DataFrame) -> DataFrame:
+    """(member_key, employee_key, specialty, began, from_date, to_date) of the times an employee is there; a returner has two, which differ in ``began``."""
+    gone = F.date_add(F.least(F.coalesce("left_on", max_date()), F.date_sub(max_date(), 1)), 1)
+    first, last = F.col("first_start"), F.col("last_start")
+    spans = F.explode(F.array(
+        F.struct(first.alias("began"), first.alias("from_date"), F.when(last.isNotNull(), F.least(last, gone)).alias("to_date")),
+        F.struct(last.alias("began"), last.alias("from_date"), gone.alias("to_date")),
+    ))
+    rows = employees.select("member_key", "employee_key", "specialty", spans.alias("_s")).select("member_key", "employee_key", "specialty", "_s.*")
+    return rows.filter(F.col("from_date") < F.col("to_date"))
+
+
+def person_history(entity: str, assignments: DataFrame, members: DataFrame, employees: DataFrame, managers: DataFrame) -> DataFrame:
+    """(entity, from_date, to_date, owner and the columns of the chain): the chain of ``person_keys`` as one flat history, built once for all facts.
+
+    Cut wherever any link changes; where a link is missing, the columns after it are NULL. Tables as for ``person_keys``.
+    """
+    dates = {"start": "from_date", "end": "to_date", "follow_start": "from_date", "follow_end": "to_date"}
+    flat = linked(assignments.select(entity, "owner", "from_date", "to_date"), entity, members, "owner", ["member_key"], **dates)
+    flat = linked(flat, entity, employed_spans(employees), "member_key", ["employee_key", "specialty", "began"], **dates)
+    return linked(flat, entity, managers, "employee_key", ["manager_key"], **dates)
+
+
+def graded(rows: DataFrame, entity: str, at: str, people: People) -> DataFrame:
+    """Rows that have the chain's columns, with the keys of the people instead; unknown where a link is missing."""
+    keep = [c for c in rows.columns if c not in CHAIN]
+    on = F.date_sub(F.col(at), people.lag_days)
+    rows = rows.withColumn("tenure_months", F.when(F.col("began").isNotNull(), tenure_months(F.col("began"), on)))
+    rows = band_lookup(rows, people.peer_groups, "tenure_months", on=["specialty"]).drop("lo", "hi")
+    born = people.births.select(F.col(entity).alias("_of"), F.col("born").alias("_born"))
+    rows = rows.join(born, F.col(entity) == F.col("_of"), "left")
+    rows = with_age_band(rows, people.bands, age_years(F.col("_born"), F.col(at)), "age_band_key")
+    return rows.select(*keep, *[F.col(k) if k == "tenure_months" else _known(k) for k in PEOPLE_KEYS])
+
+
+def with_people(fact: DataFrame, entity: str, at: str, people: People) -> DataFrame:
+    """Fact rows with ``PEOPLE_KEYS``: one lookup in the flat history for each distinct (entity, date)."""
+
+    def found(asked: DataFrame) -> DataFrame:
+        dated = asked.withColumn("_on", F.date_sub(F.col(at), people.lag_days))
+        side = people.history.select(entity, "from_date", "to_date", *CHAIN)
+        met = valid_versions(dated, side, [entity], "_on", "from_date", "to_date", how="left").drop("from_date", "to_date", "_on")
+        return graded(met, entity, at, people)
+
+    return looked_up(fact, [entity, at], [found])
+
+
+def people_days(people: People, entity: str, day: str, out: str) -> DataFrame:
+    """(entity, day, out) for a carry-forward: the day on which each segment of the people's history begins to count, and the segment."""
+    segment = F.struct(*CHAIN, F.date_add(F.least(F.col("to_date"), F.date_sub(max_date(), people.lag_days)), people.lag_days).alias("_until"))
+    return people.history.select(entity, F.date_add("from_date", people.lag_days).alias(day), segment.alias(out))

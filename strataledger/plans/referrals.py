@@ -14,6 +14,7 @@ from ..operators.joins import missing
 from ..operators.ordered import first_per_key
 from ..operators.temporal import eligible_at, valid_versions
 from ..operators.upsert import accumulate, upsert_scd2
+from .people import PEOPLE_KEYS, People, with_people
 
 SPANS = ("first_start", "last_start", "left_on")
 
@@ -69,13 +70,14 @@ def fact_of(history: DataFrame, key: list[str], tracked: list[str], stored: Data
 
 def referral_fact(
     refs: DataFrame, people: DataFrame, assignments: DataFrame, funded: DataFrame, swapped: Column,
-    split: Split = DEFAULT_SPLIT,
+    split: Split = DEFAULT_SPLIT, behind: People | None = None,
 ) -> DataFrame:
     """One row per referral with its people, twelve-month flag and funding state.
 
     ``refs``: source, referral_id, client_id, referral_date, user_id, user_name;
     ``funded``: referral_id, trading_date. The people named on a referral come first; the rest
-    is derived in the same pass, by giving the named rows no date to look up.
+    is derived in the same pass, by giving the named rows no date to look up. With ``behind``
+    rows also have the keys of the people behind the client at the referral date.
     """
     key = ["source", "referral_id"]
     rows = refs.join(funded, "referral_id", "left").join(credited(refs, people, swapped), key, "left")
@@ -87,6 +89,7 @@ def referral_fact(
     flagged = prior_within_months(
         rows, ["client_id", "source"], "referral_date", "referral_id", 12, "referred_in_12_months", split
     )
+    flagged, staff = (flagged, []) if behind is None else (with_people(flagged, "client_id", "referral_date", behind), PEOPLE_KEYS)
     return flagged.select(
         *key, "client_id", F.when(named, "Credited").otherwise("Derived").alias("attribution"),
         submitted.alias("person_key"), paid.alias("person_funded_key"),
@@ -94,4 +97,5 @@ def referral_fact(
         F.coalesce(date_key(F.col("trading_date")), F.lit(UNKNOWN_KEY)).alias("trading_date_key"),
         F.lit(1).alias("referral_count"), is_funded.cast("int").alias("funded_count"), "referred_in_12_months",
         F.datediff("trading_date", "referral_date").alias("funding_days_lag"), is_funded.cast("int").alias("completed"),
+        *staff,
     )

@@ -14,6 +14,7 @@ from ..operators.joins import lookup_by_labels, lookup_key, missing
 from ..operators.ordered import running
 from ..operators.project import waterfall
 from ..operators.upsert import update_type1
+from .people import CHAIN, PEOPLE_KEYS, People, graded, people_days
 
 
 def daily_snapshot(
@@ -30,13 +31,15 @@ def daily_snapshot(
     rule: Column,
     contact_limit: int,
     loaded: DataFrame | None = None,
+    people: People | None = None,
 ) -> DataFrame:
     """Rolling flags, contact rule and keys of every (entity, day) that is not loaded yet.
 
     ``history`` has (entity, version_key, start_date, end_date), ``attributes`` one row per
     entity, ``statuses`` the flag combinations with ``status_key``. Days already loaded are
     removed first, so a daily run only works on the new days. ``reviews`` maps a flag to its
-    condition and look-back in days. All groups are bounded by the calendar.
+    condition and look-back in days. With ``people`` rows also have the keys of the people behind
+    them. All groups are bounded by the calendar.
     """
     todo = spine if loaded is None else missing(spine, loaded, [entity, day])
     signals = {"_contact": contact, **{f"_{n}": cond for n, (cond, _) in reviews.items()}}
@@ -45,7 +48,10 @@ def daily_snapshot(
     versions = history.select(
         entity, F.col("start_date").alias(day), F.struct("version_key", "end_date").alias("_version")
     )
-    seen = carry_forward(todo, entity, day, [activity, versions], [*signals, "_version"])
+    parts, carried = [activity, versions], [*signals, "_version"]
+    if people is not None:
+        parts, carried = [*parts, people_days(people, entity, day, "_people")], [*carried, "_people"]
+    seen = carry_forward(todo, entity, day, parts, carried)
     seen = seen.withColumns({s: F.datediff(day, s) for s in signals})
     known = seen.join(attributes, entity, "left").withColumn("rule_days", rule)
     valid = F.col("_version.end_date") > F.col(day)
@@ -55,12 +61,17 @@ def daily_snapshot(
     flagged = versioned.withColumns(flags)
     keyed = lookup_by_labels(flagged, statuses, {n: F.col(n) for n in flags}, "status_key")
     extra = [c for c in attributes.columns if c.endswith("_key")]
+    staff = []
+    if people is not None:
+        there = F.col("_people._until") > F.col(day)
+        keyed = graded(keyed.withColumns({c: F.when(there, F.col("_people")[c]) for c in CHAIN}), entity, day, people)
+        staff = PEOPLE_KEYS
     return keyed.select(
         entity, date_key(F.col(day)).alias("date_key"),
         *[F.coalesce(c, F.lit(UNKNOWN_KEY)).alias(c) for c in ["version_key", *extra]],
         "rule_days", "status_key", *flags,
         within(F.col("_contact"), F.col("rule_days")).alias("contact_in_rule"),
-        F.col("_contact").alias("contact_lag"), F.lit(1).alias("client_count"),
+        F.col("_contact").alias("contact_lag"), F.lit(1).alias("client_count"), *staff,
     )
 
 

@@ -11,6 +11,7 @@ from ..operators.asof import asof_latest, sum_of_latest
 from ..operators.ordered import neighbours
 from ..operators.pairing import pair_events, sequence_events, unmatched_closers
 from ..operators.temporal import valid_versions
+from .people import PEOPLE_KEYS, People, with_people
 
 
 def termination_events(
@@ -93,8 +94,9 @@ def converted_amounts(
 def termination_fact(
     events: DataFrame, balances: DataFrame, history: DataFrame, windows: DataFrame,
     entity: str, account: str, balance_at: str, max_age_days: int, owner: str, owner_lag_days: int,
+    people: People | None = None,
 ) -> DataFrame:
-    """Keys and measures of the events: amount, owner some days before, clearance type."""
+    """Keys and measures of the events: amount, owner some days before, clearance type, and with ``people`` the keys of the people behind the entity."""
     amounts = amounts_at_event(events, balances, entity, account, "event_date", balance_at, max_age_days)
     owners = history.select(entity, F.col(owner).alias("owner_before"), "start_date", "end_date")
 
@@ -105,8 +107,9 @@ def termination_fact(
     def key(name: str) -> Column:
         return F.coalesce(date_key(F.col(name)), F.lit(UNKNOWN_KEY)).alias(f"{name}_key")
 
+    typed, staff = (typed, []) if people is None else (with_people(typed, entity, "event_date", people), PEOPLE_KEYS)
     return typed.join(amounts, [entity, "event_date"], "left").select(
         entity, key("event_date"), key("threat_date"), key("save_date"), key("term_date"),
         "threat_count", "save_count", "term_count", "completed", "amount",
-        F.coalesce("owner_before", F.lit(UNKNOWN_TEXT)).alias("owner_before"), "clearance_type",
+        F.coalesce("owner_before", F.lit(UNKNOWN_TEXT)).alias("owner_before"), "clearance_type", *staff,
     )

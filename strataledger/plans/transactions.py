@@ -15,6 +15,7 @@ from ..operators.joins import fx_convert, lookup_by_labels, missing
 from ..operators.project import count_sign, signed_amount
 from ..operators.temporal import valid_versions
 from ..sources.incremental import incremental_and_late
+from .people import PEOPLE_KEYS, People, with_people
 
 
 def new_and_cancelled(flows: DataFrame, cancelled_on: str, record: str = "record_type") -> DataFrame:
@@ -29,14 +30,14 @@ def new_and_cancelled(flows: DataFrame, cancelled_on: str, record: str = "record
 
 def transaction_fact(
     flows: DataFrame, stored: DataFrame, owners: DataFrame, rates: DataFrame, flow_types: DataFrame,
-    account: str, keys: Sequence[str], in_codes: Sequence[str], size: Column,
+    account: str, keys: Sequence[str], in_codes: Sequence[str], size: Column, people: People | None = None,
 ) -> DataFrame:
     """Rows to append to the fact.
 
     ``flows`` are the movements after the cutover between systems: ``keys``, system, ``account``, code, amount, currency,
     trade_date, cancelled_on and updated. ``stored`` is the fact so far (keys, updated, flow_count, system), ``owners`` the
     account's owner over time, ``flow_types`` the combination dimension over direction, asset
-    and size.
+    and size. With ``people`` rows also have the keys of the people behind the account at the trade date.
     """
     flows = flows.withColumn("code_class", last_chars(F.col("code"), 2))
     batch = incremental_and_late(flows, stored, "updated", [*keys, "system"])
@@ -58,10 +59,11 @@ def transaction_fact(
         {"direction": count_sign(F.col("code"), in_codes, F.lit(False)), "asset": F.left("code_class", F.lit(1)), "size": size},
         "flow_type_key",
     )
+    typed, staff = (typed, []) if people is None else (with_people(typed, account, "trade_date", people), PEOPLE_KEYS)
     fact = typed.select(
         *keys, "system", date_key(F.col("trade_date")).alias("trade_date_key"),
         F.coalesce(date_key(F.col("cancelled_on")), F.lit(UNKNOWN_KEY)).alias("cancelled_date_key"),
         F.coalesce("owner_key", F.lit(UNKNOWN_KEY)).alias("owner_key"), "flow_type_key",
-        "flow_amount", "flow_amount_original", "flow_count", F.col("days_lag").alias("recurring_days_lag"), "record_type",
+        "flow_amount", "flow_amount_original", "flow_count", F.col("days_lag").alias("recurring_days_lag"), "record_type", *staff,
     )
     return missing(fact, stored, [*keys, "flow_count", "system"])

@@ -8,6 +8,7 @@ from ..functions.dates import date_key
 from ..functions.hashing import with_row_hash
 from ..functions.numbers import money
 from ..operators import history as h
+from ..operators.align import aligned
 from ..operators.filters import cutover
 from ..operators.ordered import first_per_key, neighbours, numbered
 from ..operators.project import signed_amount
@@ -19,6 +20,7 @@ from ..plans import snapshot as snap
 from ..plans import terminations as term
 from ..plans import transactions as tx
 from .fixtures import CUT, HIST, ORDER_CUT, day, hist, moment
+from .people import PEOPLE_COLUMNS, people_behind, people_sql
 from .registry import query
 from .temporal import SLICES, customer_slices
 
@@ -58,11 +60,12 @@ f AS (SELECT seen.*, nation_key, CAST(coalesce(r1, r2, 7) AS INTEGER) AS rule_da
     CASE WHEN lag_c BETWEEN 0 AND 7 THEN 1 ELSE 0 END AS contact, CASE WHEN lag_r BETWEEN 0 AND 14 THEN 1 ELSE 0 END AS review,
     CASE WHEN lag_n BETWEEN 0 AND 14 THEN 1 ELSE 0 END AS network
   FROM seen LEFT JOIN attr ON seen.user_id = c_custkey
-  LEFT JOIN hist h ON h.user_id = seen.user_id AND h.start_date <= day AND day < h.end_date)
+  LEFT JOIN hist h ON h.user_id = seen.user_id AND h.start_date <= day AND day < h.end_date),
+{people_sql('f', 'user_id', 'day', '2024-01-10')}
 SELECT user_id, {key_of('day')} AS date_key, coalesce({key_of('start_date')}, -1) AS version_key,
   coalesce(nation_key, -1) AS nation_key, rule_days, CAST(1 + contact * 4 + review * 2 + network AS INTEGER) AS status_key,
   contact, review, network, CASE WHEN lag_c BETWEEN 0 AND rule_days THEN 1 ELSE 0 END AS contact_in_rule,
-  CAST(lag_c AS INTEGER) AS contact_lag, 1 AS client_count FROM f""")
+  CAST(lag_c AS INTEGER) AS contact_lag, 1 AS client_count, {PEOPLE_COLUMNS} FROM f LEFT JOIN ppl ON pe = user_id AND pa = day""")
 def daily_snapshot_fact(t):
     """Clicks are contacts, purchases and signups the two kinds of review; the days before
     5 January on which a user had events are loaded already."""
@@ -84,6 +87,7 @@ def daily_snapshot_fact(t):
         user_spine(t), t.events, versions, attributes, bits, "user_id", "day", F.to_date("ts"),
         contact=kind == "click", reviews={"review": (kind == "purchase", 14), "network": (kind == "signup", 14)},
         rule=F.coalesce("_r1", "_r2", F.lit(7)), contact_limit=7, loaded=loaded,
+        people=people_behind(t, "user_id", "2024-01-10"),
     )
 
 
@@ -232,7 +236,8 @@ r AS (SELECT *, 'New Record' AS record_type, 1 AS flow_count FROM lagged
 rates AS (SELECT DISTINCT currency, trade_date, 100 + currency + day(trade_date) AS q FROM flow0 WHERE o_orderstatus = 'F'),
 o AS (SELECT r.*, nation AS owner_key, coalesce(q, 100) AS q, (CASE WHEN code IN ('FI', 'IFI', 'SI', 'ISI') THEN 1 ELSE -1 END) AS way
   FROM r LEFT JOIN cust ON account = c_custkey AND cs <= r.trade_date AND r.trade_date < ce
-  LEFT JOIN rates ON r.currency = rates.currency AND r.trade_date = rates.trade_date)
+  LEFT JOIN rates ON r.currency = rates.currency AND r.trade_date = rates.trade_date),
+{people_sql('o', 'account', 'trade_date', '1998-01-01')}
 SELECT ref_no, sub_no, system, {key_of('trade_date')} AS trade_date_key,
   CASE WHEN flow_count = -1 THEN {key_of('cancelled_on')} ELSE -1 END AS cancelled_date_key,
   coalesce(owner_key, -1) AS owner_key,
@@ -242,8 +247,8 @@ SELECT ref_no, sub_no, system, {key_of('trade_date')} AS trade_date_key,
   CAST(way * flow_count * CAST((2 * CAST(amount * 100 AS BIGINT) * 100 + q) // (2 * q) AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2))
     AS flow_amount,
   CAST(amount * way * flow_count AS DECIMAL(18,2)) AS flow_amount_original, flow_count,
-  CAST(days_lag AS INTEGER) AS recurring_days_lag, record_type
-FROM o WHERE (ref_no, sub_no, flow_count, system) NOT IN (SELECT (ref_no, sub_no, flow_count, system) FROM stored)""")
+  CAST(days_lag AS INTEGER) AS recurring_days_lag, record_type, {PEOPLE_COLUMNS}
+FROM o LEFT JOIN ppl ON pe = account AND pa = trade_date WHERE (ref_no, sub_no, flow_count, system) NOT IN (SELECT (ref_no, sub_no, flow_count, system) FROM stored)""")
 def transaction_fact(t):
     """Two systems with a cutover per customer; partial orders arrive late; all cancelled rows
     are new. Large outflows have no flow type."""
@@ -272,7 +277,7 @@ def transaction_fact(t):
         + F.when(c("size") == "large", 2).otherwise(1)
     ))
     return tx.transaction_fact(
-        moved, stored, owners, rates, types, "account", ["ref_no", "sub_no"], IN_CODES, large,
+        moved, stored, owners, rates, types, "account", ["ref_no", "sub_no"], IN_CODES, large, people_behind(t, "account", "1998-01-01"),
     )
 
 
@@ -333,13 +338,16 @@ fact AS (SELECT source, referral_id, client_id, attribution, coalesce(sub_id, -1
     CASE WHEN trading_date IS NULL THEN 0 ELSE 1 END AS completed FROM both_)"""
 
 
-@query("referral_fact", f"WITH {REFERRALS} SELECT * FROM fact")
+@query("referral_fact", f"""
+WITH {REFERRALS}, {people_sql('refs', 'client_id', 'referral_date', '1998-01-01')}
+SELECT fact.*, {PEOPLE_COLUMNS} FROM fact JOIN refs ON fact.source = refs.source AND fact.referral_id = refs.referral_id
+LEFT JOIN ppl ON pe = refs.client_id AND pa = referral_date""")
 def referral_fact(t):
     """The stored fact knows the referrals before mid-1998 and their funding up to then; the
     accumulating load fills in later funding and adds the newer referrals."""
     refs, people, assignments, funded = referral_inputs(t)
     swapped = c("source") == "US"
-    fact = ref.referral_fact(refs, people, assignments, funded, swapped)
+    fact = ref.referral_fact(refs, people, assignments, funded, swapped, behind=people_behind(t, "client_id", "1998-01-01"))
     stored = known_at_cut(fact)
     unset = {"person_funded_key": -1, "trading_date_key": -1, "funded_count": 0, "funding_days_lag": None}
     fill = fill_rule(unset, c("completed") == 0, {"completed": c("s_completed")})
@@ -438,6 +446,19 @@ cw AS (SELECT sw.user_id, d AS w0, nxt AS w1, min(CAST(e.ts AS DATE)) AS cleared
     ON e.user_id = sw.user_id AND event_type = 'purchase' AND CAST(e.ts AS DATE) >= d AND CAST(e.ts AS DATE) < nxt GROUP BY 1, 2, 3)"""
 
 
+@query("aligned_histories", f"""
+WITH {HIST}, {CLEARANCE},
+cuts AS (SELECT user_id, start_date AS d FROM hist UNION SELECT user_id, end_date FROM hist UNION SELECT user_id, w0 FROM cw UNION SELECT user_id, w1 FROM cw),
+seg AS (SELECT user_id, d, lead(d) OVER (PARTITION BY user_id ORDER BY d) AS nxt FROM cuts)
+SELECT seg.user_id, d AS start_date, nxt AS end_date, event_type, w0 AS window_start, cleared_on FROM seg
+LEFT JOIN hist ON hist.user_id = seg.user_id AND hist.start_date <= d AND d < hist.end_date LEFT JOIN cw ON cw.user_id = seg.user_id AND w0 <= d AND d < w1
+WHERE nxt IS NOT NULL AND (event_type IS NOT NULL OR w0 IS NOT NULL)""")
+def aligned_histories(t):
+    """States and signup windows of the users, cut into segments in which neither changes."""
+    windows = signup_windows(t).select("user_id", c("window_start").alias("start_date"), c("window_end").alias("end_date"), "window_start", "cleared_on")
+    return aligned({"state": (hist(t), ["event_type"]), "window": (windows, ["window_start", "cleared_on"])}, "user_id")
+
+
 @query("clearance_type_at_event", f"""
 WITH {CLEARANCE} SELECT event_id, e.user_id, CASE WHEN cleared_on IS NULL THEN 'Non-Trading' ELSE 'Trading' END AS clearance_type
 FROM events e LEFT JOIN cw ON cw.user_id = e.user_id AND w0 <= CAST(ts AS DATE) AND CAST(ts AS DATE) < w1
@@ -463,12 +484,13 @@ bal AS (SELECT user_id, event_type AS account, CAST(ts AS DATE) AS bd, max(CAST(
 amt AS (SELECT user_id, event_date, CAST(sum(balance) AS DECIMAL(28,2)) AS amount FROM (
     SELECT ev.user_id, ev.event_date, balance, row_number() OVER (PARTITION BY ev.user_id, ev.event_date, account ORDER BY bd DESC) AS rn
     FROM (SELECT DISTINCT user_id, event_date FROM ev) ev JOIN bal ON bal.user_id = ev.user_id AND bd <= event_date
-      AND bd >= event_date - 10) WHERE rn = 1 GROUP BY 1, 2)
+      AND bd >= event_date - 10) WHERE rn = 1 GROUP BY 1, 2),
+{people_sql('ev', 'user_id', 'event_date', '2024-01-10')}
 SELECT ev.user_id, {key_of('ev.event_date')} AS event_date_key, coalesce({key_of('threat_date')}, -1) AS threat_date_key,
   coalesce({key_of('save_date')}, -1) AS save_date_key, coalesce({key_of('term_date')}, -1) AS term_date_key,
   threat_count, save_count, term_count, completed, amount, coalesce(o.event_type, '[Unknown]') AS owner_before,
-  CASE WHEN cleared_on IS NULL THEN 'Non-Trading' ELSE 'Trading' END AS clearance_type
-FROM ev LEFT JOIN amt ON amt.user_id = ev.user_id AND amt.event_date = ev.event_date
+  CASE WHEN cleared_on IS NULL THEN 'Non-Trading' ELSE 'Trading' END AS clearance_type, {PEOPLE_COLUMNS}
+FROM ev LEFT JOIN ppl ON pe = ev.user_id AND pa = ev.event_date LEFT JOIN amt ON amt.user_id = ev.user_id AND amt.event_date = ev.event_date
 LEFT JOIN hist o ON o.user_id = ev.user_id AND o.start_date <= ev.event_date - 3 AND ev.event_date - 3 < o.end_date
 LEFT JOIN cw ON cw.user_id = ev.user_id AND w0 <= ev.event_date AND ev.event_date < w1""")
 def termination_fact(t):
@@ -480,7 +502,8 @@ def termination_fact(t):
         F.max(money(c("value"))).alias("balance")
     )
     return term.termination_fact(
-        events, balances, versions, signup_windows(t), "user_id", "account", "balance_day", 10, "event_type", 3
+        events, balances, versions, signup_windows(t), "user_id", "account", "balance_day", 10, "event_type", 3,
+        people_behind(t, "user_id", "2024-01-10"),
     )
 
 
