@@ -116,6 +116,22 @@ def carry_forward(
     return filled.filter(F.col("_side") == 1).select(*spine.columns, *[F.col(f"_l_{x}").alias(x) for x in cols])
 
 
+def carried_state(
+    parts: Sequence[DataFrame], on: str, day: str, cols: Sequence[str], upto: Column, state: DataFrame | None = None
+) -> DataFrame:
+    """(on, day, cols): what ``carry_forward`` would carry out of the day ``upto``; as a further part, it stands for everything up to that day.
+
+    ``state`` is the stored one of an earlier day; then ``parts`` need only what came after it, and rows of entities without news stay. One aggregate, combined
+    before the shuffle. Rows dated after ``upto`` are left out.
+    """
+    both = None
+    for part in [*parts, *([] if state is None else [state])]:
+        rows = part.filter(F.col(day) <= upto)
+        both = rows if both is None else both.unionByName(rows, allowMissingColumns=True)
+    latest = [F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(day).alias("d"), F.col(c).alias("v")))).alias(c) for c in cols]
+    return both.groupBy(on).agg(*latest).select(on, upto.alias(day), *[F.col(c)["v"].alias(c) for c in cols])
+
+
 def signal_days(events: DataFrame, on: str, day: str, event_day: Column, signals: Mapping[str, Column]) -> DataFrame:
     """One row per (entity, day) with the day itself under each signal that occurred on it."""
     seen = events.select(on, event_day.alias(day), *[F.coalesce(x, F.lit(False)).alias(s) for s, x in signals.items()])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..defaults import UNKNOWN_KEY
 from ..functions.dates import date_key
-from ..operators.asof import carry_forward, days_since, signal_days, within
+from ..operators.asof import carried_state, carry_forward, days_since, signal_days, within
 from ..operators.joins import lookup_by_labels, lookup_key, missing
 from ..operators.ordered import running
 from ..operators.project import waterfall
@@ -32,23 +32,32 @@ def daily_snapshot(
     contact_limit: int,
     loaded: DataFrame | None = None,
     people: People | None = None,
+    state: DataFrame | None = None,
+    since: Column | None = None,
 ) -> DataFrame:
     """Rolling flags, contact rule and keys of every (entity, day) that is not loaded yet.
 
     ``history`` has (entity, version_key, start_date, end_date), ``attributes`` one row per
     entity, ``statuses`` the flag combinations with ``status_key``. Days already loaded are
     removed first, so a daily run only works on the new days. ``reviews`` maps a flag to its
-    condition and look-back in days. With ``people`` rows also have the keys of the people behind
+    condition and look-back in days. With ``state`` (see ``snapshot_state``) of the day ``since``,
+    only activity after that day is used, so a daily run need not read any older one; the spine then
+    has days after it only. With ``people`` rows also have the keys of the people behind
     them. All groups are bounded by the calendar.
     """
     todo = spine if loaded is None else missing(spine, loaded, [entity, day])
-    signals = {"_contact": contact, **{f"_{n}": cond for n, (cond, _) in reviews.items()}}
-    activity = signal_days(activities, entity, day, activity_day, signals)
+    signals = _signals(contact, reviews)
+    fresh = activities if since is None else activities.filter(activity_day > since)
+    activity = signal_days(fresh, entity, day, activity_day, signals)
+    if since is not None:
+        history = history.filter(F.col("end_date") > since)
     # the version valid on a day is carried forward too, instead of pairing days with versions
     versions = history.select(
         entity, F.col("start_date").alias(day), F.struct("version_key", "end_date").alias("_version")
     )
     parts, carried = [activity, versions], [*signals, "_version"]
+    if state is not None:
+        parts = [*parts, state]
     if people is not None:
         parts, carried = [*parts, people_days(people, entity, day, "_people")], [*carried, "_people"]
     seen = carry_forward(todo, entity, day, parts, carried)
@@ -75,6 +84,25 @@ def daily_snapshot(
     )
 
 
+def _signals(contact: Column, reviews: Mapping[str, tuple[Column, int]]) -> dict[str, Column]:
+    return {"_contact": contact, **{f"_{n}": cond for n, (cond, _) in reviews.items()}}
+
+
+def snapshot_state(
+    activities: DataFrame, entity: str, day: str, activity_day: Column, contact: Column, reviews: Mapping[str, tuple[Column, int]],
+    upto: Column, state: DataFrame | None = None, since: Column | None = None,
+) -> DataFrame:
+    """One row per entity: the last day of each of the snapshot's signals up to ``upto``, to be stored with the load of that day.
+
+    With the stored ``state`` of the day ``since`` only the activity after it is folded in. A state is the same however the days are cut into loads.
+    Activity that arrives after the state of its day was stored is not in it: a backfill from before that day takes it in.
+    """
+    signals = _signals(contact, reviews)
+    fresh = activities if since is None else activities.filter(activity_day > since)
+    daily = signal_days(fresh.filter(activity_day <= upto), entity, day, activity_day, signals)
+    return carried_state([daily], entity, day, list(signals), upto, state)
+
+
 def lowest_active(
     spine: DataFrame, windows: DataFrame, entity: str, day: str, value: Column, out: str
 ) -> DataFrame:
@@ -95,14 +123,20 @@ def contact_rules(
 ) -> DataFrame:
     """Rule days of each spine day by priority.
 
-    A rule is a column over ``attributes`` or a frame (entity, day, name); the rules are
-    computed independently and joined once instead of being written over each other.
+    A rule is a column over ``attributes``, a frame (entity, day, name) or segments (entity,
+    start_date, end_date, name) as of ``lowest_segments``, which are all carried over the spine in one
+    pass; the rules are computed independently and joined once instead of being written over each other.
     """
-    rows = spine.join(attributes, entity, "left")
+    segments = {n: r for n, r in rules if isinstance(r, DataFrame) and "start_date" in r.columns}
+    parts = [r.select(entity, F.col("start_date").alias(day), F.struct(n, "end_date").alias(f"_{n}")) for n, r in segments.items()]
+    rows = carry_forward(spine, entity, day, parts, [f"_{n}" for n in segments]) if parts else spine
+    rows = rows.join(attributes, entity, "left")
     names = []
     for name, rule in rules:
         names.append(name)
-        if isinstance(rule, DataFrame):
+        if name in segments:
+            rows = rows.withColumn(name, F.when(F.col(f"_{name}.end_date") > F.col(day), F.col(f"_{name}.{name}")))
+        elif isinstance(rule, DataFrame):
             rows = rows.join(rule, [entity, day], "left")
         else:
             rows = rows.withColumn(name, rule)

@@ -12,6 +12,7 @@ from ..operators.align import aligned
 from ..operators.filters import cutover
 from ..operators.ordered import first_per_key, neighbours, numbered
 from ..operators.project import signed_amount
+from ..operators.skyline import lowest_segments
 from ..operators.temporal import overlap_capped, temporal_join
 from ..operators.upsert import accumulate, fill_rule
 from ..plans import cases
@@ -48,11 +49,12 @@ def key_of(col: str) -> str:
     return f"CAST(strftime({col}, '%Y%m%d') AS INTEGER)"
 
 
-@query("daily_snapshot_fact", f"""
+def snapshot_sql(days: str) -> str:
+    return f"""
 WITH {HIST}, {SPINE},
 seen AS (SELECT s.user_id, s.day, date_diff('day', {last_day_of('click')}, s.day) AS lag_c,
     date_diff('day', {last_day_of('purchase')}, s.day) AS lag_r, date_diff('day', {last_day_of('signup')}, s.day) AS lag_n
-  FROM spine s WHERE NOT (s.day < DATE '2024-01-05' AND (s.user_id, s.day) IN (SELECT (user_id, CAST(ts AS DATE)) FROM events))),
+  FROM spine s WHERE {days}),
 attr AS (SELECT c_custkey, c_nationkey AS nation_key, CASE WHEN c_acctbal < 1000 THEN 3 END AS r1,
     CASE WHEN c_mktsegment = 'BUILDING' THEN 5 WHEN c_mktsegment = 'MACHINERY' THEN 10 END AS r2
   FROM customer WHERE c_acctbal >= 0),
@@ -65,11 +67,23 @@ f AS (SELECT seen.*, nation_key, CAST(coalesce(r1, r2, 7) AS INTEGER) AS rule_da
 SELECT user_id, {key_of('day')} AS date_key, coalesce({key_of('start_date')}, -1) AS version_key,
   coalesce(nation_key, -1) AS nation_key, rule_days, CAST(1 + contact * 4 + review * 2 + network AS INTEGER) AS status_key,
   contact, review, network, CASE WHEN lag_c BETWEEN 0 AND rule_days THEN 1 ELSE 0 END AS contact_in_rule,
-  CAST(lag_c AS INTEGER) AS contact_lag, 1 AS client_count, {PEOPLE_COLUMNS} FROM f LEFT JOIN ppl ON pe = user_id AND pa = day""")
+  CAST(lag_c AS INTEGER) AS contact_lag, 1 AS client_count, {PEOPLE_COLUMNS} FROM f LEFT JOIN ppl ON pe = user_id AND pa = day"""
+
+
+@query("daily_snapshot_fact", snapshot_sql("NOT (s.day < DATE '2024-01-05' AND (s.user_id, s.day) IN (SELECT (user_id, CAST(ts AS DATE)) FROM events))"))
 def daily_snapshot_fact(t):
     """Clicks are contacts, purchases and signups the two kinds of review; the days before
     5 January on which a user had events are loaded already."""
+    loaded = t.events.select("user_id", F.to_date("ts").alias("day")).filter(c("day") < day("2024-01-05")).distinct()
+    return daily_rows(t, user_spine(t), t.events, loaded=loaded)
+
+
+def signals_of_events():
     kind = c("event_type")
+    return {"activity_day": F.to_date("ts"), "contact": kind == "click", "reviews": {"review": (kind == "purchase", 14), "network": (kind == "signup", 14)}}
+
+
+def daily_rows(t, spine, activities, **more):
     attributes = t.customer.filter("c_acctbal >= 0").select(
         c("c_custkey").alias("user_id"), c("c_nationkey").alias("nation_key"),
         F.when(c("c_acctbal") < 1000, 3).alias("_r1"),
@@ -82,15 +96,29 @@ def daily_snapshot_fact(t):
         *[F.shiftright("id", n).bitwiseAND(1).cast("int").alias(f) for f, n in (("contact", 2), ("review", 1), ("network", 0))],
         (c("id") + 1).cast("int").alias("status_key"),
     )
-    loaded = t.events.select("user_id", F.to_date("ts").alias("day")).filter(c("day") < day("2024-01-05")).distinct()
     return snap.daily_snapshot(
-        user_spine(t), t.events, versions, attributes, bits, "user_id", "day", F.to_date("ts"),
-        contact=kind == "click", reviews={"review": (kind == "purchase", 14), "network": (kind == "signup", 14)},
-        rule=F.coalesce("_r1", "_r2", F.lit(7)), contact_limit=7, loaded=loaded,
-        people=people_behind(t, "user_id", "2024-01-10"),
+        spine, activities, versions, attributes, bits, "user_id", "day", **signals_of_events(),
+        rule=F.coalesce("_r1", "_r2", F.lit(7)), contact_limit=7, people=people_behind(t, "user_id", "2024-01-10"), **more,
     )
 
 
+@query("daily_snapshot_runs", snapshot_sql("s.day > DATE '2024-01-12'"))
+def daily_snapshot_runs(t):
+    """A backfill's state of 12 January is stored, folded with the activity of six days and stored again; the days in between come from the first state and
+    the later ones from the second, each run with the activity after its state alone."""
+    first, second = day("2024-01-12"), day("2024-01-18")
+
+    def after(cut):
+        return t.events.filter(c("ts") >= F.date_add(cut, 1).cast("timestamp_ntz"))
+
+    asked = {"entity": "user_id", "day": "day", **signals_of_events()}
+    at_first = t.stage(snap.snapshot_state(t.events, upto=first, **asked), "state_1")
+    at_second = t.stage(snap.snapshot_state(after(first), upto=second, state=at_first, since=first, **asked), "state_2")
+    spine = user_spine(t)
+    between = daily_rows(t, spine.filter(c("day").between(F.date_add(first, 1), second)), after(first), state=at_first, since=first)
+    return between.unionByName(daily_rows(t, spine.filter(c("day") > second), after(second), state=at_second, since=second))
+
+
 @query("contact_rule_violation", f"""
 WITH {HIST}, {SPINE},
 w1 AS (SELECT user_id, CAST(ts AS DATE) AS s, least(lead(CAST(ts AS DATE), 1, DATE '9999-12-31')
@@ -133,12 +161,12 @@ def contact_rule_violation(t):
             "user_id", c("start").alias("start_date"), "end_date", "value"
         )
 
-    # windows are thinned to one row per user, start and rule value before they meet the spine
     custom = windows("signup", 10).groupBy("user_id", "start_date", "end_date").agg(
         F.min(F.floor("value").cast("int") % 4 + 2).alias("v")
     )
-    intro = windows("purchase", 6).select("user_id", "start_date", "end_date").distinct()
-    early = F.when(c("day") <= F.date_add("start_date", 3), 1).otherwise(2)
+    # one day's contact for the first days of a window, two for all of it
+    first_days = F.explode(F.array(F.struct(F.least("end_date", F.date_add("start_date", 3)).alias("end_date"), F.lit(1).alias("v")), F.struct("end_date", F.lit(2).alias("v"))))
+    intro = windows("purchase", 6).select("user_id", "start_date", first_days.alias("w")).select("user_id", "start_date", "w.*").distinct()
     signup_days = ev.filter(kind == "signup").select("user_id", c("start").alias("b_start")).distinct()
     signup_windows = h.close_with_next(signup_days, ["user_id"], ["b_start"], "b_start", "b_end", "cur", split=False).drop("cur")
     faults = hist(t).filter(kind == "error").select("user_id", c("start_date").alias("a_start"), c("end_date").alias("a_end"))
@@ -148,12 +176,12 @@ def contact_rule_violation(t):
     attributes = t.customer.select(c("c_custkey").alias("user_id"), "c_mktsegment", "c_acctbal")
     building = c("c_mktsegment") == "BUILDING"
     ruled = snap.contact_rules(spine, attributes, [
-        ("custom", snap.lowest_active(spine, custom, "user_id", "day", c("v"), "custom")),
-        ("intro", snap.lowest_active(spine, intro, "user_id", "day", early, "intro")),
+        ("custom", lowest_segments(custom, "user_id", c("v"), "custom")),
+        ("intro", lowest_segments(intro, "user_id", c("v"), "intro")),
         ("senior", F.when(building & (c("c_acctbal") > 8000), 3)),
         ("building", F.when(building, 6)),
         ("wealthy", F.when(c("c_acctbal") > 5000, 4)),
-        ("extended", snap.lowest_active(spine, extended, "user_id", "day", F.lit(12), "extended")),
+        ("extended", lowest_segments(extended, "user_id", F.lit(12), "extended")),
         ("trading", F.when(c("c_mktsegment") == "MACHINERY", 5)),
     ], "user_id", "day", default=9)
     violations = snap.contact_violation(

@@ -88,3 +88,39 @@ def test_attribution_waterfall(spark):
     everyone = spark.createDataFrame([(1,), (2,)], "id int")
     got = referrals.attribution_waterfall(explicit, everyone, derived, ["id"])
     assert rows(got, "id", "owner", "attribution") == {(1, 7, "Credited"): 1, (2, 9, "Derived"): 1}
+
+
+def runs(spark, tmp_path, cuts):
+    """The snapshot of 24 days in loads that end at the cuts, each with the state stored by the one before and the activity after it."""
+    log = [(i, "ab"[i % 2], day(1 + (i * 7) % 20), ("contact", "review", "other")[i % 3]) for i in range(24)] + [("x", "c", day(2), "contact"), (None, None, day(3), "review")]
+    activity = spark.createDataFrame([(str(i), w, d, k) for i, w, d, k in log], "id string, who string, d date, kind string")
+    folder = f"{tmp_path}/activity{len(cuts)}"
+    activity.write.partitionBy("d").parquet(folder)
+    activity = spark.read.parquet(folder)
+    spine = spark.createDataFrame([(w, day(n)) for w in "abc" for n in range(1, 25)], "who string, day date")
+    history = spark.createDataFrame([("a", 1, day(1), day(9)), ("a", 2, day(9), D(9999, 12, 31)), ("c", 3, day(5), day(7))], "who string, version_key int, start_date date, end_date date")
+    attributes = spark.createDataFrame([("a", 4)], "who string, days int")
+    statuses = spark.createDataFrame([(c, r, 10 * c + r) for c in (0, 1) for r in (0, 1)], "contact int, review int, status_key int")
+    asked = {"entity": "who", "day": "day", "activity_day": F.col("d"), "contact": F.col("kind") == "contact", "reviews": {"review": (F.col("kind") == "review", 5)}}
+    out, state, since = [], None, None
+    for n in cuts:
+        upto = F.lit(day(n))
+        days = spine.filter(F.col("day") <= upto) if since is None else spine.filter((F.col("day") <= upto) & (F.col("day") > since))
+        got = snapshot.daily_snapshot(days, activity, history, attributes, statuses, rule=F.col("days"), contact_limit=3, state=state, since=since, **asked)
+        out.append(got)
+        snapshot.snapshot_state(activity, upto=upto, state=state, since=since, **asked).write.parquet(f"{tmp_path}/state{n}-{len(cuts)}")
+        state, since = spark.read.parquet(f"{tmp_path}/state{n}-{len(cuts)}"), upto
+    return out, state
+
+
+def test_snapshot_by_daily_runs_is_the_backfill(spark, tmp_path):
+    (whole,), end = runs(spark, tmp_path, [24])
+    parts, state = runs(spark, tmp_path, [6, 7, 15, 24])
+    merged = parts[0]
+    for part in parts[1:]:
+        merged = merged.unionByName(part)
+    assert rows(merged) == rows(whole, *merged.columns) and sum(rows(whole).values()) == 72
+    assert rows(state) == rows(end, *state.columns)
+    plan = parts[2]._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "PartitionFilters" in line and "kind" in line]
+    assert scans and all("2024-01-07" in line.split("PartitionFilters")[1].split("]")[0] for line in scans)  # no older activity is read
