@@ -62,7 +62,7 @@ def daily_snapshot(
         parts, carried = [*parts, people_days(people, entity, day, "_people")], [*carried, "_people"]
     seen = carry_forward(todo, entity, day, parts, carried)
     seen = seen.withColumns({s: F.datediff(day, s) for s in signals})
-    known = seen.join(attributes, entity, "left").withColumn("rule_days", rule)
+    known = seen.join(attributes.hint("merge"), entity, "left").withColumn("rule_days", rule)
     valid = F.col("_version.end_date") > F.col(day)
     versioned = known.withColumn("version_key", F.when(valid, F.col("_version.version_key")))
     flags = {"contact": within(F.col("_contact"), contact_limit)}
@@ -130,7 +130,7 @@ def contact_rules(
     segments = {n: r for n, r in rules if isinstance(r, DataFrame) and "start_date" in r.columns}
     parts = [r.select(entity, F.col("start_date").alias(day), F.struct(n, "end_date").alias(f"_{n}")) for n, r in segments.items()]
     rows = carry_forward(spine, entity, day, parts, [f"_{n}" for n in segments]) if parts else spine
-    rows = rows.join(attributes, entity, "left")
+    rows = rows.join(attributes.hint("merge"), entity, "left")
     names = []
     for name, rule in rules:
         names.append(name)
