@@ -21,7 +21,7 @@ def broadcast_parts(plan):
 
 
 @pytest.mark.parametrize("name", [
-    "person_history", "fact_person_keys", "daily_snapshot_fact", "daily_snapshot_runs",
+    "person_history", "fact_person_keys", "daily_snapshot_fact", "daily_snapshot_runs", "termination_fact",
 ])
 def test_no_broadcast_grows_with_the_input(spark, sf, name):
     plan = entry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
