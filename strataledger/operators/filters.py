@@ -36,7 +36,7 @@ def cutover(
     Keys without a cutover date stay with the old system. The old rows are joined to ``moves``
     once (one row per key), so both conditions are residuals of an equality join.
     """
-    dates = moves.select(key, F.col(moved_on).alias("_moved"))
+    dates = moves.select(key, F.col(moved_on).alias("_moved")).hint("merge")  # a row for each key there is: not for the driver
     before = old.join(dates, key, "left").filter(F.col("_moved").isNull() | (F.col(date) < F.col("_moved")))
     after = new.join(dates, key, "inner").filter(F.col(date) >= F.col("_moved"))
     return (

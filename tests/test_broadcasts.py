@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from strataledger.queries.registry import Tables
 
 
 def broadcast_parts(plan):
@@ -21,9 +22,10 @@ def broadcast_parts(plan):
 
 
 @pytest.mark.parametrize("name", [
-    "person_history", "fact_person_keys", "daily_snapshot_fact", "daily_snapshot_runs", "termination_fact",
+    "person_history", "fact_person_keys", "daily_snapshot_fact", "daily_snapshot_runs", "termination_fact", "transaction_fact",
 ])
-def test_no_broadcast_grows_with_the_input(spark, sf, name):
+def test_no_broadcast_grows_with_the_input(spark, sf, name, monkeypatch):
+    monkeypatch.setattr(Tables, "stage", lambda self, df, name: df)  # plans of what is staged, too
     plan = entry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
     grown = [x.strip()[:160] for x in broadcast_parts(plan) if "customer.parquet" in x or "Generate explode" in x and ("_give" in x or "_n#" in x)]
     assert not grown, grown
