@@ -22,10 +22,19 @@ def broadcast_parts(plan):
 
 
 @pytest.mark.parametrize("name", [
-    "person_history", "fact_person_keys", "daily_snapshot_fact", "daily_snapshot_runs", "termination_fact", "transaction_fact",
+    "person_history", "fact_person_keys", "daily_snapshot_fact", "daily_snapshot_runs", "termination_fact", "transaction_fact", "referral_fact",
 ])
 def test_no_broadcast_grows_with_the_input(spark, sf, name, monkeypatch):
     monkeypatch.setattr(Tables, "stage", lambda self, df, name: df)  # plans of what is staged, too
     plan = entry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
     grown = [x.strip()[:160] for x in broadcast_parts(plan) if "customer.parquet" in x or "Generate explode" in x and ("_give" in x or "_n#" in x)]
     assert not grown, grown
+
+
+@pytest.mark.parametrize("name", [
+    "referral_fact",
+])
+def test_referrals_are_derived_once(spark, sf, name):
+    """The plan that compares the fact at the cut with the fact as it is reads what was derived, not the sources again."""
+    plan = entry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert "FileScan" in plan and "l_shipdate" not in plan and "o_orderdate" not in plan
