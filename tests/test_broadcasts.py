@@ -22,7 +22,7 @@ def broadcast_parts(plan):
 
 
 @pytest.mark.parametrize("name", [
-    "person_history", "fact_person_keys", "daily_snapshot_fact", "daily_snapshot_runs", "termination_fact", "transaction_fact", "referral_fact", "referral_adjustments",
+    "person_history", "fact_person_keys", "daily_snapshot_fact", "daily_snapshot_runs", "termination_fact", "transaction_fact", "referral_fact", "referral_adjustments", "referral_fact_from_history",
 ])
 def test_no_broadcast_grows_with_the_input(spark, sf, name, monkeypatch):
     monkeypatch.setattr(Tables, "stage", lambda self, df, name: df)  # plans of what is staged, too
@@ -32,7 +32,7 @@ def test_no_broadcast_grows_with_the_input(spark, sf, name, monkeypatch):
 
 
 @pytest.mark.parametrize("name", [
-    "referral_fact", "referral_adjustments",
+    "referral_fact", "referral_adjustments", "referral_fact_from_history",
 ])
 def test_referrals_are_derived_once(spark, sf, name):
     """The plan that compares the fact at the cut with the fact as it is reads what was derived, not the sources again."""
