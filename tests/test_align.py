@@ -137,6 +137,43 @@ def staff(spark):
     return assignments, members, employees, managers, groups
 
 
+def cut_from(plan, made):
+    """The lines of a plan's text from the deepest explode of ``made`` down to the table that feeds it."""
+    lines = plan.splitlines()
+    start = max(i for i, line in enumerate(lines) if "Generate explode" in line and made in line)
+    for line in lines[start + 1:]:
+        yield line
+        if "Range (" in line or "Relation [" in line or "LogicalRDD" in line:
+            return
+
+
+def test_links_are_followed_once_for_an_owner_and_time(spark):
+    """Entities that share owner and dates are cut alike: blocks are made of the distinct owners and dates, not of each entity."""
+    _, members, employees, managers, _ = staff(spark)
+    many = spark.range(300).select(F.col("id").alias("client"), (F.col("id") % 3 + 1).alias("owner"), F.lit(at(0)).alias("from_date"), F.lit(None).cast("date").alias("to_date"))
+    history = person_history("client", many, members, employees, managers)
+    below = list(cut_from(history._jdf.queryExecution().optimizedPlan().toString(), "_ask"))
+    assert any("Aggregate [" in line and "owner" in line for line in below), below
+    found = {}
+    for r in history.collect():
+        found.setdefault(r["client"], []).append(tuple(r)[1:])
+    assert len(found) == 300 and all(sorted(v, key=str) == sorted(found[k % 3], key=str) for k, v in found.items())
+    alone = person_history("client", many.filter("client < 3"), members, employees, managers)
+    same(history.filter("client < 3"), alone)
+
+
+def test_assignments_without_owner_end_or_days(spark):
+    _, members, employees, managers, _ = staff(spark)
+    odd = spark.createDataFrame(
+        [(1, None, at(0), None), (2, None, at(0), None), (3, None, at(0), at(5)), (4, 1, at(5), at(5)), (5, 1, None, at(5)), (None, 1, at(0), at(5)), (None, None, at(0), None)],
+        "client int, owner int, from_date date, to_date date",
+    )
+    history = person_history("client", odd, members, employees, managers)
+    assert rows(history, "client", "owner", "from_date", "to_date", "member_key", "manager_key") == {
+        (1, None, at(0), FAR, None, None): 1, (2, None, at(0), FAR, None, None): 1, (3, None, at(0), at(5), None, None): 1,
+    }
+
+
 def test_one_lookup_equals_the_chain_of_joins(spark):
     """At every date, with a lag: the flat history, the carry-forward over it and the chain of five lookups agree."""
     assignments, members, employees, managers, groups = staff(spark)
