@@ -197,6 +197,22 @@ def test_one_lookup_equals_the_chain_of_joins(spark):
     same(carried, got.filter("client is not null and day is not null"))
 
 
+def test_people_are_looked_up_without_blocks(spark):
+    """A lookup reads each segment of the flat history once; it does not repeat it for the blocks of the calendar."""
+    assignments, members, employees, managers, groups = staff(spark)
+    history = spark.createDataFrame(person_history("client", assignments, members, employees, managers).collect(), "client int, owner int, member_key int, "
+                                    "employee_key int, specialty int, began date, from_date date, to_date date, manager_key int")
+    births, bands = spark.createDataFrame([], "client int, born date"), spark.createDataFrame([], "band_key int, lo int, hi int")
+    # also a day on which the last open segment ends, and moments within a day
+    fact = spark.createDataFrame([(k, d) for k in range(11) for d in (at(10), FAR)], "client int, day date")
+    got = with_people(fact, "client", "day", People(history, groups, births, bands, 3))
+    assert "_block" not in got._jdf.queryExecution().optimizedPlan().toString()
+    same(got.drop("age_band_key"), person_keys(fact, "day", "client", assignments, members, employees, managers, groups, lag_days=3))
+    moments = fact.withColumn("day", F.col("day").cast("timestamp_ntz") + F.expr("INTERVAL 9 HOURS")).filter(F.col("day") < F.lit("9000-01-01").cast("timestamp_ntz"))
+    daily = got.filter(F.col("day") < F.lit("9000-01-01").cast("date"))
+    same(with_people(moments, "client", "day", People(history, groups, births, bands, 3)).drop("day"), daily.drop("day"))
+
+
 def test_no_people_at_all(spark):
     empty = [f.limit(0) for f in staff(spark)]
     births = spark.createDataFrame([], "client int, born date")
