@@ -106,3 +106,32 @@ def test_chains_read_the_fact_twice(spark, sf, links):
     out = looked_up(orders, ["k0", "at"], [step(i) for i in range(links)])
     assert out.count() == orders.count()
     assert out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("FileScan") <= 2
+
+
+def made_by_explode(df, column):
+    """Rows that the explode into ``column`` made when ``df`` ran."""
+    df.collect()
+
+    def walk(node):
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if node.nodeName().endswith("QueryStage"):
+            return walk(node.plan())
+        own = node.metrics().apply("numOutputRows").value() if node.nodeName() == "Generate" and f"[{column}#" in node.toString().splitlines()[0] else 0
+        children = node.children()
+        return own + sum(walk(children.apply(i)) for i in range(children.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_rows_without_date_or_key_are_not_repeated(spark):
+    """They meet nothing: a left lookup keeps each of them as one row, an inner one drops it before the join."""
+    history = spark.createDataFrame([(1, D(2024, 1, 1), None, "a")], "k int, start_date date, end_date date, v string")
+    asked = spark.range(90).select(F.lit(1).alias("k"), F.lit(None).cast("date").alias("day"))
+    asked = asked.unionByName(spark.range(5).select(F.lit(None).cast("int").alias("k"), F.lit(D(2024, 1, 1)).alias("day")))
+    asked = asked.unionByName(spark.range(5).select(F.lit(1).alias("k"), F.lit(D(2024, 1, 1)).alias("day")))
+    left = valid_versions(asked, history, ["k"], "day", how="left")
+    assert left.count() == 100 and left.filter("v = 'a'").count() == 5
+    assert made_by_explode(left, "_block") == 95 + 5 * 6
+    inner = valid_versions(asked, history, ["k"], "day")
+    assert inner.count() == 5 and made_by_explode(inner, "_block") == 5 * 5
