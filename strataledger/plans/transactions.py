@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from ..functions.text import last_chars
 from ..operators.asof import recurring_lag
 from ..operators.joins import fx_convert, lookup_by_labels, missing
 from ..operators.project import count_sign, signed_amount
-from ..operators.temporal import valid_versions
+from ..operators.temporal import looked_up, valid_versions
 from ..sources.incremental import incremental_and_late
 from .people import PEOPLE_KEYS, People, with_people
 
@@ -31,6 +31,7 @@ def new_and_cancelled(flows: DataFrame, cancelled_on: str, record: str = "record
 def transaction_fact(
     flows: DataFrame, stored: DataFrame, owners: DataFrame, rates: DataFrame, flow_types: DataFrame,
     account: str, keys: Sequence[str], in_codes: Sequence[str], size: Column, people: People | None = None,
+    stage: Callable[[DataFrame, str], DataFrame] = lambda rows, name: rows, drop: Callable[[str], None] = lambda name: None,
 ) -> DataFrame:
     """Rows to append to the fact.
 
@@ -38,14 +39,31 @@ def transaction_fact(
     trade_date, cancelled_on and updated. ``stored`` is the fact so far (keys, updated, flow_count, system), ``owners`` the
     account's owner over time, ``flow_types`` the combination dimension over direction, asset
     and size. With ``people`` rows also have the keys of the people behind the account at the trade date.
+
+    ``stage`` writes rows under a name and reads them back, ``drop`` deletes what was written. Every step that shuffles whole rows ends in one, so that
+    the disk holds the shuffles of one step at a time and no step is done again for a second reader.
     """
-    flows = flows.withColumn("code_class", last_chars(F.col("code"), 2))
-    batch = incremental_and_late(flows, stored, "updated", [*keys, "system"])
-    lagged = recurring_lag(batch, flows, [account, "amount", "code_class", "currency"], "trade_date")
-    rows = new_and_cancelled(lagged, "cancelled_on")
-    owned = valid_versions(rows, owners, [account], "trade_date", how="left")
+    stored = stored.hint("merge")  # as many rows as the fact, however small its compressed keys look: not for the driver
+    match = [account, "amount", "code_class", "currency"]
+    classed = {"code_class": last_chars(F.col("code"), 2)}
+    batch = stage(incremental_and_late(flows, stored, "updated", [*keys, "system"]).drop("updated"), "batch")
+    lagged = stage(recurring_lag(batch.withColumns(classed), flows.withColumns(classed), match, "trade_date"), "lagged")
+    drop("batch")
+
+    def owner(asked: DataFrame) -> DataFrame:
+        return stage(valid_versions(asked, owners, [account], "trade_date", how="left").drop("start_date", "end_date"), "owned")
+
+    # both copies of a cancelled transaction have its account and date, so these are looked up before it is copied
+    if people is None:
+        staff, found = [], looked_up(lagged, [account, "trade_date"], [owner])
+    else:
+        staff, found = PEOPLE_KEYS, with_people(lagged, account, "trade_date", people, [owner])
+    found = stage(found, "found")
+    drop("lagged")
+    drop("owned")
+    rows = new_and_cancelled(found, "cancelled_on")
     cancelled = F.col("cancelled_on").isNotNull()
-    signed = owned.withColumns(
+    signed = rows.withColumns(
         {
             "flow_amount_original": signed_amount(F.col("amount"), F.col("code"), in_codes, cancelled),
             "flow_count": F.when(cancelled, -1).otherwise(1),
@@ -59,7 +77,6 @@ def transaction_fact(
         {"direction": count_sign(F.col("code"), in_codes, F.lit(False)), "asset": F.left("code_class", F.lit(1)), "size": size},
         "flow_type_key",
     )
-    typed, staff = (typed, []) if people is None else (with_people(typed, account, "trade_date", people), PEOPLE_KEYS)
     fact = typed.select(
         *keys, "system", date_key(F.col("trade_date")).alias("trade_date_key"),
         F.coalesce(date_key(F.col("cancelled_on")), F.lit(UNKNOWN_KEY)).alias("cancelled_date_key"),
