@@ -40,15 +40,20 @@ def transaction_fact(
     account's owner over time, ``flow_types`` the combination dimension over direction, asset
     and size. With ``people`` rows also have the keys of the people behind the account at the trade date.
 
-    ``stage`` writes rows under a name and reads them back, ``drop`` deletes what was written. Every step that shuffles whole rows ends in one, so that
-    the disk holds the shuffles of one step at a time and no step is done again for a second reader.
+    ``stage`` writes rows under a name and reads them back, ``drop`` deletes what was written under a name, also ``flows`` and ``rates`` if
+    the caller staged them so. Every step that shuffles whole rows ends in one, so that the disk holds the shuffles of one step at a time and no
+    step is done again for a second reader. What is returned reads ``stored`` and the last of these tables.
     """
     stored = stored.hint("merge")  # as many rows as the fact, however small its compressed keys look: not for the driver
     match = [account, "amount", "code_class", "currency"]
     classed = {"code_class": last_chars(F.col("code"), 2)}
     batch = stage(incremental_and_late(flows, stored, "updated", [*keys, "system"]).drop("updated"), "batch")
-    lagged = stage(recurring_lag(batch.withColumns(classed), flows.withColumns(classed), match, "trade_date"), "lagged")
-    drop("batch")
+    lagged = recurring_lag(
+        batch.withColumns(classed), flows.withColumns(classed), match, "trade_date", stage=lambda days: stage(days, "days")
+    )
+    lagged = stage(lagged, "lagged")
+    for name in ("flows", "batch", "days"):
+        drop(name)
 
     def owner(asked: DataFrame) -> DataFrame:
         return stage(valid_versions(asked, owners, [account], "trade_date", how="left").drop("start_date", "end_date"), "owned")
@@ -59,8 +64,8 @@ def transaction_fact(
     else:
         staff, found = PEOPLE_KEYS, with_people(lagged, account, "trade_date", people, [owner])
     found = stage(found, "found")
-    drop("lagged")
-    drop("owned")
+    for name in ("lagged", "owned"):
+        drop(name)
     rows = new_and_cancelled(found, "cancelled_on")
     cancelled = F.col("cancelled_on").isNotNull()
     signed = rows.withColumns(
@@ -83,4 +88,7 @@ def transaction_fact(
         F.coalesce("owner_key", F.lit(UNKNOWN_KEY)).alias("owner_key"), "flow_type_key",
         "flow_amount", "flow_amount_original", "flow_count", F.col("days_lag").alias("recurring_days_lag"), "record_type", *staff,
     )
+    fact = stage(fact, "rows")
+    for name in ("found", "rates"):
+        drop(name)
     return missing(fact, stored, [*keys, "flow_count", "system"])

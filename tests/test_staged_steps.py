@@ -76,7 +76,7 @@ def test_the_fact_is_built_from_staged_steps(spark, sf):
     df = facts.transaction_fact(Seen(spark, sf))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "FileScan" in plan and "l_shipdate" not in plan and "o_orderdate" not in plan and "c_custkey" not in plan
-    assert {n for n, path in found.items() if os.path.isdir(path)} == {"moved", "rates", "found"} < set(found)
+    assert {n for n, path in found.items() if os.path.isdir(path)} == {"stored", "rows"} < set(found)
     assert df.count() == entry.queries()["transaction_fact"](spark, sf).count()
 
 
